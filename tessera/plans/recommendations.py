@@ -215,3 +215,11 @@ def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
     names = tables.entity_names(spark, data_dir)
     default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))
     return lookup_with_default(top, names, "item", "id", "name", "name", default)
+
+
+def name_lookup_default(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+    """The popular items with their names, ``Unknown(id)`` when unnamed."""
+    top = popularity_top_n(spark, data_dir, p).select("rank", "item")
+    names = tables.entity_names(spark, data_dir)
+    default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))
+    return lookup_with_default(top, names, "item", "id", "name", "name", default)
