@@ -59,6 +59,16 @@ def strip_outer_punct(piece: Column | str) -> Column:
     return F.regexp_replace(_col(piece), OUTER_PUNCT_PATTERN, "")
 
 
+# One pass for "strip outer non-letter/digit characters, then keep the rest
+# if it is at least 3 letters": the group is the token, '' when there is none.
+WORD_PATTERN = r"^[^\p{L}\p{N}]*(\p{L}{3,})[^\p{L}\p{N}]*$"
+
+
+def word_of(piece: Column | str) -> Column:
+    """The token in a white-space-delimited piece, or '' (see ``WORD_PATTERN``)."""
+    return F.regexp_extract(_col(piece), WORD_PATTERN, 1)
+
+
 def is_word(token: Column | str, min_len: int = 3) -> Column:
     """Letters only and at least ``min_len`` characters long."""
     t = _col(token)

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_word, lemma_candidates, raw_pieces, strip_outer_punct
+from ..functions.text import lemma_candidates, raw_pieces, word_of
 from .relational import BROADCAST_ROWS, bounded_broadcast
 
 NUM_TERMS = 5000
@@ -29,19 +29,25 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     and longer than 2.  ``pos`` is the piece's 0-based place in the text.
     A null text gives no rows (F10).
     """
-    pieces = docs.select(F.col(id_col).alias("doc_id"),
-                         F.posexplode(raw_pieces(text_col)).alias("pos", "piece"))
-    return (
-        pieces.select("doc_id", "pos", strip_outer_punct("piece").alias("token"))
-        .where(is_word("token"))
-    )
+    words = F.transform(raw_pieces(text_col),
+                        lambda piece, i: F.struct(i.alias("pos"), word_of(piece).alias("token")))
+    kept = F.filter(words, lambda w: w["token"] != "")
+    return spread(docs).select(F.col(id_col).alias("doc_id"), F.inline(kept))
 
 
-def frequent_tokens(docs: DataFrame, top: int, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """The ``top`` most frequent tokens ``(token, cnt)`` (ties by token)."""
-    counts = tokenize(docs, id_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.orderBy(F.desc("cnt"), "token").limit(top)
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cores when its scan has fewer partitions
+    than the default parallelism (a small file with few row groups); large
+    inputs already have more splits than cores and are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def frequent_terms(counts: DataFrame, top: int) -> DataFrame:
+    """The ``top`` most frequent terms ``(token, cnt)`` of a count table
+    ``(doc_id, term, cnt)`` (ties by term)."""
+    totals = counts.groupBy(F.col("term").alias("token")).agg(F.sum("cnt").alias("cnt"))
+    return totals.orderBy(F.desc("cnt"), "token").limit(top)
 
 
 def token_counts(tokens: DataFrame, term_col: str = "token") -> DataFrame:
@@ -114,7 +120,13 @@ def term_frequencies(tokens: DataFrame, lemmas: DataFrame, stopwords: DataFrame)
     Raw tokens are counted per document first (map-side combined), then the
     much smaller count table is mapped to lemmas and summed again.
     """
-    raw = token_counts(tokens).withColumnRenamed("term", "token")
+    return term_frequencies_from_counts(token_counts(tokens), lemmas, stopwords)
+
+
+def term_frequencies_from_counts(raw_counts: DataFrame, lemmas: DataFrame,
+                                 stopwords: DataFrame) -> DataFrame:
+    """:func:`term_frequencies` from raw token counts ``(doc_id, term, cnt)``."""
+    raw = raw_counts.withColumnRenamed("term", "token")
     mapped = raw.join(lemmas.withColumnRenamed("term", "token"), "token")
     mapped = mapped.where(F.length("lemma") > 2)
     mapped = drop_stopwords(mapped, stopwords, "lemma")

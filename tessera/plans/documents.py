@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import concepts as C
 from ..operators import textmining as T
 from ..sources import delimited, staging, tables
+from . import store
 
 # The reference's ten three-word queries.
 REFERENCE_QUERIES = (
@@ -55,13 +56,30 @@ def tokens(spark: SparkSession, d: str) -> DataFrame:
 
 def stopwords(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     """The stop-word file (derived from the English documents) read back."""
-    return delimited.read_stopwords(spark, staging.stopword_file(spark, d, p.stop_top))
+    return delimited.read_stopwords(
+        spark, staging.stopword_file(spark, d, raw_counts(spark, d), p.stop_top))
+
+
+def raw_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Bag of words ``(doc_id, term, cnt)`` of raw tokens (before lemmas and
+    stop words), written once per application: the text is tokenized once
+    and every later step (lexicon, lemmas, stop words, TF) reads this table."""
+    return store.stored(spark, "bag_of_words", (d,), lambda: T.token_counts(tokens(spark, d)))
+
+
+def _lemmas_from(raw: DataFrame) -> DataFrame:
+    term_df = T.document_frequency(raw)
+    lexicon = term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term")
+    return T.lemma_table(term_df.select("term"), lexicon)
 
 
 def lemmas(spark: SparkSession, d: str) -> DataFrame:
-    """``(term, lemma)`` with the corpus lexicon (tokens in >= 2 documents)."""
-    tok = tokens(spark, d)
-    return T.lemma_table(tok.select(F.col("token").alias("term")), T.corpus_lexicon(tok))
+    """``(term, lemma)`` with the corpus lexicon (tokens in >= 2 documents).
+
+    Distinct terms and the lexicon come from one aggregation of the raw
+    counts, so the text is tokenized once.
+    """
+    return _lemmas_from(raw_counts(spark, d))
 
 
 def lemma_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +93,12 @@ def tokens_without_stopwords(spark: SparkSession, d: str, p: Params = Params())
 
 
 def term_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
-    return T.term_frequencies(tokens(spark, d), lemmas(spark, d), stopwords(spark, d, p))
+    """A4: ``(doc_id, term, cnt)``, written once per application (shared by
+    every later step of the concepts chain)."""
+    def build() -> DataFrame:
+        raw = raw_counts(spark, d)
+        return T.term_frequencies_from_counts(raw, _lemmas_from(raw), stopwords(spark, d, p))
+    return store.stored(spark, "term_freq", (d, p.stop_top), build)
 
 
 def doc_lengths(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:

@@ -58,10 +58,11 @@ docs AS (
   SELECT doc_id, CAST(doc_id AS VARCHAR) AS title, source AS genre, text FROM documents
   WHERE doc_id IS NOT NULL AND source IS NOT NULL AND text IS NOT NULL),
 {_tokens_cte('tokens', 'docs')},
-{_tokens_cte('en_tokens', "documents WHERE lang = 'en'")},
 stop AS (
   SELECT token AS word FROM (
-    SELECT token, COUNT(*) AS c FROM en_tokens GROUP BY token ORDER BY c DESC, token LIMIT {p.stop_top})),
+    SELECT token, COUNT(*) AS c FROM tokens
+    WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en')
+    GROUP BY token ORDER BY c DESC, token LIMIT {p.stop_top})),
 rawtf AS (SELECT doc_id, token, COUNT(*) AS cnt FROM tokens GROUP BY doc_id, token),
 lex AS (SELECT token AS term FROM rawtf GROUP BY token HAVING COUNT(*) >= 2),
 terms AS (SELECT DISTINCT token AS term FROM rawtf),

@@ -18,6 +18,7 @@ from ..operators.relational import (distinct_per_key, lookup_with_default,
                                     resolve_aliases, semi_join)
 from ..operators.sampling import kfold_assign, kfold_partitions, per_user_split
 from ..sources import literals, tables
+from . import store
 
 # The reference keeps users with at least 100 distinct items; after alias
 # resolution that leaves no user below sf0.1 on the stand-in data, so the
@@ -71,9 +72,10 @@ def qualified_ratings(ratings: DataFrame, min_items: int = MIN_ITEMS) -> DataFra
 
 
 def split_ratings(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
-    """Qualified ratings tagged ``split``."""
-    return per_user_split(qualified_ratings(ratings_canonical(spark, data_dir), p.min_items),
-                          p.train_fraction)
+    """Qualified ratings tagged ``split``, written once per application
+    (train and test sides of every later step read the same table)."""
+    return store.stored(spark, "split", (data_dir, p), lambda: per_user_split(
+        qualified_ratings(ratings_canonical(spark, data_dir), p.min_items), p.train_fraction))
 
 
 def train_test(spark: SparkSession, data_dir: str, p: Params = Params()
