@@ -46,14 +46,17 @@ class Params:
 
 
 def ratings_canonical(spark: SparkSession, data_dir: str) -> DataFrame:
-    """``(user, item, rating, row_key)``: play counts with aliased items replaced."""
-    plays = tables.play_counts(spark, data_dir)
-    resolved = resolve_aliases(plays, tables.alias_pairs(spark, data_dir))
-    return resolved.select(
-        "user", "item",
-        F.col("count").cast("double").alias("rating"),
-        row_key("user", "item", "o_orderkey", "l_linenumber", "count").alias("row_key"),
-    )
+    """``(user, item, rating, row_key)``: play counts with aliased items
+    replaced, written once per application (every later step reads it)."""
+    def build() -> DataFrame:
+        plays = tables.play_counts(spark, data_dir)
+        resolved = resolve_aliases(plays, tables.alias_pairs(spark, data_dir))
+        return resolved.select(
+            "user", "item",
+            F.col("count").cast("double").alias("rating"),
+            row_key("user", "item", "o_orderkey", "l_linenumber", "count").alias("row_key"),
+        )
+    return store.stored(spark, "ratings", (data_dir,), build)
 
 
 def distinct_items_per_user(ratings: DataFrame) -> DataFrame:
