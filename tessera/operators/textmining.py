@@ -100,9 +100,24 @@ def corpus_lexicon(tokens: DataFrame, min_df: int = MIN_LEXICON_DF) -> DataFrame
     return df.where(F.col("df") >= min_df).select("term")
 
 
+def with_lemma(rows: DataFrame, lemmas: DataFrame, token_col: str = "token",
+               max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``lemma`` to rows holding a token.
+
+    Only terms whose lemma differs from the term are looked up (a small
+    share of all terms), so that table is broadcast after a size check and
+    the token rows are never shuffled for this step, hot terms included.
+    """
+    changes = lemmas.where(F.col("term") != F.col("lemma")).select(
+        F.col("term").alias("_t"), F.col("lemma").alias("_l"))
+    j = rows.join(bounded_broadcast(changes, max_broadcast_rows),
+                  F.col(token_col) == F.col("_t"), "left")
+    return j.withColumn("lemma", F.coalesce(F.col("_l"), F.col(token_col))).drop("_t", "_l")
+
+
 def lemmatize_tokens(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     """``(doc_id, pos, token, lemma)``, lemma longer than 2."""
-    j = tokens.join(lemmas.withColumnRenamed("term", "token"), "token")
+    j = with_lemma(tokens, lemmas)
     return j.select("doc_id", "pos", "token", "lemma").where(F.length("lemma") > 2)
 
 
@@ -127,8 +142,7 @@ def term_frequencies_from_counts(raw_counts: DataFrame, lemmas: DataFrame,
                                  stopwords: DataFrame) -> DataFrame:
     """:func:`term_frequencies` from raw token counts ``(doc_id, term, cnt)``."""
     raw = raw_counts.withColumnRenamed("term", "token")
-    mapped = raw.join(lemmas.withColumnRenamed("term", "token"), "token")
-    mapped = mapped.where(F.length("lemma") > 2)
+    mapped = with_lemma(raw, lemmas).where(F.length("lemma") > 2)
     mapped = drop_stopwords(mapped, stopwords, "lemma")
     return mapped.groupBy("doc_id", F.col("lemma").alias("term")).agg(
         F.sum("cnt").cast("bigint").alias("cnt"))

@@ -238,7 +238,7 @@ def run_report(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
         RP.scalar_entry(dcs, "dataframe", "total_rows", F.count(F.lit(1))),
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),
         RP.scalar_entry(vocab, "idf", "vocabulary_size", F.count(F.lit(1))),
-        RP.scalar_entry(vocab.where(F.col("term_id") < 5), "idf", "top5_terms",
+        RP.scalar_entry(vocab.where(F.col("term_id") < 5), "idf", "first_terms",
                         RP.joined_list(vocab, "term_id", F.col("term"))),
         spark.range(1).select(*RP.entry("svd", "singular_values", F.lit(svals))),
         spark.range(1).select(*RP.entry(
