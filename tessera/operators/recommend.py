@@ -16,7 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .metrics import confusion, exact_auc
+from .metrics import auc_value, confusion, exact_auc
 
 ALS_SEED = 42
 # Partitions the ALS input is arranged into before a fit, so the same rows
@@ -67,8 +67,8 @@ def label_by_membership(scored: DataFrame, truth: DataFrame, user_col: str = "us
                         item_col: str = "item", label_col: str = "label") -> DataFrame:
     """``label = 1.0`` when ``(user, item)`` is among the truth rows, else 0.0.
 
-    Truth is reduced to distinct pairs of the items that were scored first;
-    the remaining join is on ``(user, item)``, which no hot user can skew.
+    Truth is reduced to distinct pairs (map-side combined); the join is on
+    ``(user, item)``, so a user with many rows is spread over many keys.
     """
     pairs = truth.select(user_col, item_col).distinct().withColumn("_hit", F.lit(1.0))
     joined = scored.join(pairs, [user_col, item_col], "left")
@@ -157,7 +157,7 @@ def grid_search(
     def evaluate(task):
         rank, reg, alpha, fold = task
         model = train_als(assigned.where(F.col("fold") != fold), rank, reg, alpha, max_iter)
-        auc = als_auc(model, assigned.where(F.col("fold") == fold), n).first()[0]
+        auc = auc_value(als_predictions_labels(model, assigned.where(F.col("fold") == fold), n))
         row = spark.createDataFrame([(rank, float(reg), float(alpha), fold, auc)], EVAL_SCHEMA)
         if on_result is not None:
             on_result(row)

@@ -169,10 +169,18 @@ def best_params(evals: DataFrame) -> tuple[int, float, float]:
     return int(best["rank"]), float(best["reg"]), float(best["alpha"])
 
 
+_MODELS: dict[tuple, object] = {}
+
+
 def als_model(spark: SparkSession, data_dir: str, rank: int = RANKS[0], reg: float = REGS[0],
               alpha: float = ALPHAS[0], p: Params = Params()):
-    train, _ = train_test(spark, data_dir, p)
-    return rec.train_als(train, rank, reg, alpha, ITERATIONS)
+    """R1 on all training rows; fitted once per application and parameters."""
+    key = (spark.sparkContext.applicationId, data_dir, rank, reg, alpha, p)
+    model = _MODELS.get(key)
+    if model is None:
+        train, _ = train_test(spark, data_dir, p)
+        model = _MODELS[key] = rec.train_als(train, rank, reg, alpha, ITERATIONS)
+    return model
 
 
 def als_top_n(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
@@ -199,9 +207,12 @@ def als_confusion(spark: SparkSession, data_dir: str, p: Params = Params(), **kw
 def grid_search_cv(spark: SparkSession, data_dir: str, p: Params = Params(),
                    ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 4,
                    on_result=None) -> DataFrame:
-    """``(rank, reg, alpha, fold, auc)`` for the whole grid."""
-    return rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
-                           p.folds, p.top_n, ITERATIONS, parallelism, on_result)
+    """``(rank, reg, alpha, fold, auc)`` for the whole grid, run once per
+    application and parameters (the evaluation rows are stored)."""
+    return store.stored(
+        spark, "grid", (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)),
+        lambda: rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
+                                p.folds, p.top_n, ITERATIONS, parallelism, on_result))
 
 
 def grid_eval_summary(evals: DataFrame) -> DataFrame:
