@@ -8,6 +8,7 @@ confusion counts come from :mod:`.metrics`.  ALS is Spark's own
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
@@ -153,6 +154,9 @@ def grid_search(
     """
     spark = assigned.sparkSession
     assigned = assigned.persist()
+    # Appends to one output folder must not overlap (the file committer's
+    # temporary folder is shared), so results are handed over one at a time.
+    report_lock = threading.Lock()
 
     def evaluate(task):
         rank, reg, alpha, fold = task
@@ -160,7 +164,8 @@ def grid_search(
         auc = auc_value(als_predictions_labels(model, assigned.where(F.col("fold") == fold), n))
         row = spark.createDataFrame([(rank, float(reg), float(alpha), fold, auc)], EVAL_SCHEMA)
         if on_result is not None:
-            on_result(row)
+            with report_lock:
+                on_result(row)
         return (rank, float(reg), float(alpha), fold, auc)
 
     tasks = list(product(ranks, regs, alphas, range(k)))

@@ -37,8 +37,14 @@ def test_new_user_named_list(spark):
 
 
 def test_grid_search_small(spark):
-    evals = R.grid_search_cv(spark, SF0001, ranks=(4,), regs=(0.1, 1.0), parallelism=2)
+    from tessera.operators.report import append_rows
+    from tessera.session import shared_path
+
+    log = shared_path(spark, "cv-log-test")
+    evals = R.grid_search_cv(spark, SF0001, ranks=(4,), regs=(0.1, 1.0), parallelism=4,
+                             on_result=lambda row: append_rows(row, log))
     rows = evals.collect()
+    assert spark.read.parquet(log).count() == 10
     assert len(rows) == 2 * 5 and all(r.auc is None or 0.0 <= r.auc <= 1.0 for r in rows)
     summary = R.grid_eval_summary(evals).collect()
     assert len(summary) == 2 and all(r.folds == 5 for r in summary)
