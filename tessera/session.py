@@ -26,6 +26,27 @@ SESSION_DEFAULTS = {
 }
 
 
+def sizing_conf(input_bytes: int, total_cores: int,
+                partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each, so
+    a task's working set fits in an executor core's memory share whatever
+    the scale; the shuffle partition count starts from the input size (at
+    least two waves of the cores) and AQE coalesces what turns out small
+    and splits skewed partitions of joins.  For 100 TB of input this gives
+    about 400,000 shuffle partitions before coalescing.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_session(
     app_name: str = "tessera",
     master: str | None = None,

@@ -86,3 +86,12 @@ def test_driver_export_is_bounded(spark):
     pdf = df.limit(10).toPandas()
     assert len(pdf) == 10
     assert sum(1 for _ in df.select("x").toLocalIterator()) == 100
+
+
+def test_sizing_conf_scales_with_input():
+    from tessera.session import sizing_conf
+
+    small = sizing_conf(10 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = sizing_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
