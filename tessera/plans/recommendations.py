@@ -17,6 +17,8 @@ from ..operators.metrics import confusion, exact_auc, mean_over_folds
 from ..operators.relational import (distinct_per_key, lookup_with_default,
                                     resolve_aliases, semi_join)
 from ..operators.sampling import kfold_assign, kfold_partitions, per_user_split
+from ..operators.report import append_rows
+from ..session import shared_path
 from ..sources import literals, tables
 from . import store
 
@@ -169,12 +171,40 @@ def best_params(evals: DataFrame) -> tuple[int, float, float]:
     return int(best["rank"]), float(best["reg"]), float(best["alpha"])
 
 
+def grid_search_cv(spark: SparkSession, data_dir: str, p: Params = Params(),
+                   ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 4) -> DataFrame:
+    """R4 + K9: ``(rank, reg, alpha, fold, auc)`` for the whole grid, run once
+    per application and parameters.  Each evaluation is appended to a log
+    table under the shared folder as it finishes; the rows are stored."""
+    def build() -> DataFrame:
+        log = shared_path(spark, "cv-results")
+        return rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
+                               p.folds, p.top_n, ITERATIONS, parallelism,
+                               on_result=lambda row: append_rows(row, log))
+    return store.stored(spark, "grid",
+                        (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)), build)
+
+
+def grid_eval_summary(evals: DataFrame) -> DataFrame:
+    """A12 + T3: mean AUC per parameter set, best first."""
+    return mean_over_folds(evals, ["rank", "reg", "alpha"])
+
+
+def chosen_params(spark: SparkSession, data_dir: str, p: Params = Params()
+                  ) -> tuple[int, float, float]:
+    """The grid's best parameters."""
+    return best_params(grid_search_cv(spark, data_dir, p))
+
+
 _MODELS: dict[tuple, object] = {}
 
 
-def als_model(spark: SparkSession, data_dir: str, rank: int = RANKS[0], reg: float = REGS[0],
-              alpha: float = ALPHAS[0], p: Params = Params()):
-    """R1 on all training rows; fitted once per application and parameters."""
+def als_model(spark: SparkSession, data_dir: str, rank: int | None = None,
+              reg: float | None = None, alpha: float | None = None, p: Params = Params()):
+    """R1/R5 on all training rows, with the grid's best parameters unless
+    given; fitted once per application and parameters."""
+    if rank is None or reg is None or alpha is None:
+        rank, reg, alpha = chosen_params(spark, data_dir, p)
     key = (spark.sparkContext.applicationId, data_dir, rank, reg, alpha, p)
     model = _MODELS.get(key)
     if model is None:
@@ -196,34 +226,22 @@ def als_predictions_labels(spark: SparkSession, data_dir: str, p: Params = Param
 
 
 def als_auc(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
-    """R5 + R6: AUC of a model trained on all training rows, on the test rows."""
+    """R5 + R6: AUC on the test rows of a model trained on all training rows."""
     return exact_auc(als_predictions_labels(spark, data_dir, p, **kw))
 
 
 def als_confusion(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
+    """R6 + A10: confusion counts of the same lists."""
     return confusion(als_predictions_labels(spark, data_dir, p, **kw))
 
 
-def grid_search_cv(spark: SparkSession, data_dir: str, p: Params = Params(),
-                   ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 4,
-                   on_result=None) -> DataFrame:
-    """``(rank, reg, alpha, fold, auc)`` for the whole grid, run once per
-    application and parameters (the evaluation rows are stored)."""
-    return store.stored(
-        spark, "grid", (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)),
-        lambda: rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
-                                p.folds, p.top_n, ITERATIONS, parallelism, on_result))
-
-
-def grid_eval_summary(evals: DataFrame) -> DataFrame:
-    """A12 + T3: mean AUC per parameter set, best first."""
-    return mean_over_folds(evals, ["rank", "reg", "alpha"])
-
-
 def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
-                   rank: int = RANKS[0], reg: float = REGS[0], alpha: float = ALPHAS[0]
-                   ) -> DataFrame:
-    """Retrain with the new user's rows, top 25 items named (``Unknown(id)`` if unnamed)."""
+                   rank: int | None = None, reg: float | None = None,
+                   alpha: float | None = None) -> DataFrame:
+    """Retrain (best grid parameters unless given) with the new user's
+    rows; the top 25 items, named (``Unknown(id)`` when unnamed)."""
+    if rank is None or reg is None or alpha is None:
+        rank, reg, alpha = chosen_params(spark, data_dir, p)
     augmented = train_plus_new_user(spark, data_dir, p)
     model = rec.train_als(augmented, rank, reg, alpha, ITERATIONS)
     me = spark.range(1).select(F.lit(NEW_USER_ID).cast("bigint").alias("user"))

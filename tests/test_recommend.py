@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import recommendations as R
 from tessera.operators import recommend as rec
+from tessera.operators.sampling import kfold_assign as rec_assign
 
 from conftest import SF0001
 
@@ -41,8 +42,9 @@ def test_grid_search_small(spark):
     from tessera.session import shared_path
 
     log = shared_path(spark, "cv-log-test")
-    evals = R.grid_search_cv(spark, SF0001, ranks=(4,), regs=(0.1, 1.0), parallelism=4,
-                             on_result=lambda row: append_rows(row, log))
+    train, _ = R.train_test(spark, SF0001)
+    evals = rec.grid_search(rec_assign(train), ranks=(4,), regs=(0.1, 1.0), parallelism=4,
+                            on_result=lambda row: append_rows(row, log))
     rows = evals.collect()
     assert spark.read.parquet(log).count() == 10
     assert len(rows) == 2 * 5 and all(r.auc is None or 0.0 <= r.auc <= 1.0 for r in rows)
