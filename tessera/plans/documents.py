@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import concepts as C
 from ..operators import textmining as T
-from ..sources import delimited, staging, tables
+from ..sources import delimited, files, staging, tables
 from . import store
 
 # The reference's ten three-word queries.
@@ -45,8 +45,17 @@ class Params:
     stop_top: int = 7
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
-    """P1 + P3: ``(doc_id, title, genre, text)``, rows with a null dropped."""
+Source = str | files.PlotFiles
+
+
+def docs(spark: SparkSession, d: Source) -> DataFrame:
+    """P1 + P3: ``(doc_id, title, genre, text)``, rows with a null dropped.
+
+    ``d`` is a parquet data folder (the ``documents`` table) or the
+    reference's plot CSV and stop-word file (:class:`files.PlotFiles`),
+    whose rows get ids once, in a stored table."""
+    if isinstance(d, files.PlotFiles):
+        return store.stored(spark, "documents", (d,), lambda: files.documents(spark, d))
     return tables.documents(spark, d)
 
 
@@ -54,8 +63,11 @@ def tokens(spark: SparkSession, d: str) -> DataFrame:
     return T.tokenize(docs(spark, d))
 
 
-def stopwords(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
-    """The stop-word file (derived from the English documents) read back."""
+def stopwords(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """The stop-word file: the given one, or for a data folder one derived
+    from its English documents and read back."""
+    if isinstance(d, files.PlotFiles):
+        return files.stopwords(spark, d)
     return delimited.read_stopwords(
         spark, staging.stopword_file(spark, d, raw_counts(spark, d), p.stop_top))
 

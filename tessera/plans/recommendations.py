@@ -19,7 +19,7 @@ from ..operators.relational import (distinct_per_key, lookup_with_default,
 from ..operators.sampling import kfold_assign, kfold_partitions, per_user_split
 from ..operators.report import append_rows
 from ..session import shared_path
-from ..sources import literals, tables
+from ..sources import files, literals, tables
 from . import store
 
 # The reference keeps users with at least 100 distinct items; after alias
@@ -39,6 +39,10 @@ NEW_USER_ITEMS = tuple(range(8))
 NEW_USER_TOP = 25
 
 
+# A parquet data folder (stand-ins) or the reference's own files.
+Source = str | files.PlayFiles
+
+
 @dataclass(frozen=True)
 class Params:
     min_items: int = MIN_ITEMS
@@ -51,16 +55,35 @@ def ratings_canonical(spark: SparkSession, data_dir: str) -> DataFrame:
     """``(user, item, rating, row_key)``: play counts with aliased items
     replaced, written once per application (every later step reads it)."""
     def build() -> DataFrame:
-        plays = tables.play_counts(spark, data_dir)
-        resolved = resolve_aliases(plays, tables.alias_pairs(spark, data_dir))
+        if isinstance(data_dir, files.PlayFiles):
+            plays = files.plays(spark, data_dir)
+            identity = ["user", "item", "row_id", "count"]
+        else:
+            plays = tables.play_counts(spark, data_dir)
+            identity = ["user", "item", "o_orderkey", "l_linenumber", "count"]
+        resolved = resolve_aliases(plays, aliases(spark, data_dir))
         return resolved.select(
             "user", "item",
             F.col("count").cast("double").alias("rating"),
-            row_key("user", "item", "o_orderkey", "l_linenumber", "count").alias("row_key"),
+            row_key(*identity).alias("row_key"),
         )
     return store.stored(spark, "ratings", (data_dir,), build)
 
 
+def aliases(spark: SparkSession, data_dir: Source) -> DataFrame:
+    """``(bad_id, good_id)``: the alias file, or the stand-in from ``part``."""
+    if isinstance(data_dir, files.PlayFiles):
+        return files.aliases(spark, data_dir)
+    return tables.alias_pairs(spark, data_dir)
+
+
+def entity_names(spark: SparkSession, data_dir: Source) -> DataFrame:
+    """``(id, name)``: the name file, or the stand-in from ``part``."""
+    if isinstance(data_dir, files.PlayFiles):
+        return files.names(spark, data_dir)
+    return tables.entity_names(spark, data_dir)
+
+
 def distinct_items_per_user(ratings: DataFrame) -> DataFrame:
     """A2: ``(user, n_items)``."""
     return distinct_per_key(ratings, "user", "item", "n_items")
@@ -148,8 +171,10 @@ def split_user_parity(spark: SparkSession, data_dir: str, p: Params = Params())
 
 def new_user_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     """S9 + J1: the new user's literal ratings, items mapped through the alias list."""
-    rows = literals.rating_rows(spark, NEW_USER_ID, list(NEW_USER_ITEMS), NEW_USER_COUNT)
-    resolved = resolve_aliases(rows, tables.alias_pairs(spark, data_dir))
+    items = (data_dir.new_user_items if isinstance(data_dir, files.PlayFiles)
+             else NEW_USER_ITEMS)
+    rows = literals.rating_rows(spark, NEW_USER_ID, list(items), NEW_USER_COUNT)
+    resolved = resolve_aliases(rows, aliases(spark, data_dir))
     return resolved.select(
         "user", "item",
         F.col("count").cast("double").alias("rating"),
@@ -246,7 +271,7 @@ def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
     model = rec.train_als(augmented, rank, reg, alpha, ITERATIONS)
     me = spark.range(1).select(F.lit(NEW_USER_ID).cast("bigint").alias("user"))
     top = rec.recommend_top_n(model, me, NEW_USER_TOP)
-    names = tables.entity_names(spark, data_dir)
+    names = entity_names(spark, data_dir)
     default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))
     return lookup_with_default(top, names, "item", "id", "name", "name", default)
 
@@ -254,6 +279,6 @@ def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
 def name_lookup_default(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
     """The popular items with their names, ``Unknown(id)`` when unnamed."""
     top = popularity_top_n(spark, data_dir, p).select("rank", "item")
-    names = tables.entity_names(spark, data_dir)
+    names = entity_names(spark, data_dir)
     default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))
     return lookup_with_default(top, names, "item", "id", "name", "name", default)

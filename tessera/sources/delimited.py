@@ -88,20 +88,33 @@ def parse_names(lines: DataFrame) -> DataFrame:
     Only lines with exactly two fields and an integer first field are kept;
     the name is stripped.  Invalid UTF-8 byte sequences become U+FFFD.
     """
+    return _names(lines)
+
+
+def _names(lines: DataFrame, *keep: str) -> DataFrame:
     parts = F.split(F.make_valid_utf8(F.col("value")), "\t", -1)
     return (
-        lines.select(parts.alias("p"))
+        lines.select(parts.alias("p"), *keep)
         .where(F.size("p") == 2)
         .select(
             F.col("p").getItem(0).try_cast("bigint").alias("id"),
             strip_ws(F.col("p").getItem(1)).alias("name"),
+            *keep,
         )
         .where(F.col("id").isNotNull())
     )
 
 
-def parse_ratings(lines: DataFrame) -> DataFrame:
-    """``user item count`` lines (single spaces) -> ``(user, item, count)``.
+def parse_names_last_wins(lines: DataFrame) -> DataFrame:
+    """S6 as a lookup table: one row per id, the last line's name winning
+    (``max_by`` over the line order, combined map-side)."""
+    parsed = _names(_with_line_order(lines), "_order")
+    return parsed.groupBy("id").agg(F.max_by("name", "_order").alias("name"))
+
+
+def parse_ratings(lines: DataFrame, *keep: str) -> DataFrame:
+    """``user item count`` lines (single spaces) -> ``(user, item, count)``
+    plus the ``keep`` columns.
 
     Extra fields are ignored; a missing or non-integer field fails the job.
     """
@@ -110,6 +123,7 @@ def parse_ratings(lines: DataFrame) -> DataFrame:
         parts.getItem(0).cast("bigint").alias("user"),
         parts.getItem(1).cast("bigint").alias("item"),
         parts.getItem(2).cast("bigint").alias("count"),
+        *keep,
     )
 
 
