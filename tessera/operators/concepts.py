@@ -28,6 +28,8 @@ from .ranking import top_n_per_group
 
 K = 25
 RCOND = 1e-6
+# Largest vocabulary decomposed through the Gramian (see ``truncated_svd``).
+GRAMIAN_MAX_TERMS = 2000
 # Queries scored per pass over the document vectors.
 QUERY_BATCH = 256
 
@@ -76,19 +78,40 @@ def fix_signs(V: np.ndarray) -> np.ndarray:
     return V
 
 
+def _gramian_svd(matrix: IndexedRowMatrix, k: int, rcond: float) -> tuple[np.ndarray, np.ndarray]:
+    """``A^T A`` in one distributed pass (Spark), eigenvectors on the driver."""
+    w, vecs = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+    order = np.argsort(w)[::-1][:k]
+    s = np.sqrt(np.clip(w[order], 0.0, None))
+    keep = int(np.sum(s >= rcond * s[0])) if len(s) and s[0] > 0 else 0
+    return s[:keep], vecs[:, order[:keep]]
+
+
 def truncated_svd(spark: SparkSession, tfidf: DataFrame, num_terms: int, k: int = K,
-                  rcond: float = RCOND) -> Decomposition:
+                  rcond: float = RCOND, method: str = "auto") -> Decomposition:
     """M3: the ``k`` largest singular values and right singular vectors.
 
-    Singular values below ``rcond * s_max`` are dropped, so fewer than ``k``
-    concepts may come back; callers loop over what is returned.
+    ``method``: ``"arpack"`` is Spark's ``computeSVD`` (about 90 passes over
+    the persisted rows for k = 25); ``"gramian"`` is Spark's one-pass
+    ``computeGramianMatrix`` and a ``num_terms x num_terms`` eigendecomposition
+    on the driver; ``"auto"`` takes the Gramian up to
+    ``GRAMIAN_MAX_TERMS`` terms (dense partials of at most 16 MB per task),
+    ARPACK above.  Singular values below ``rcond * s_max`` are dropped, so
+    fewer than ``k`` concepts may come back; callers loop over what is
+    returned.
     """
+    if method == "auto":
+        method = "gramian" if num_terms <= GRAMIAN_MAX_TERMS else "arpack"
     rows = sparse_rows(spark, tfidf, num_terms).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         k_eff = max(1, min(k, num_terms))
-        svd = IndexedRowMatrix(rows, 0, num_terms).computeSVD(k_eff, computeU=False, rCond=rcond)
-        s = np.asarray(svd.s.toArray(), dtype=float)
-        V = fix_signs(np.asarray(svd.V.toArray(), dtype=float)) if len(s) else np.zeros((num_terms, 0))
+        matrix = IndexedRowMatrix(rows, 0, num_terms)
+        if method == "gramian":
+            s, V = _gramian_svd(matrix, k_eff, rcond)
+        else:
+            svd = matrix.computeSVD(k_eff, computeU=False, rCond=rcond)
+            s, V = np.asarray(svd.s.toArray(), dtype=float), np.asarray(svd.V.toArray(), dtype=float)
+        V = fix_signs(V) if len(s) else np.zeros((num_terms, 0))
     finally:
         rows.unpersist()
     sigma = spark.createDataFrame([(j, float(v)) for j, v in enumerate(s)], "concept int, s double")

@@ -1,6 +1,7 @@
 """M3-M7: SVD against numpy, U*S = A*V, keyword search edge cases."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import concepts as C
@@ -28,6 +29,17 @@ def test_svd_matches_numpy(spark):
     assert us[5] == [0.0] * len(dec.s)
 
 
+@pytest.mark.parametrize("method", ["gramian", "arpack"])
+def test_methods_agree(spark, method):
+    rng = np.random.default_rng(11)
+    A = rng.random((120, 110)) * (rng.random((120, 110)) < 0.2)
+    dec = C.truncated_svd(spark, _coo(spark, A), 110, k=5, method=method)
+    assert np.allclose(dec.s, np.linalg.svd(A, compute_uv=False)[:5], rtol=1e-8)
+    _, _, vt = np.linalg.svd(A)
+    ref = C.fix_signs(vt[:5].T)
+    assert np.allclose(dec.V, ref, atol=1e-6)
+
+
 def test_rank_one_matrix_keeps_one_concept(spark):
     u = np.arange(1, 9, dtype=float)
     v = np.array([1.0, 2.0, 0.0, 3.0, 1.0])
