@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .metrics import auc_value, confusion, exact_auc
+from .relational import sum_per_key
 
 ALS_SEED = 42
 # Partitions the ALS input is arranged into before a fit, so the same rows
@@ -28,7 +29,7 @@ ALS_INPUT_PARTITIONS = 8
 def item_popularity(train: DataFrame, item_col: str = "item",
                     rating_col: str = "rating") -> DataFrame:
     """A3: ``(item, total)``, the summed rating per item (partial sums map-side)."""
-    return train.groupBy(item_col).agg(F.sum(rating_col).alias("total"))
+    return sum_per_key(train, item_col, rating_col, "total")
 
 
 def top_items(popularity: DataFrame, n: int, item_col: str = "item") -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.keys import row_key
 from ..operators import recommend as rec
 from ..operators.metrics import confusion, exact_auc, mean_over_folds
-from ..operators.relational import (distinct_per_key, lookup_with_default,
-                                    resolve_aliases, semi_join)
+from ..operators.relational import (distinct_pairs, distinct_per_key, lookup_with_default,
+                                    resolve_aliases, semi_join, union_rows)
 from ..operators.sampling import kfold_assign, kfold_partitions, per_user_split
 from ..operators.report import append_rows
 from ..session import shared_path
@@ -152,7 +152,7 @@ def kfold_table(spark: SparkSession, data_dir: str, p: Params = Params()) -> Dat
 def ground_truth_pairs(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
     """A7 in relational form: the distinct ``(user, item)`` pairs of the test rows."""
     _, test = train_test(spark, data_dir, p)
-    return test.select("user", "item").distinct()
+    return distinct_pairs(test, ["user", "item"])
 
 
 def split_user_parity(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
@@ -185,7 +185,7 @@ def new_user_rows(spark: SparkSession, data_dir: str) -> DataFrame:
 def train_plus_new_user(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
     """Training rows with the new user's rows appended."""
     train, _ = train_test(spark, data_dir, p)
-    return train.unionByName(new_user_rows(spark, data_dir))
+    return union_rows(train, new_user_rows(spark, data_dir))
 
 
 # ---- ALS (Spark's solver; results are checked by row counts and properties) ----

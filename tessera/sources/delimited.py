@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip_ws
+from ..operators.relational import last_value_per_key
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +80,7 @@ def parse_alias(lines: DataFrame) -> DataFrame:
             "_order",
         )
     )
-    return parsed.groupBy("bad_id").agg(F.max_by("good_id", "_order").alias("good_id"))
+    return last_value_per_key(parsed, "bad_id", "good_id", "_order")
 
 
 def parse_names(lines: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def parse_names_last_wins(lines: DataFrame) -> DataFrame:
     """S6 as a lookup table: one row per id, the last line's name winning
     (``max_by`` over the line order, combined map-side)."""
     parsed = _names(_with_line_order(lines), "_order")
-    return parsed.groupBy("id").agg(F.max_by("name", "_order").alias("name"))
+    return last_value_per_key(parsed, "id", "name", "_order")
 
 
 def parse_ratings(lines: DataFrame, *keep: str) -> DataFrame:

@@ -78,3 +78,14 @@ def test_query_vector_repeats_add_unknown_dropped(spark):
     q = spark.createDataFrame([(0, "war"), (0, "war"), (0, "zzz"), (1, "nothing")], "query_id int, term string")
     got = sorted(tuple(r) for r in T.query_vector(q, idf).collect())
     assert got == [(0, 0, 4.0)]
+
+
+def test_one_pass_token_rule_equals_strip_then_check(spark):
+    from tessera.functions.text import is_word, strip_outer_punct, word_of
+
+    pieces = ["don't", "(hello)", "--naïve--", "u.s.", "42nd", "ab", "abc", "...", "", "x-ray",
+              "«équipe»", "über!", "a1b", "1abc", "abc1", "'s", "n't", "ñandú,"]
+    df = spark.createDataFrame([(p,) for p in pieces], "piece string")
+    two_step = F.when(is_word(strip_outer_punct("piece")), strip_outer_punct("piece")).otherwise(F.lit(""))
+    rows = df.select("piece", word_of("piece").alias("one"), two_step.alias("two")).collect()
+    assert all(r.one == r.two for r in rows), [(r.piece, r.one, r.two) for r in rows if r.one != r.two]
