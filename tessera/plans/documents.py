@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import concepts as C
 from ..operators import textmining as T
+from ..operators.sampling import hash_sample
 from ..sources import delimited, files, staging, tables
 from . import store
 
@@ -43,24 +44,31 @@ class Params:
     genres: int = 5
     results: int = 10
     stop_top: int = 7
+    # Share of documents kept (hash sample on the document key); 1.0 keeps all.
+    sample_fraction: float = 1.0
 
 
 Source = str | files.PlotFiles
 
 
-def docs(spark: SparkSession, d: Source) -> DataFrame:
-    """P1 + P3: ``(doc_id, title, genre, text)``, rows with a null dropped.
+def docs(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """P1 + P3 + P14: ``(doc_id, title, genre, text)``, rows with a null
+    dropped, hash-sampled when ``p.sample_fraction < 1``.
 
     ``d`` is a parquet data folder (the ``documents`` table) or the
     reference's plot CSV and stop-word file (:class:`files.PlotFiles`),
     whose rows get ids once, in a stored table."""
     if isinstance(d, files.PlotFiles):
-        return store.stored(spark, "documents", (d,), lambda: files.documents(spark, d))
-    return tables.documents(spark, d)
+        out = store.stored(spark, "documents", (d,), lambda: files.documents(spark, d))
+    else:
+        out = tables.documents(spark, d)
+    if p.sample_fraction < 1.0:
+        out = hash_sample(out, p.sample_fraction, ["doc_id"])
+    return out
 
 
-def tokens(spark: SparkSession, d: str) -> DataFrame:
-    return T.tokenize(docs(spark, d))
+def tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    return T.tokenize(docs(spark, d, p))
 
 
 def stopwords(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -69,14 +77,16 @@ def stopwords(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame
     if isinstance(d, files.PlotFiles):
         return files.stopwords(spark, d)
     return delimited.read_stopwords(
-        spark, staging.stopword_file(spark, d, raw_counts(spark, d), p.stop_top))
+        spark, staging.stopword_file(spark, d, raw_counts(spark, d, p), p.stop_top,
+                                     tag=f"-{p.sample_fraction}"))
 
 
-def raw_counts(spark: SparkSession, d: str) -> DataFrame:
+def raw_counts(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """Bag of words ``(doc_id, term, cnt)`` of raw tokens (before lemmas and
     stop words), written once per application: the text is tokenized once
     and every later step (lexicon, lemmas, stop words, TF) reads this table."""
-    return store.stored(spark, "bag_of_words", (d,), lambda: T.token_counts(tokens(spark, d)))
+    return store.stored(spark, "bag_of_words", (d, p.sample_fraction),
+                        lambda: T.token_counts(tokens(spark, d, p)))
 
 
 def _lemmas_from(raw: DataFrame) -> DataFrame:
@@ -85,22 +95,22 @@ def _lemmas_from(raw: DataFrame) -> DataFrame:
     return T.lemma_table(term_df.select("term"), lexicon)
 
 
-def lemmas(spark: SparkSession, d: str) -> DataFrame:
+def lemmas(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """``(term, lemma)`` with the corpus lexicon (tokens in >= 2 documents).
 
     Distinct terms and the lexicon come from one aggregation of the raw
     counts, so the text is tokenized once.
     """
-    return _lemmas_from(raw_counts(spark, d))
+    return _lemmas_from(raw_counts(spark, d, p))
 
 
-def lemma_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return T.lemmatize_tokens(tokens(spark, d), lemmas(spark, d))
+def lemma_tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    return T.lemmatize_tokens(tokens(spark, d, p), lemmas(spark, d, p))
 
 
 def tokens_without_stopwords(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     """``(doc_id, pos, term)``: lemmas that are not stop words."""
-    kept = T.drop_stopwords(lemma_tokens(spark, d), stopwords(spark, d, p), "lemma")
+    kept = T.drop_stopwords(lemma_tokens(spark, d, p), stopwords(spark, d, p), "lemma")
     return kept.select("doc_id", "pos", F.col("lemma").alias("term"))
 
 
@@ -108,13 +118,13 @@ def term_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     """A4: ``(doc_id, term, cnt)``, written once per application (shared by
     every later step of the concepts chain)."""
     def build() -> DataFrame:
-        raw = raw_counts(spark, d)
+        raw = raw_counts(spark, d, p)
         return T.term_frequencies_from_counts(raw, _lemmas_from(raw), stopwords(spark, d, p))
-    return store.stored(spark, "term_freq", (d, p.stop_top), build)
+    return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
 
 
 def doc_lengths(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
-    return T.doc_lengths(term_freq(spark, d, p), docs(spark, d))
+    return T.doc_lengths(term_freq(spark, d, p), docs(spark, d, p))
 
 
 def doc_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
@@ -126,7 +136,7 @@ def vocabulary(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
 
 
 def idf(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
-    return T.idf_table(vocabulary(spark, d, p), docs(spark, d))
+    return T.idf_table(vocabulary(spark, d, p), docs(spark, d, p))
 
 
 def tfidf(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
@@ -138,7 +148,7 @@ def doc_metadata_lookup(spark: SparkSession, d: str, p: Params = Params()) -> Da
     """J8 + W4: ``(doc_id, title, genre)`` of every document with a term;
     genre ``unknown`` when the document table has none."""
     ids = term_freq(spark, d, p).select("doc_id").distinct()
-    meta = docs(spark, d).select("doc_id", "title", "genre")
+    meta = docs(spark, d, p).select("doc_id", "title", "genre")
     j = ids.join(meta, "doc_id", "left")
     return j.select("doc_id", F.coalesce(F.col("title"), F.col("doc_id").cast("string")).alias("title"),
                     F.coalesce(F.col("genre"), F.lit("unknown")).alias("genre"))
@@ -164,7 +174,7 @@ def svd_singular_values(spark: SparkSession, d: str, p: Params = Params()) -> Da
 
 
 def doc_vectors(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
-    return C.doc_vectors(tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d))
+    return C.doc_vectors(tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d, p))
 
 
 def doc_concept_scores(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
@@ -178,7 +188,7 @@ def concept_top_terms(spark: SparkSession, d: str, p: Params = Params()) -> Data
 
 def concept_top_docs(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     return C.concept_top_docs(doc_vectors(spark, d, p), decomposition(spark, d, p),
-                              docs(spark, d), p.top_docs)
+                              docs(spark, d, p), p.top_docs)
 
 
 def concept_genres(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
@@ -220,14 +230,14 @@ def keyword_search(spark: SparkSession, d: str, p: Params = Params()) -> DataFra
     """M7 + M8: top ``results`` documents of every query."""
     dec = decomposition(spark, d, p)
     qc = C.query_concepts(query_vector(spark, d, p), dec, query_words(spark, d, p))
-    return C.keyword_search(doc_vectors(spark, d, p), qc, docs(spark, d), p.results)
+    return C.keyword_search(doc_vectors(spark, d, p), qc, docs(spark, d, p), p.results)
 
 
 def matrix_shapes(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     """One row ``(n_docs, n_terms, n_concepts)``."""
     n_concepts = len(decomposition(spark, d, p).s)
     n_terms = vocabulary(spark, d, p).agg(F.count(F.lit(1))).scalar()
-    return docs(spark, d).agg(F.count(F.lit(1)).alias("n_docs")).select(
+    return docs(spark, d, p).agg(F.count(F.lit(1)).alias("n_docs")).select(
         "n_docs", n_terms.alias("n_terms"), F.lit(n_concepts).cast("bigint").alias("n_concepts"))
 
 
@@ -237,7 +247,7 @@ def run_report(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     from ..operators import report as RP
 
     dec = decomposition(spark, d, p)
-    dcs, vocab = docs(spark, d), vocabulary(spark, d, p)
+    dcs, vocab = docs(spark, d, p), vocabulary(spark, d, p)
     svals = ", ".join(f"{v:.4f}" for v in dec.s)
     n_docs = dcs.agg(F.count(F.lit(1))).scalar()
     n_terms = vocab.agg(F.count(F.lit(1))).scalar()
@@ -247,6 +257,7 @@ def run_report(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
         RP.timestamp_entry(spark),
         spark.range(1).select(*RP.entry("run", "num_terms", F.lit(p.num_terms))),
         spark.range(1).select(*RP.entry("run", "k", F.lit(p.k))),
+        spark.range(1).select(*RP.entry("run", "sample", F.lit(f"{p.sample_fraction * 100:.0f}%"))),
         RP.scalar_entry(dcs, "dataframe", "total_rows", F.count(F.lit(1))),
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),
         RP.scalar_entry(vocab, "idf", "vocabulary_size", F.count(F.lit(1))),

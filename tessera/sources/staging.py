@@ -84,7 +84,8 @@ def plot_csv(spark: SparkSession, data_dir: str) -> str:
     return _staged(spark, data_dir, "plots", write)
 
 
-def stopword_file(spark: SparkSession, data_dir: str, counts: DataFrame, top: int = 7) -> str:
+def stopword_file(spark: SparkSession, data_dir: str, counts: DataFrame, top: int = 7,
+                  tag: str = "") -> str:
     """Stop words, one per line: the ``top`` most frequent tokens of the
     English documents (by occurrences, ties by token), from the token count
     table ``counts`` ``(doc_id, term, cnt)``."""
@@ -95,4 +96,4 @@ def stopword_file(spark: SparkSession, data_dir: str, counts: DataFrame, top: in
         en_counts = counts.join(english.select("doc_id"), "doc_id", "left_semi")
         words = frequent_terms(en_counts, top)
         write_lines(words.select(F.col("token").alias("value")), path)
-    return _staged(spark, data_dir, f"stopwords{top}", write)
+    return _staged(spark, data_dir, f"stopwords{top}{tag}", write)

@@ -88,3 +88,10 @@ def test_concepts_from_files(spark, plot_files):
     assert len(hits) == 10
     report = D.run_report(spark, plot_files, p)
     assert report.where("section = 'concept 1'").count() == 3
+
+
+def test_document_sample(spark, plot_files):
+    half = D.Params(num_terms=50, k=3, sample_fraction=0.5)
+    n = D.docs(spark, plot_files, half).count()
+    assert 5 < n < 25
+    assert D.tfidf(spark, plot_files, half).select("doc_id").distinct().count() <= n
