@@ -11,7 +11,7 @@ from ..sources import delimited, staging, tables
 from . import documents as D
 from . import recommendations as R
 
-VIEW_NAME = "titanic"
+VIEW_NAME = "passengers"
 PLOT_COLUMNS = ("Title", "Genre", "Plot")
 PREVIEW_ROWS = 5
 PREVIEW_WIDTH = 80

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_sample_predicate, row_key
 from . import delimited
 
-# The reference's new user's items (rap artists in its play-count data).
+# The new user's items used by the reference on its own play-count data.
 REFERENCE_NEW_USER_ITEMS = (829, 930, 1811, 1001819, 1007435, 1004028, 250, 1004496)
 
 

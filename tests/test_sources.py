@@ -77,8 +77,8 @@ def test_csv_inferred_types(spark, tmp_path):
     p.write_text("id,Name,fare\n1,Ann,7.25\n2,Bob,8.5\n")
     df = delimited.read_csv_inferred(spark, str(p))
     assert dict(df.dtypes) == {"id": "int", "Name": "string", "fare": "double"}
-    df.createOrReplaceTempView("titanic_t")
-    assert [r.Name for r in spark.sql("SELECT Name FROM titanic_t ORDER BY id").collect()] == ["Ann", "Bob"]
+    df.createOrReplaceTempView("passengers_t")
+    assert [r.Name for r in spark.sql("SELECT Name FROM passengers_t ORDER BY id").collect()] == ["Ann", "Bob"]
 
 
 def test_driver_export_is_bounded(spark):
