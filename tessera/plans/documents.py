@@ -108,13 +108,13 @@ def lemma_tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFr
     return T.lemmatize_tokens(tokens(spark, d, p), lemmas(spark, d, p))
 
 
-def tokens_without_stopwords(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def tokens_without_stopwords(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """``(doc_id, pos, term)``: lemmas that are not stop words."""
     kept = T.drop_stopwords(lemma_tokens(spark, d, p), stopwords(spark, d, p), "lemma")
     return kept.select("doc_id", "pos", F.col("lemma").alias("term"))
 
 
-def term_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def term_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """A4: ``(doc_id, term, cnt)``, written once per application (shared by
     every later step of the concepts chain)."""
     def build() -> DataFrame:
@@ -123,28 +123,28 @@ def term_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
 
 
-def doc_lengths(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def doc_lengths(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.doc_lengths(term_freq(spark, d, p), docs(spark, d, p))
 
 
-def doc_freq(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def doc_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.document_frequency(term_freq(spark, d, p))
 
 
-def vocabulary(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def vocabulary(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.vocabulary(doc_freq(spark, d, p), p.num_terms)
 
 
-def idf(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def idf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.idf_table(vocabulary(spark, d, p), docs(spark, d, p))
 
 
-def tfidf(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def tfidf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     tf = term_freq(spark, d, p)
     return T.tfidf_coo(tf, T.doc_lengths(tf), idf(spark, d, p))
 
 
-def doc_metadata_lookup(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def doc_metadata_lookup(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """J8 + W4: ``(doc_id, title, genre)`` of every document with a term;
     genre ``unknown`` when the document table has none."""
     ids = term_freq(spark, d, p).select("doc_id").distinct()
@@ -157,7 +157,7 @@ def doc_metadata_lookup(spark: SparkSession, d: str, p: Params = Params()) -> Da
 _DECOMPOSITIONS: dict[tuple, C.Decomposition] = {}
 
 
-def decomposition(spark: SparkSession, d: str, p: Params = Params()) -> C.Decomposition:
+def decomposition(spark: SparkSession, d: Source, p: Params = Params()) -> C.Decomposition:
     """M3, computed once per application, data folder and parameters."""
     key = (spark.sparkContext.applicationId, d, p)
     dec = _DECOMPOSITIONS.get(key)
@@ -168,39 +168,39 @@ def decomposition(spark: SparkSession, d: str, p: Params = Params()) -> C.Decomp
     return dec
 
 
-def svd_singular_values(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def svd_singular_values(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M3: ``(concept, s)``."""
     return decomposition(spark, d, p).sigma
 
 
-def doc_vectors(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def doc_vectors(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.doc_vectors(tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d, p))
 
 
-def doc_concept_scores(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def doc_concept_scores(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M4: ``(doc_id, concept, score)`` of ``U * S``, all documents."""
     return C.doc_concept_scores(doc_vectors(spark, d, p))
 
 
-def concept_top_terms(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def concept_top_terms(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.concept_top_terms(decomposition(spark, d, p), vocabulary(spark, d, p), p.top_terms)
 
 
-def concept_top_docs(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def concept_top_docs(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.concept_top_docs(doc_vectors(spark, d, p), decomposition(spark, d, p),
                               docs(spark, d, p), p.top_docs)
 
 
-def concept_genres(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def concept_genres(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.concept_genres(concept_top_docs(spark, d, p), p.genres)
 
 
-def concept_report_lines(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def concept_report_lines(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.concept_report_lines(concept_top_terms(spark, d, p), concept_top_docs(spark, d, p),
                                   p.genres)
 
 
-def query_words(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def query_words(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """``(query_id, term)``: the reference's ten queries (ids 0-9), ten
     three-word queries from vocabulary ids 0-29 (ids 10-19), and one with a
     repeated known word and an unknown word (id 20)."""
@@ -214,26 +214,26 @@ def query_words(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
     return fixed.unionByName(derived).unionByName(first).unionByName(first).unionByName(unknown)
 
 
-def query_vector(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def query_vector(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M5: ``(query_id, term_id, w)``."""
     return T.query_vector(query_words(spark, d, p), idf(spark, d, p))
 
 
-def query_concepts(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def query_concepts(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M6: ``(query_id, concept, x)`` of ``V^T q``."""
     qc = C.query_concepts(query_vector(spark, d, p), decomposition(spark, d, p),
                           query_words(spark, d, p))
     return qc.select("query_id", F.posexplode("qc").alias("concept", "x"))
 
 
-def keyword_search(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def keyword_search(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M7 + M8: top ``results`` documents of every query."""
     dec = decomposition(spark, d, p)
     qc = C.query_concepts(query_vector(spark, d, p), dec, query_words(spark, d, p))
     return C.keyword_search(doc_vectors(spark, d, p), qc, docs(spark, d, p), p.results)
 
 
-def matrix_shapes(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def matrix_shapes(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """One row ``(n_docs, n_terms, n_concepts)``."""
     n_concepts = len(decomposition(spark, d, p).s)
     n_terms = vocabulary(spark, d, p).agg(F.count(F.lit(1))).scalar()
@@ -241,7 +241,7 @@ def matrix_shapes(spark: SparkSession, d: str, p: Params = Params()) -> DataFram
         "n_docs", n_terms.alias("n_terms"), F.lit(n_concepts).cast("bigint").alias("n_concepts"))
 
 
-def run_report(spark: SparkSession, d: str, p: Params = Params()) -> DataFrame:
+def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """The run report ``(section, key, value)``: counts, vocabulary,
     singular values, matrix shapes, one line set per concept and per query."""
     from ..operators import report as RP

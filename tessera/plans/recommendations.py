@@ -1,5 +1,6 @@
 """Play counts -> canonical ratings -> qualified users -> split -> popularity
-baseline and implicit ALS, as DataFrame plans over a data folder.
+baseline and implicit ALS, as DataFrame plans over a data folder (the
+stand-in tables) or the reference's own files (``files.PlayFiles``).
 
 Parameters default to the reference's, except ``MIN_ITEMS`` (see below).
 """
@@ -51,7 +52,7 @@ class Params:
     folds: int = FOLDS
 
 
-def ratings_canonical(spark: SparkSession, data_dir: str) -> DataFrame:
+def ratings_canonical(spark: SparkSession, data_dir: Source) -> DataFrame:
     """``(user, item, rating, row_key)``: play counts with aliased items
     replaced, written once per application (every later step reads it)."""
     def build() -> DataFrame:
@@ -99,27 +100,27 @@ def qualified_ratings(ratings: DataFrame, min_items: int = MIN_ITEMS) -> DataFra
     return semi_join(ratings, qualified_users(ratings, min_items).select("user"), "user")
 
 
-def split_ratings(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def split_ratings(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """Qualified ratings tagged ``split``, written once per application
     (train and test sides of every later step read the same table)."""
     return store.stored(spark, "split", (data_dir, p), lambda: per_user_split(
         qualified_ratings(ratings_canonical(spark, data_dir), p.min_items), p.train_fraction))
 
 
-def train_test(spark: SparkSession, data_dir: str, p: Params = Params()
+def train_test(spark: SparkSession, data_dir: Source, p: Params = Params()
                ) -> tuple[DataFrame, DataFrame]:
     s = split_ratings(spark, data_dir, p)
     return (s.where(F.col("split") == "train").drop("split"),
             s.where(F.col("split") == "test").drop("split"))
 
 
-def popularity_top_n(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def popularity_top_n(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """A3 + T2 + W6: ``(rank, item, total, score)`` over the training rows."""
     train, _ = train_test(spark, data_dir, p)
     return rec.top_items(rec.item_popularity(train), p.top_n)
 
 
-def popularity_predictions_labels(spark: SparkSession, data_dir: str,
+def popularity_predictions_labels(spark: SparkSession, data_dir: Source,
                                   p: Params = Params()) -> DataFrame:
     """J4 + J3: every test user x the popular list, labelled by the user's test items."""
     train, test = train_test(spark, data_dir, p)
@@ -128,34 +129,34 @@ def popularity_predictions_labels(spark: SparkSession, data_dir: str,
     return rec.label_by_membership(scored, test)
 
 
-def popularity_auc(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def popularity_auc(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """AUC of the popularity baseline on the test rows."""
     return exact_auc(popularity_predictions_labels(spark, data_dir, p))
 
 
-def popularity_confusion(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def popularity_confusion(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """A10 on the popularity lists."""
     return confusion(popularity_predictions_labels(spark, data_dir, p))
 
 
-def kfold_assignment(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def kfold_assignment(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """W2 over the training rows: ``(user, item, rating, row_key, fold)``."""
     train, _ = train_test(spark, data_dir, p)
     return kfold_assign(train, p.folds)
 
 
-def kfold_table(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """``(fold_id, role, user, item, rating, row_key, fold)``."""
     return kfold_partitions(kfold_assignment(spark, data_dir, p), p.folds)
 
 
-def ground_truth_pairs(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def ground_truth_pairs(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """A7 in relational form: the distinct ``(user, item)`` pairs of the test rows."""
     _, test = train_test(spark, data_dir, p)
     return distinct_pairs(test, ["user", "item"])
 
 
-def split_user_parity(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def split_user_parity(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """One row: users only in train, only in test, and whether the sets are equal."""
     s = split_ratings(spark, data_dir, p)
     per_user = s.groupBy("user").agg(
@@ -169,7 +170,7 @@ def split_user_parity(spark: SparkSession, data_dir: str, p: Params = Params())
     ).withColumn("same_users", F.col("users_in_one_side") == 0)
 
 
-def new_user_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+def new_user_rows(spark: SparkSession, data_dir: Source) -> DataFrame:
     """S9 + J1: the new user's literal ratings, items mapped through the alias list."""
     items = (data_dir.new_user_items if isinstance(data_dir, files.PlayFiles)
              else NEW_USER_ITEMS)
@@ -182,7 +183,7 @@ def new_user_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def train_plus_new_user(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def train_plus_new_user(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """Training rows with the new user's rows appended."""
     train, _ = train_test(spark, data_dir, p)
     return union_rows(train, new_user_rows(spark, data_dir))
@@ -196,7 +197,7 @@ def best_params(evals: DataFrame) -> tuple[int, float, float]:
     return int(best["rank"]), float(best["reg"]), float(best["alpha"])
 
 
-def grid_search_cv(spark: SparkSession, data_dir: str, p: Params = Params(),
+def grid_search_cv(spark: SparkSession, data_dir: Source, p: Params = Params(),
                    ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 4) -> DataFrame:
     """R4 + K9: ``(rank, reg, alpha, fold, auc)`` for the whole grid, run once
     per application and parameters.  Each evaluation is appended to a log
@@ -215,7 +216,7 @@ def grid_eval_summary(evals: DataFrame) -> DataFrame:
     return mean_over_folds(evals, ["rank", "reg", "alpha"])
 
 
-def chosen_params(spark: SparkSession, data_dir: str, p: Params = Params()
+def chosen_params(spark: SparkSession, data_dir: Source, p: Params = Params()
                   ) -> tuple[int, float, float]:
     """The grid's best parameters."""
     return best_params(grid_search_cv(spark, data_dir, p))
@@ -224,7 +225,7 @@ def chosen_params(spark: SparkSession, data_dir: str, p: Params = Params()
 _MODELS: dict[tuple, object] = {}
 
 
-def als_model(spark: SparkSession, data_dir: str, rank: int | None = None,
+def als_model(spark: SparkSession, data_dir: Source, rank: int | None = None,
               reg: float | None = None, alpha: float | None = None, p: Params = Params()):
     """R1/R5 on all training rows, with the grid's best parameters unless
     given; fitted once per application and parameters."""
@@ -238,29 +239,29 @@ def als_model(spark: SparkSession, data_dir: str, rank: int | None = None,
     return model
 
 
-def als_top_n(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
+def als_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(), **kw) -> DataFrame:
     """R1 + R2: top-``n`` lists ``(user, rank, item, score)`` of the test users."""
     _, test = train_test(spark, data_dir, p)
     return rec.recommend_top_n(als_model(spark, data_dir, p=p, **kw), test, p.top_n)
 
 
-def als_predictions_labels(spark: SparkSession, data_dir: str, p: Params = Params(),
+def als_predictions_labels(spark: SparkSession, data_dir: Source, p: Params = Params(),
                            **kw) -> DataFrame:
     _, test = train_test(spark, data_dir, p)
     return rec.als_predictions_labels(als_model(spark, data_dir, p=p, **kw), test, p.top_n)
 
 
-def als_auc(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
+def als_auc(spark: SparkSession, data_dir: Source, p: Params = Params(), **kw) -> DataFrame:
     """R5 + R6: AUC on the test rows of a model trained on all training rows."""
     return exact_auc(als_predictions_labels(spark, data_dir, p, **kw))
 
 
-def als_confusion(spark: SparkSession, data_dir: str, p: Params = Params(), **kw) -> DataFrame:
+def als_confusion(spark: SparkSession, data_dir: Source, p: Params = Params(), **kw) -> DataFrame:
     """R6 + A10: confusion counts of the same lists."""
     return confusion(als_predictions_labels(spark, data_dir, p, **kw))
 
 
-def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
+def new_user_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(),
                    rank: int | None = None, reg: float | None = None,
                    alpha: float | None = None) -> DataFrame:
     """Retrain (best grid parameters unless given) with the new user's
@@ -276,7 +277,7 @@ def new_user_top_n(spark: SparkSession, data_dir: str, p: Params = Params(),
     return lookup_with_default(top, names, "item", "id", "name", "name", default)
 
 
-def name_lookup_default(spark: SparkSession, data_dir: str, p: Params = Params()) -> DataFrame:
+def name_lookup_default(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """The popular items with their names, ``Unknown(id)`` when unnamed."""
     top = popularity_top_n(spark, data_dir, p).select("rank", "item")
     names = entity_names(spark, data_dir)
