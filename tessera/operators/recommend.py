@@ -21,9 +21,15 @@ from .metrics import auc_value, confusion, exact_auc
 from .relational import sum_per_key
 
 ALS_SEED = 42
-# Partitions the ALS input is arranged into before a fit, so the same rows
-# give the same model whatever the upstream partitioning.
-ALS_INPUT_PARTITIONS = 8
+# Fewest ALS user/item blocks (Spark's default); a cluster gets one per core.
+MIN_ALS_BLOCKS = 10
+
+
+def als_blocks(spark) -> int:
+    """ALS user and item blocks, and the partitions its input is arranged
+    into: one per core of the cluster, at least ``MIN_ALS_BLOCKS``.  A fixed
+    count for a given cluster keeps fits repeatable."""
+    return max(MIN_ALS_BLOCKS, spark.sparkContext.defaultParallelism)
 
 
 def item_popularity(train: DataFrame, item_col: str = "item",
@@ -79,12 +85,14 @@ def label_by_membership(scored: DataFrame, truth: DataFrame, user_col: str = "us
 
 def als_input(ratings: DataFrame, user_col: str = "user", item_col: str = "item",
               rating_col: str = "rating") -> DataFrame:
-    """``(user int, item int, rating float)`` arranged by user, sorted inside."""
+    """``(user int, item int, rating float)`` hash-arranged by user into
+    :func:`als_blocks` partitions and sorted inside, so the same rows give the
+    same model whatever the upstream partitioning."""
     return (
         ratings.select(F.col(user_col).cast("int").alias("user"),
                        F.col(item_col).cast("int").alias("item"),
                        F.col(rating_col).cast("float").alias("rating"))
-        .repartition(ALS_INPUT_PARTITIONS, "user")
+        .repartition(als_blocks(ratings.sparkSession), "user")
         .sortWithinPartitions("user", "item", "rating")
     )
 
@@ -92,9 +100,10 @@ def als_input(ratings: DataFrame, user_col: str = "user", item_col: str = "item"
 def train_als(ratings: DataFrame, rank: int, reg: float, alpha: float,
               max_iter: int = 5, seed: int = ALS_SEED) -> ALSModel:
     """Implicit-feedback ALS on ``(user, item, rating)``."""
+    blocks = als_blocks(ratings.sparkSession)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user", itemCol="item", ratingCol="rating", seed=seed,
-              coldStartStrategy="drop")
+              coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(als_input(ratings))
 
 
