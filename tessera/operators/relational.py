@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table (rows) shipped whole to every task.
-BROADCAST_ROWS = 2_000_000
+# Largest lookup table (rows) shipped whole to every task; the tables checked
+# against it are two or three narrow columns, so this is tens of MB at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -279,3 +279,13 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
                     .alias("value")),
     ]
     return RP.union_all(parts)
+
+
+def write_run_report(spark: SparkSession, d: Source, p: Params = Params()) -> str:
+    """Write the run report as a table under the shared folder; returns its path."""
+    from ..operators import report as RP
+    from ..session import shared_path
+
+    path = shared_path(spark, "run-report")
+    RP.write_report(run_report(spark, d, p), path)
+    return path

@@ -95,3 +95,15 @@ def test_document_sample(spark, plot_files):
     n = D.docs(spark, plot_files, half).count()
     assert 5 < n < 25
     assert D.tfidf(spark, plot_files, half).select("doc_id").distinct().count() <= n
+
+
+def test_report_written_and_schema_rows(spark, plot_files):
+    from tessera.operators.report import schema_table
+
+    p = D.Params(num_terms=50, k=3)
+    path = D.write_run_report(spark, plot_files, p)
+    written = spark.read.parquet(path)
+    assert written.where("section = 'svd' AND key = 'singular_values'").count() == 1
+    rows = [tuple(r) for r in schema_table(D.docs(spark, plot_files, p)).orderBy("position").collect()]
+    assert rows == [(0, "doc_id", "bigint", True), (1, "title", "string", True),
+                    (2, "genre", "string", True), (3, "text", "string", True)]
