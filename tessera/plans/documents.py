@@ -131,12 +131,16 @@ def doc_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.document_frequency(term_freq(spark, d, p))
 
 
-def vocabulary(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    return T.vocabulary(doc_freq(spark, d, p), p.num_terms)
+def idf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """M1 + W5: ``(term_id, term, df, idf)`` of the vocabulary, stored once
+    per application (at most ``num_terms`` rows, read by every later step)."""
+    return store.stored(spark, "idf", (d, p), lambda: T.idf_table(
+        T.vocabulary(doc_freq(spark, d, p), p.num_terms), docs(spark, d, p)))
 
 
-def idf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    return T.idf_table(vocabulary(spark, d, p), docs(spark, d, p))
+def vocabulary(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """W5 + T1: ``(term_id, term, df)``."""
+    return idf(spark, d, p).select("term_id", "term", "df")
 
 
 def tfidf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -174,7 +178,10 @@ def svd_singular_values(spark: SparkSession, d: Source, p: Params = Params()) ->
 
 
 def doc_vectors(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    return C.doc_vectors(tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d, p))
+    """M4: ``(doc_id, us)``, the rows of ``U * S``, stored once per application
+    (concept reports, scores and keyword search all read them)."""
+    return store.stored(spark, "doc_vectors", (d, p), lambda: C.doc_vectors(
+        tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d, p)))
 
 
 def doc_concept_scores(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
