@@ -39,8 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cores when its scan has fewer partitions
     than the default parallelism (a small file with few row groups); large
     inputs already have more splits than cores and are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def frequent_terms(counts: DataFrame, top: int) -> DataFrame:

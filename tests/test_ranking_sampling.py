@@ -82,3 +82,17 @@ def test_top_n_per_group_uses_group_limit(spark):
     assert sorted((r.g, r.v) for r in top.collect()) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.dictionaries(st.integers(1, 9), st.integers(1, 80), min_size=1, max_size=5),
+       st.sampled_from([1, 3, 10, 1000]))
+def test_hot_path_property(spark, sizes, hot_rows):
+    df = _ratings(spark, sizes)
+    got = sorted((r.user, r.item, r.rn, r.n) for r in rank_within_groups(
+        df, ["user"], ["row_key", "item"], hash_col="row_key", hot_rows=hot_rows).collect())
+    w = Window.partitionBy("user").orderBy("row_key", "item")
+    want = sorted((r.user, r.item, r.rn, r.n) for r in df.select(
+        "user", "item", F.row_number().over(w).alias("rn"),
+        F.count("*").over(Window.partitionBy("user")).alias("n")).collect())
+    assert got == want
