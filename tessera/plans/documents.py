@@ -265,7 +265,9 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
         spark.range(1).select(*RP.entry("run", "num_terms", F.lit(p.num_terms))),
         spark.range(1).select(*RP.entry("run", "k", F.lit(p.k))),
         spark.range(1).select(*RP.entry("run", "sample", F.lit(f"{p.sample_fraction * 100:.0f}%"))),
+        spark.range(1).select(*RP.entry("run", "spark_version", F.lit(spark.version))),
         RP.scalar_entry(dcs, "dataframe", "total_rows", F.count(F.lit(1))),
+        RP.scalar_entry(dcs, "dataframe", "sampled_docs", F.count(F.lit(1))),
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),
         RP.scalar_entry(vocab, "idf", "vocabulary_size", F.count(F.lit(1))),
         RP.scalar_entry(vocab.where(F.col("term_id") < 5), "idf", "first_terms",
