@@ -7,7 +7,7 @@ and documents per concept, 5 genres, 10 results per query).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -266,7 +266,8 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
         spark.range(1).select(*RP.entry("run", "k", F.lit(p.k))),
         spark.range(1).select(*RP.entry("run", "sample", F.lit(f"{p.sample_fraction * 100:.0f}%"))),
         spark.range(1).select(*RP.entry("run", "spark_version", F.lit(spark.version))),
-        RP.scalar_entry(dcs, "dataframe", "total_rows", F.count(F.lit(1))),
+        RP.scalar_entry(docs(spark, d, replace(p, sample_fraction=1.0)), "dataframe",
+                        "total_rows", F.count(F.lit(1))),
         RP.scalar_entry(dcs, "dataframe", "sampled_docs", F.count(F.lit(1))),
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),
         RP.scalar_entry(vocab, "idf", "vocabulary_size", F.count(F.lit(1))),
