@@ -65,6 +65,12 @@ def document_frequency(term_freq: DataFrame) -> DataFrame:
     return term_freq.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def _shortest_accepted(accepted: DataFrame) -> DataFrame:
+    """``(term, lemma)``: per term, the shortest accepted candidate (ties by rule)."""
+    return accepted.groupBy("term").agg(
+        F.min_by("cand", F.struct(F.length("cand"), F.col("rule"))).alias("lemma"))
+
+
 def lemma_table(terms: DataFrame, lexicon: DataFrame,
                 exceptions: DataFrame | None = None) -> DataFrame:
     """``(term, lemma)`` for every distinct ``term``.
@@ -85,19 +91,25 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame,
         t_exc = t.join(exc.select("term").distinct(), "term", "left_semi")
     else:
         t_rules = t
-    cands = t_rules.select("term", F.inline(lemma_candidates("term")))
-    accepted = cands.join(lex, "cand", "left_semi")
+    accepted = t_rules.select("term", F.inline(lemma_candidates("term"))).join(lex, "cand", "left_semi")
     if exceptions is not None:
         self_ok = t_exc.select("term", F.col("term").alias("cand"), F.lit(0).alias("rule")) \
             .join(lex, "cand", "left_semi")
         listed = exc.join(t_exc, "term", "left_semi").select("term", "cand", F.lit(1).alias("rule"))
         accepted = accepted.unionByName(self_ok).unionByName(listed)
-    best = accepted.groupBy("term").agg(
-        F.min_by("cand", F.struct(F.length("cand"), F.col("rule"))).alias("lemma"))
-    return t.join(best, "term", "left").select(
+    return t.join(_shortest_accepted(accepted), "term", "left").select(
         "term", F.coalesce(F.col("lemma"), F.col("term")).alias("lemma"))
 
 
+def lemma_changes(terms: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``(term, lemma)`` of the terms whose lemma differs from the term (the
+    only rows :func:`with_lemma` needs), without the join back to all terms."""
+    t = terms.select("term").distinct()
+    lex = lexicon.select(F.col("term").alias("cand")).distinct()
+    accepted = t.select("term", F.inline(lemma_candidates("term"))).join(lex, "cand", "left_semi")
+    return _shortest_accepted(accepted).where(F.col("lemma") != F.col("term"))
+
+
 def corpus_lexicon(tokens: DataFrame, min_df: int = MIN_LEXICON_DF) -> DataFrame:
     """The corpus's own lexicon: tokens found in at least ``min_df`` documents ``(term)``."""
     df = document_frequency(token_counts(tokens))
@@ -144,7 +156,8 @@ def term_frequencies(tokens: DataFrame, lemmas: DataFrame, stopwords: DataFrame)
 
 def term_frequencies_from_counts(raw_counts: DataFrame, lemmas: DataFrame,
                                  stopwords: DataFrame) -> DataFrame:
-    """:func:`term_frequencies` from raw token counts ``(doc_id, term, cnt)``."""
+    """:func:`term_frequencies` from raw token counts ``(doc_id, term, cnt)``;
+    ``lemmas`` may be the full lemma table or only the changed terms."""
     raw = raw_counts.withColumnRenamed("term", "token")
     mapped = with_lemma(raw, lemmas).where(F.length("lemma") > 2)
     mapped = drop_stopwords(mapped, stopwords, "lemma")

@@ -119,7 +119,10 @@ def term_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame
     every later step of the concepts chain)."""
     def build() -> DataFrame:
         raw = raw_counts(spark, d, p)
-        return T.term_frequencies_from_counts(raw, _lemmas_from(raw), stopwords(spark, d, p))
+        term_df = T.document_frequency(raw)
+        changes = T.lemma_changes(
+            term_df.select("term"), term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term"))
+        return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p))
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
 
 
