@@ -217,38 +217,52 @@ def query_concepts(qv: DataFrame, dec: Decomposition, queries: DataFrame) -> Dat
         "query_id", F.coalesce(F.col("qc"), zero).alias("qc"))
 
 
+def _score_batch(us: DataFrame, batch: list, top: int) -> DataFrame:
+    """Top ``top`` documents per query of one batch of query vectors."""
+    literal = F.array(*[
+        F.struct(F.lit(r["query_id"]).alias("query_id"),
+                 F.array(*[F.lit(float(x)) for x in r["qc"]]).cast("array<double>").alias("qc"))
+        for r in batch])
+    scored = us.select(
+        "doc_id",
+        F.inline(F.transform(literal, lambda q: F.struct(
+            q["query_id"].alias("query_id"),
+            F.aggregate(F.zip_with(F.col("us"), q["qc"], lambda a, b: a * b),
+                        F.lit(0.0), lambda acc, x: acc + x).alias("score")))))
+    return top_n_per_group(scored, ["query_id"], [F.desc("score"), F.col("doc_id")], top)
+
+
 def keyword_search(us: DataFrame, qc: DataFrame, docs: DataFrame, top: int = 10) -> DataFrame:
     """M7 + M8 + T4: ``(query_id, rank, doc_id, title, genre, score)``, the
     ``top`` documents per query by ``(U S) (V^T q)`` (plain dot product; ties
     by doc id).
 
-    Query vectors (``k`` numbers each, in batches of ``QUERY_BATCH``) are
-    planned as a literal array; every document row scores all queries of a
-    batch with native array functions in its own task, and only each task's
-    per-query top ``top`` rows are shuffled.
+    Query vectors (``k`` numbers each) are planned as a literal array; every
+    document row scores all queries of a batch with native array functions
+    in its own task, and only each task's per-query top ``top`` rows are
+    shuffled.  Up to ``QUERY_BATCH`` queries this is one lazy plan; larger
+    query sets stream to the driver one batch at a time, and each batch's
+    hits are appended to a table under the shared folder.
     """
     spark = us.sparkSession
-    qrows = qc.orderBy("query_id").collect()
-    parts = []
-    for start in range(0, len(qrows), QUERY_BATCH):
-        batch = qrows[start:start + QUERY_BATCH]
-        literal = F.array(*[
-            F.struct(F.lit(r["query_id"]).alias("query_id"),
-                     F.array(*[F.lit(float(x)) for x in r["qc"]]).cast("array<double>").alias("qc"))
-            for r in batch])
-        scored = us.select(
-            "doc_id",
-            F.inline(F.transform(literal, lambda q: F.struct(
-                q["query_id"].alias("query_id"),
-                F.aggregate(F.zip_with(F.col("us"), q["qc"], lambda a, b: a * b),
-                            F.lit(0.0), lambda acc, x: acc + x).alias("score")))))
-        parts.append(top_n_per_group(scored, ["query_id"], [F.desc("score"), F.col("doc_id")], top))
-    if not parts:
+    ordered = qc.orderBy("query_id")
+    first = ordered.limit(QUERY_BATCH + 1).collect()
+    if not first:
         return spark.createDataFrame(
             [], "query_id int, rank int, doc_id bigint, title string, genre string, score double")
-    best = parts[0]
-    for p in parts[1:]:
-        best = best.unionByName(p)
+    if len(first) <= QUERY_BATCH:
+        best = _score_batch(us, first, top)
+    else:
+        path = shared_path(spark, "keyword-hits")
+        batch: list = []
+        for row in ordered.toLocalIterator():
+            batch.append(row)
+            if len(batch) == QUERY_BATCH:
+                _score_batch(us, batch, top).write.mode("append").parquet(path)
+                batch = []
+        if batch:
+            _score_batch(us, batch, top).write.mode("append").parquet(path)
+        best = spark.read.parquet(path)
     j = best.join(docs.select("doc_id", "title", "genre"), "doc_id", "left")
     return j.select("query_id", "rank", "doc_id",
                     F.coalesce(F.col("title"), F.col("doc_id").cast("string")).alias("title"),

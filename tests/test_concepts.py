@@ -76,3 +76,20 @@ def test_concept_top_terms_default_name(spark):
     vocab = spark.createDataFrame([(0, "a", 1), (1, "b", 1)], "term_id int, term string, df bigint")
     got = [(r.concept, r["rank"], r.term) for r in C.concept_top_terms(dec, vocab, 2).orderBy("concept", "rank").collect()]
     assert got == [(0, 1, "b"), (0, 2, "a"), (1, 1, "2"), (1, 2, "b")]
+
+
+def test_keyword_search_batches_match_single_plan(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    A = rng.random((20, 6))
+    tfidf = _coo(spark, A)
+    dec = C.truncated_svd(spark, tfidf, 6, k=3)
+    docs = spark.range(20).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("title"),
+                                  F.lit("g").alias("genre"))
+    queries = spark.createDataFrame([(q, f"t{q % 6}") for q in range(7)], "query_id int, term string")
+    qv = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(7)], "query_id int, term_id int, w double")
+    us = C.doc_vectors(tfidf, dec, docs)
+    qc = C.query_concepts(qv, dec, queries)
+    single = sorted(tuple(r) for r in C.keyword_search(us, qc, docs, top=5).collect())
+    monkeypatch.setattr(C, "QUERY_BATCH", 3)
+    batched = sorted(tuple(r) for r in C.keyword_search(us, qc, docs, top=5).collect())
+    assert batched == single and len(single) == 35
