@@ -155,14 +155,25 @@ def term_frequencies(tokens: DataFrame, lemmas: DataFrame, stopwords: DataFrame)
 
 
 def term_frequencies_from_counts(raw_counts: DataFrame, lemmas: DataFrame,
-                                 stopwords: DataFrame) -> DataFrame:
+                                 stopwords: DataFrame, with_lengths: bool = False) -> DataFrame:
     """:func:`term_frequencies` from raw token counts ``(doc_id, term, cnt)``;
-    ``lemmas`` may be the full lemma table or only the changed terms."""
+    ``lemmas`` may be the full lemma table or only the changed terms.
+
+    With ``with_lengths`` the rows also carry ``n_terms`` (A5, the TF
+    denominator): rows are hash-partitioned by document once, and both the
+    per-(document, term) sum and the per-document sum run on that
+    partitioning, so TF-IDF later needs no join with a length table.
+    """
     raw = raw_counts.withColumnRenamed("term", "token")
     mapped = with_lemma(raw, lemmas).where(F.length("lemma") > 2)
     mapped = drop_stopwords(mapped, stopwords, "lemma")
-    return mapped.groupBy("doc_id", F.col("lemma").alias("term")).agg(
+    if with_lengths:
+        mapped = mapped.repartition("doc_id")
+    tf = mapped.groupBy("doc_id", F.col("lemma").alias("term")).agg(
         F.sum("cnt").cast("bigint").alias("cnt"))
+    if with_lengths:
+        tf = tf.withColumn("n_terms", F.sum("cnt").over(Window.partitionBy("doc_id")).cast("bigint"))
+    return tf
 
 
 def doc_lengths(term_freq: DataFrame, docs: DataFrame | None = None) -> DataFrame:
@@ -198,13 +209,16 @@ def idf_table(vocab: DataFrame, docs: DataFrame) -> DataFrame:
                         F.ln(n_docs / F.col("df").cast("double")).alias("idf"))
 
 
-def tfidf_coo(term_freq: DataFrame, lengths: DataFrame, idf: DataFrame) -> DataFrame:
+def tfidf_coo(term_freq: DataFrame, lengths: DataFrame | None, idf: DataFrame) -> DataFrame:
     """M2: ``(doc_id, term_id, w)`` with ``w = idf * cnt / n_terms``.
 
     The IDF table has at most ``num_terms`` rows, so it is broadcast.
+    ``n_terms`` comes from ``term_freq`` when it carries it (then the plan is
+    map-only), else from a join with ``lengths``.
     """
     j = term_freq.join(F.broadcast(idf.select("term", "term_id", "idf")), "term")
-    j = j.join(lengths, "doc_id")
+    if "n_terms" not in term_freq.columns:
+        j = j.join(lengths, "doc_id")
     return j.select("doc_id", "term_id",
                     (F.col("idf") * F.col("cnt") / F.col("n_terms")).alias("w"))
 

@@ -114,18 +114,24 @@ def tokens_without_stopwords(spark: SparkSession, d: Source, p: Params = Params(
     return kept.select("doc_id", "pos", F.col("lemma").alias("term"))
 
 
-def term_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    """A4: ``(doc_id, term, cnt)``, written once per application (shared by
-    every later step of the concepts chain)."""
+def term_table(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """``(doc_id, term, cnt, n_terms)``, written once per application (shared
+    by every later step of the concepts chain)."""
     def build() -> DataFrame:
         raw = raw_counts(spark, d, p)
         term_df = T.document_frequency(raw)
         changes = T.lemma_changes(
             term_df.select("term"), term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term"))
-        return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p))
+        return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p),
+                                              with_lengths=True)
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
 
 
+def term_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """A4: ``(doc_id, term, cnt)``."""
+    return term_table(spark, d, p).select("doc_id", "term", "cnt")
+
+
 def doc_lengths(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.doc_lengths(term_freq(spark, d, p), docs(spark, d, p))
 
@@ -147,8 +153,9 @@ def vocabulary(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
 
 
 def tfidf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    tf = term_freq(spark, d, p)
-    return T.tfidf_coo(tf, T.doc_lengths(tf), idf(spark, d, p))
+    """M2: ``(doc_id, term_id, w)``: a map-only plan over the stored term
+    table (it carries the document lengths) and the broadcast IDF table."""
+    return T.tfidf_coo(term_table(spark, d, p), None, idf(spark, d, p))
 
 
 def doc_metadata_lookup(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:

@@ -52,7 +52,7 @@ def main() -> None:
     term_df = T.document_frequency(raw)
     changes = T.lemma_changes(term_df.select("term"), term_df.where("df >= 2").select("term"))
     show("build: term frequencies (stored)",
-         T.term_frequencies_from_counts(raw, changes, D.stopwords(spark, d)))
+         T.term_frequencies_from_counts(raw, changes, D.stopwords(spark, d), with_lengths=True))
     print("### Registered queries\n")
     for name in KEY:
         show(name, q[name](spark, d))
