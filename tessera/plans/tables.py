@@ -115,7 +115,7 @@ def dataset_counts(spark: SparkSession, d: str) -> DataFrame:
 
     parts = [
         count_of("ratings", ratings),
-        count_of("alias_rows", tables.alias_pairs(spark, d)),
+        count_of("alias_rows", R.aliases(spark, d)),
         count_of("distinct_user_items", ratings.select("user", "item").distinct()),
         count_of("qualified_users", R.qualified_users(ratings)),
         count_of("train_rows", split.where(F.col("split") == "train")),
