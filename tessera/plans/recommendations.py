@@ -140,9 +140,13 @@ def popularity_confusion(spark: SparkSession, data_dir: Source, p: Params = Para
 
 
 def kfold_assignment(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
-    """W2 over the training rows: ``(user, item, rating, row_key, fold)``."""
-    train, _ = train_test(spark, data_dir, p)
-    return kfold_assign(train, p.folds)
+    """W2 over the training rows: ``(user, item, rating, row_key, fold)``,
+    stored once per application (the fold table, its train/validation
+    expansion and every fit of the grid read it)."""
+    def build() -> DataFrame:
+        train, _ = train_test(spark, data_dir, p)
+        return kfold_assign(train, p.folds)
+    return store.stored(spark, "folds", (data_dir, p), build)
 
 
 def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
