@@ -1,5 +1,6 @@
 """Documents -> tokens -> lemmas -> TF-IDF -> truncated SVD -> concept reports
-and keyword search, as DataFrame plans over a data folder.
+and keyword search, as DataFrame plans over a data folder (the stand-in
+tables) or the reference's own files (``files.PlotFiles``).
 
 Parameters default to the reference's (5,000 terms, 25 concepts, 25 terms
 and documents per concept, 5 genres, 10 results per query).
@@ -89,10 +90,15 @@ def raw_counts(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
                         lambda: T.token_counts(tokens(spark, d, p)))
 
 
-def _lemmas_from(raw: DataFrame) -> DataFrame:
+def _terms_and_lexicon(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct terms and the corpus lexicon (terms in >= 2 documents), both
+    from one aggregation of the bag of words."""
     term_df = T.document_frequency(raw)
-    lexicon = term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term")
-    return T.lemma_table(term_df.select("term"), lexicon)
+    return term_df.select("term"), term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term")
+
+
+def _lemmas_from(raw: DataFrame) -> DataFrame:
+    return T.lemma_table(*_terms_and_lexicon(raw))
 
 
 def lemmas(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -119,9 +125,7 @@ def term_table(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
     by every later step of the concepts chain)."""
     def build() -> DataFrame:
         raw = raw_counts(spark, d, p)
-        term_df = T.document_frequency(raw)
-        changes = T.lemma_changes(
-            term_df.select("term"), term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term"))
+        changes = T.lemma_changes(*_terms_and_lexicon(raw))
         return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p),
                                               with_lengths=True)
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)

@@ -49,8 +49,7 @@ def main() -> None:
     show("build: split (stored)", per_user_split(R.qualified_ratings(R.ratings_canonical(spark, d))))
     show("build: bag of words (stored)", T.token_counts(D.tokens(spark, d)))
     raw = D.raw_counts(spark, d)
-    term_df = T.document_frequency(raw)
-    changes = T.lemma_changes(term_df.select("term"), term_df.where("df >= 2").select("term"))
+    changes = T.lemma_changes(*D._terms_and_lexicon(raw))
     show("build: term frequencies (stored)",
          T.term_frequencies_from_counts(raw, changes, D.stopwords(spark, d), with_lengths=True))
     print("### Registered queries\n")
