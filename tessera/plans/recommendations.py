@@ -150,7 +150,7 @@ def kfold_assignment(spark: SparkSession, data_dir: Source, p: Params = Params()
 
 
 def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
-    """``(fold_id, role, user, item, rating, row_key, fold)``."""
+    """``(user, item, rating, row_key, fold, fold_id, role)``."""
     return kfold_partitions(kfold_assignment(spark, data_dir, p), p.folds)
 
 
