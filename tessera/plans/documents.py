@@ -34,6 +34,10 @@ REFERENCE_QUERIES = (
 )
 # A word no tokenizer output can contain (it has a digit).
 UNKNOWN_WORD = "zz9unknown"
+# Upper bounds of the vocabulary and concept count (see ``Params``):
+# 100,000 x 1,000 doubles of V are at most 800 MB on the driver.
+MAX_TERMS = 100_000
+MAX_CONCEPTS = 1_000
 
 
 @dataclass(frozen=True)
@@ -48,6 +52,16 @@ class Params:
     # Share of documents kept (hash sample on the document key); 1.0 keeps all.
     sample_fraction: float = 1.0
 
+    def __post_init__(self) -> None:
+        # The vocabulary, its IDF table and the term vectors are broadcast and
+        # V (num_terms x k) comes to the driver: the bound is this parameter.
+        if not 1 <= self.num_terms <= MAX_TERMS:
+            raise ValueError(f"num_terms must be in 1..{MAX_TERMS}, got {self.num_terms}")
+        if not 1 <= self.k <= min(self.num_terms, MAX_CONCEPTS):
+            raise ValueError(f"k must be in 1..min(num_terms, {MAX_CONCEPTS}), got {self.k}")
+        if not 0.0 < self.sample_fraction <= 1.0:
+            raise ValueError(f"sample_fraction must be in (0, 1], got {self.sample_fraction}")
+
 
 Source = str | files.PlotFiles
 

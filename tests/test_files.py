@@ -107,3 +107,12 @@ def test_report_written_and_schema_rows(spark, plot_files):
     rows = [tuple(r) for r in schema_table(D.docs(spark, plot_files, p)).orderBy("position").collect()]
     assert rows == [(0, "doc_id", "bigint", True), (1, "title", "string", True),
                     (2, "genre", "string", True), (3, "text", "string", True)]
+
+
+def test_params_bound_the_broadcast_sides():
+    with pytest.raises(ValueError):
+        D.Params(num_terms=10_000_000)
+    with pytest.raises(ValueError):
+        D.Params(num_terms=50, k=60)
+    with pytest.raises(ValueError):
+        D.Params(sample_fraction=0.0)
