@@ -44,6 +44,10 @@ NEW_USER_TOP = 25
 Source = str | files.PlayFiles
 
 
+# The popular list is planned as a literal in every task: bounded here.
+MAX_TOP_N = 10_000
+
+
 @dataclass(frozen=True)
 class Params:
     min_items: int = MIN_ITEMS
@@ -51,6 +55,14 @@ class Params:
     top_n: int = TOP_N
     folds: int = FOLDS
 
+    def __post_init__(self) -> None:
+        if not 1 <= self.top_n <= MAX_TOP_N:
+            raise ValueError(f"top_n must be in 1..{MAX_TOP_N}, got {self.top_n}")
+        if not 0.0 < self.train_fraction < 1.0:
+            raise ValueError(f"train_fraction must be in (0, 1), got {self.train_fraction}")
+        if self.folds < 2 or self.min_items < 1:
+            raise ValueError("folds must be at least 2 and min_items at least 1")
+
 
 def ratings_canonical(spark: SparkSession, data_dir: Source) -> DataFrame:
     """``(user, item, rating, row_key)``: play counts with aliased items

@@ -50,3 +50,14 @@ def test_grid_search_small(spark):
     assert len(rows) == 2 * 5 and all(r.auc is None or 0.0 <= r.auc <= 1.0 for r in rows)
     summary = R.grid_eval_summary(evals).collect()
     assert len(summary) == 2 and all(r.folds == 5 for r in summary)
+
+
+def test_params_are_validated():
+    import pytest
+
+    with pytest.raises(ValueError):
+        R.Params(top_n=1_000_000)
+    with pytest.raises(ValueError):
+        R.Params(folds=1)
+    with pytest.raises(ValueError):
+        R.Params(train_fraction=1.5)
