@@ -114,9 +114,17 @@ def qualified_ratings(ratings: DataFrame, min_items: int = MIN_ITEMS) -> DataFra
 
 def split_ratings(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """Qualified ratings tagged ``split``, written once per application
-    (train and test sides of every later step read the same table)."""
-    return store.stored(spark, "split", (data_dir, p), lambda: per_user_split(
-        qualified_ratings(ratings_canonical(spark, data_dir), p.min_items), p.train_fraction))
+    (train and test sides of every later step read the same table).
+
+    The qualified-user set (one row per user) is stored first, so the size
+    checks and the split pass read it instead of re-aggregating all ratings.
+    """
+    def build() -> DataFrame:
+        ratings = ratings_canonical(spark, data_dir)
+        users = store.stored(spark, "qualified_users", (data_dir, p.min_items),
+                             lambda: qualified_users(ratings, p.min_items).select("user"))
+        return per_user_split(semi_join(ratings, users, "user"), p.train_fraction)
+    return store.stored(spark, "split", (data_dir, p), build)
 
 
 def train_test(spark: SparkSession, data_dir: Source, p: Params = Params()
