@@ -46,7 +46,13 @@ def main() -> None:
     show("build: ratings (stored)", resolve_aliases(plays, tables.alias_pairs(spark, d)).select(
         "user", "item", F.col("count").cast("double").alias("rating"),
         row_key("user", "item", "o_orderkey", "l_linenumber", "count").alias("row_key")))
-    show("build: split (stored)", per_user_split(R.qualified_ratings(R.ratings_canonical(spark, d))))
+    from tessera.operators.relational import semi_join
+    from tessera.plans import store
+    ratings = R.ratings_canonical(spark, d)
+    users = store.stored(spark, "qualified_users", (d, R.Params().min_items),
+                         lambda: R.qualified_users(ratings).select("user"))
+    show("build: split (stored; qualified users read from their stored table)",
+         per_user_split(semi_join(ratings, users, "user")))
     show("build: bag of words (stored)", T.token_counts(D.tokens(spark, d)))
     raw = D.raw_counts(spark, d)
     changes = T.lemma_changes(*D._terms_and_lexicon(raw))
