@@ -30,3 +30,19 @@ def test_text_values(spark):
     top = [(r.term, r.df) for r in df.orderBy(F.desc("df"), "term").limit(3).collect()]
     assert top == [("the", 122), ("and", 116), ("that", 102)]
     assert df.where("df >= 2").count() == 7510
+
+
+def test_values_at_sf001(spark):
+    d = "/root/testdata/sf0.01"
+    assert tables.alias_pairs(spark, d).count() == 870
+    ratings = R.ratings_canonical(spark, d)
+    assert ratings.select("user", "item").distinct().count() == 58571
+    train, test = R.train_test(spark, d)
+    assert (train.count(), test.count()) == (46156, 12244)
+    top = [(r.item, r.total) for r in R.popularity_top_n(spark, d).orderBy("rank").limit(2).collect()]
+    assert top == [(327, 4057.0), (319, 3758.0)]
+    assert round(R.popularity_auc(spark, d).first().auc, 6) == 0.545514
+    tok = D.tokens(spark, d)
+    assert tok.count() == 312438
+    df = T.document_frequency(T.token_counts(tok))
+    assert df.count() == 68553 and df.where("df >= 2").count() == 30501
