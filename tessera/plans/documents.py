@@ -139,7 +139,10 @@ def term_table(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
     by every later step of the concepts chain)."""
     def build() -> DataFrame:
         raw = raw_counts(spark, d, p)
-        changes = T.lemma_changes(*_terms_and_lexicon(raw))
+        # Small (the terms whose lemma differs); stored so that its size check
+        # and the mapping read it instead of rebuilding the candidates twice.
+        changes = store.stored(spark, "lemma_changes", (d, p.sample_fraction),
+                               lambda: T.lemma_changes(*_terms_and_lexicon(raw)))
         return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p),
                                               with_lengths=True)
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
