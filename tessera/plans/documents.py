@@ -194,13 +194,10 @@ _DECOMPOSITIONS: dict[tuple, C.Decomposition] = {}
 
 def decomposition(spark: SparkSession, d: Source, p: Params = Params()) -> C.Decomposition:
     """M3, computed once per application, data folder and parameters."""
-    key = (spark.sparkContext.applicationId, d, p)
-    dec = _DECOMPOSITIONS.get(key)
-    if dec is None:
+    def make() -> C.Decomposition:
         n_terms = vocabulary(spark, d, p).count()
-        dec = C.truncated_svd(spark, tfidf(spark, d, p), n_terms, p.k)
-        _DECOMPOSITIONS[key] = dec
-    return dec
+        return C.truncated_svd(spark, tfidf(spark, d, p), n_terms, p.k)
+    return store.once(_DECOMPOSITIONS, ("svd", spark.sparkContext.applicationId, d, p), make)
 
 
 def svd_singular_values(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:

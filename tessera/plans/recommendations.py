@@ -259,12 +259,11 @@ def als_model(spark: SparkSession, data_dir: Source, rank: int | None = None,
     given; fitted once per application and parameters."""
     if rank is None or reg is None or alpha is None:
         rank, reg, alpha = chosen_params(spark, data_dir, p)
-    key = (spark.sparkContext.applicationId, data_dir, rank, reg, alpha, p)
-    model = _MODELS.get(key)
-    if model is None:
+    def make():
         train, _ = train_test(spark, data_dir, p)
-        model = _MODELS[key] = rec.train_als(train, rank, reg, alpha, ITERATIONS)
-    return model
+        return rec.train_als(train, rank, reg, alpha, ITERATIONS)
+    return store.once(_MODELS, ("als", spark.sparkContext.applicationId, data_dir, rank, reg,
+                                alpha, p), make)
 
 
 def als_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(), **kw) -> DataFrame:

@@ -9,21 +9,43 @@ the table instead of recomputing its lineage.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_path, shared_root
 
+T = TypeVar("T")
+
 _TABLES: dict[tuple, str] = {}
+_LOCKS: dict[tuple, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def once(cache: dict, key: tuple, make: Callable[[], T]) -> T:
+    """``cache[key]``, made by ``make()`` the first time; callers from several
+    threads wait for one build instead of each running it."""
+    value = cache.get(key)
+    if value is not None:
+        return value
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        value = cache.get(key)
+        if value is None:
+            value = cache[key] = make()
+    return value
 
 
 def stored(spark: SparkSession, name: str, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
     """``build()`` written once per (application, shared folder, ``name``, ``key``)."""
     k = (spark.sparkContext.applicationId, shared_root(spark), name, *key)
-    path = _TABLES.get(k)
-    if path is None:
+
+    def write() -> str:
         path = shared_path(spark, f"tables/{name}")
         build().write.mode("overwrite").parquet(path)
-        _TABLES[k] = path
-    return spark.read.parquet(path)
+        return path
+
+    return spark.read.parquet(once(_TABLES, k, write))

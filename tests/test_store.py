@@ -24,3 +24,18 @@ def test_stored_table_is_a_lineage_cut(spark):
     df = store.stored(spark, "unit-cut", ("k",), lambda: spark.range(3).groupBy().count())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "HashAggregate" not in plan
+
+
+def test_concurrent_callers_build_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3).select(F.col("id").alias("x"))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        counts = list(pool.map(lambda _: store.stored(spark, "unit-threads", ("k",), build).count(),
+                               range(4)))
+    assert counts == [3, 3, 3, 3] and len(calls) == 1
