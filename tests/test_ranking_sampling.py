@@ -96,3 +96,15 @@ def test_hot_path_property(spark, sizes, hot_rows):
         "user", "item", F.row_number().over(w).alias("rn"),
         F.count("*").over(Window.partitionBy("user")).alias("n")).collect())
     assert got == want
+
+
+def test_hot_path_on_real_ratings_equals_plain_split(spark):
+    from tessera.plans import recommendations as R
+
+    d = "/root/testdata/sf0.01"
+    qualified = R.qualified_ratings(R.ratings_canonical(spark, d))
+    hot = per_user_split(qualified, hot_rows=20)
+    plain = R.split_ratings(spark, d)
+    cols = ["user", "item", "rating", "row_key", "split"]
+    assert hot.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+    assert plain.select(*cols).exceptAll(hot.select(*cols)).count() == 0
