@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import language, quality, toxicity
+from . import bpe, language, quality, toxicity
 from .samples import remainder
 
 
@@ -35,3 +36,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = language.predict(docs, profiles, ["doc_id"])
     return named.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"),
                         "language.lang_pred", "language.score")
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BPE ids of every document and their decoding, as digests:
+    ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents")
+    encoded = bpe.encode(docs, tokens, public_tokenizers.PATTERN, ["doc_id"]).select("doc_id", "bpe.*")
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
+    narrow = encoded.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"),
+                            digest.alias("ids_sha256"), "ids")
+    decoded = bpe.decode(narrow, tokens, ["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256",
+                          F.sha2("bytes.decoded", 256).alias("decoded_sha256"))

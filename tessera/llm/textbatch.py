@@ -112,6 +112,14 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple
     return begin, end, doc
 
 
+def _parts(rows: int, size: int, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """``(first, count)`` of slices of about ``most`` bytes, so that results
+    leave the worker before the next ones are made."""
+    step = max(1, int(rows * min(1.0, most / max(size, 1))))
+    for at in range(0, rows, step):
+        yield at, min(step, rows - at)
+
+
 def annotate(
     docs: DataFrame,
     text: str,
@@ -140,8 +148,9 @@ def annotate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = work()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for at, n in _parts(whole.num_rows, whole.nbytes):
+                batch = whole.slice(at, n)
                 parts = apply(batch.column(len(keep)))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:len(keep)], pa.StructArray.from_arrays(parts, names=names)], names=[*keep, out])
