@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, quality, toxicity
+from . import bpe, language, packing, quality, toxicity
 from .samples import remainder
 
 
@@ -50,3 +50,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(narrow, tokens, ["doc_id", "n_tokens", "ids_sha256"])
     return decoded.select("doc_id", "n_tokens", "ids_sha256",
                           F.sha2("bytes.decoded", 256).alias("decoded_sha256"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of ``docs`` in sequences of at most 2048 tokens, with the checksum of their ids."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    pieces = packing.pack(docs, definition, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``."""
+    return packed(table(spark, sf_dir, "documents"))
