@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, language, packing, quality, toxicity
+from . import bpe, kdtree, language, neighbours, packing, quality, toxicity
 from .samples import remainder
 
 
@@ -64,3 +64,13 @@ def packed(docs: DataFrame) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``."""
     return packed(table(spark, sf_dir, "documents"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector: ``(query_id, rank, vec_id, score)``."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows of every 50th vector by integer inner product: ``(query_id, rank, vec_id, score)``."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)

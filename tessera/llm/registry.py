@@ -13,5 +13,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in vars(q).items() if name.startswith("op") and callable(f)}
 
 
+_VECTORS = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), bad AS (
+  SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR isnan(x) OR isinf(x)
+), good AS (
+  SELECT vec_id, d, {value} AS x FROM parts WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), size AS (
+  SELECT vec_id, max(d) AS dim FROM good GROUP BY vec_id{having}
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x{order}){cast} AS score
+  FROM good q JOIN good c ON q.d = c.d AND q.vec_id <> c.vec_id
+  JOIN size a ON a.vec_id = q.vec_id JOIN size b ON b.vec_id = c.vec_id AND a.dim = b.dim
+  WHERE q.vec_id % {every} = 0 GROUP BY q.vec_id, c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= {k}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Brute force in SQL, for the searches."""
+    return {
+        "op5_neighbours": _VECTORS.format(value="x", having=" HAVING max(abs(x)) > 0", order=" ORDER BY q.d",
+                                          cast="", every=20, k=20),
+        "op10_topk": _VECTORS.format(value="floor(256 * x)::BIGINT", having="", order="", cast="::BIGINT",
+                                     every=50, k=5),
+    }
