@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, kdtree, language, neighbours, packing, quality, toxicity
+from . import bpe, jaccard, kdtree, language, neighbours, packing, quality, toxicity
 from .samples import remainder
 
 
@@ -74,3 +74,8 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows of every 50th vector by integer inner product: ``(query_id, rank, vec_id, score)``."""
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
+
+
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: ``(doc_id, n_shingles, component_id, n_class)``."""
+    return jaccard.near_copies(table(spark, sf_dir, "documents"))
