@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, jaccard, kdtree, language, neighbours, packing, quality, toxicity
+from . import bpe, jaccard, kdtree, language, neighbours, packing, quality, repeats, toxicity
 from .samples import remainder
 
 
@@ -79,3 +79,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies: ``(doc_id, n_shingles, component_id, n_class)``."""
     return jaccard.near_copies(table(spark, sf_dir, "documents"))
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 200 bytes that repeat:
+    ``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return cut.select("doc_id", "repeats.n_bytes", "repeats.n_removed",
+                      F.size("repeats.spans").cast("long").alias("n_spans"),
+                      F.sha2("repeats.kept", 256).alias("kept_sha256"))
