@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, jaccard, kdtree, language, neighbours, packing, quality, repeats, toxicity
+from . import bpe, jaccard, kdtree, language, licences, neighbours, packing, quality, repeats, toxicity
 from .samples import remainder
 
 
@@ -88,3 +88,12 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "repeats.n_bytes", "repeats.n_removed",
                       F.size("repeats.spans").cast("long").alias("n_spans"),
                       F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: ``(doc_id, n_paragraphs, family, findings)``;
+    ``family`` is that of the most probable finding."""
+    docs = table(spark, sf_dir, "documents")
+    scanned = licences.scan(docs, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.*")
+    best = F.array_max(F.transform("findings", lambda x: F.struct(x["probability"], x["family"])))
+    return scanned.select("doc_id", "n_paragraphs", best["family"].alias("family"), "findings")

@@ -39,6 +39,7 @@ from pyspark.sql.types import (
     BinaryType,
     IntegerType,
     LongType,
+    StringType,
     StructField,
     StructType,
 )
@@ -311,13 +312,15 @@ def index_segments(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame
 
 RESULT = StructType([
     StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("kept", BinaryType()),
+    StructField("text", StringType()),
     StructField("spans", ArrayType(StructType([StructField("begin", LongType()), StructField("end", LongType())])))])
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], length: int = 200, text: str = "text",
                    out: str = "repeats") -> DataFrame:
-    """``docs[keep]`` and a struct ``out``: the bytes left, and the maximal
-    removed spans as byte offsets into the UTF-8 text."""
+    """``docs[keep]`` and a struct ``out``: the bytes left, also as text
+    (without the parts of characters cut in two), and the maximal removed
+    spans as byte offsets into the UTF-8 text."""
     if not GRAM <= length <= GRAM + 250:
         raise ValueError(f"length must lie between {GRAM} and {GRAM + 250}")
     if out in keep:
@@ -368,7 +371,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = 200, text: st
                     spans.append([{"begin": a, "end": b} for a, b in gone])
                 result = pa.StructArray.from_arrays(
                     [pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()),
-                     pa.array(spans, span)], names=RESULT.names)
+                     pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()), pa.array(spans, span)], names=RESULT.names)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], result], names=schema.names)
 
     return joined.mapInArrow(cut, schema).select(*[F.col(n).alias(k) for k, n in zip(keep, names, strict=True)], out)
