@@ -49,11 +49,11 @@ from . import textbatch as tb
 from .rindex import repeated_starts
 from .shipping import ship
 
-GRAM = 20
+GRAM = 64
 #: An anchor with more than this share of all anchors is a heavy hitter.
 SHARE = 1e-5
 #: Bytes of segments indexed together.
-INDEXED = 2 << 20
+INDEXED = 1 << 19
 _PLACE = 28  # bits of a position in a run of texts
 
 
