@@ -126,11 +126,14 @@ class Model:
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: int = 300, copies: int = 40,
         epochs: int = 30, seed: int = 7) -> Model:
     """Train on copies of the notices and on lines of the ``max_docs`` documents
-    with the smallest id hash (one line of each, at random)."""
+    with the smallest id hash (the first line of each)."""
     rng = np.random.default_rng(seed)
-    rows = (docs.where(docs[text].isNotNull()).orderBy(F.xxhash64(docs[doc_id]), docs[doc_id]).limit(max_docs)
-            .select(F.split(docs[text], "\n", 2).alias("lines")).collect())
-    ordinary = sorted(r.lines[0] for r in rows if r.lines and r.lines[0].strip())
+    # ids first: at most max_docs of them are broadcast, and only their lines come back
+    chosen = (docs.where(docs[text].isNotNull() & docs[doc_id].isNotNull()).select(docs[doc_id].alias("__id"))
+              .orderBy(F.xxhash64("__id"), "__id").limit(max_docs))
+    rows = (docs.join(F.broadcast(chosen), docs[doc_id] == F.col("__id"))
+            .select(F.split(docs[text], "\n", 2)[0].alias("line")).collect())
+    ordinary = sorted(r.line for r in rows if r.line and r.line.strip())
     names = tuple(FAMILIES)
     unknown = len(names)
     key_words = {"apache", "mit", "gnu", "general", "lesser", "public", "bsd", "mozilla", "creative", "commons",
