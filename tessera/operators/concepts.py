@@ -7,15 +7,19 @@ a lost executor re-reads the table instead of re-running the text steps),
 read back with Spark's vector type, and handed to Spark's own
 ``IndexedRowMatrix.computeSVD``.  Only ``s`` and ``V`` (``k`` and
 ``num_terms x k`` numbers, bounded by parameters) reach the driver.
-``U * S`` is ``A * V``: a join of the coordinate table with the broadcast
-term vectors, summed per document.
+``U * S`` is ``A * V``, computed document by document from the sorted sparse
+rows and ``V``, which every executor gets once.  Sums run in term order, so
+equal documents get equal vectors.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
@@ -28,10 +32,8 @@ from .ranking import top_n_per_group
 
 K = 25
 RCOND = 1e-6
-# Largest vocabulary decomposed through the Gramian (see ``truncated_svd``).
-GRAMIAN_MAX_TERMS = 2000
-# Queries scored per pass over the document vectors.
-QUERY_BATCH = 256
+# Entries of ``V`` gathered at a time while documents are projected.
+PROJECTED = 1 << 21
 
 
 @dataclass
@@ -44,6 +46,12 @@ class Decomposition:
     term_vectors: DataFrame
 
 
+def doc_entries(tfidf: DataFrame) -> DataFrame:
+    """``(doc_id, e)``: each document's ``(term_id, w)`` entries in term order."""
+    return tfidf.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("e"))
+
+
 def sparse_rows(spark: SparkSession, tfidf: DataFrame, num_terms: int) -> DataFrame:
     """``(doc_id, vec)``: one sparse vector per document with any entry.
 
@@ -52,8 +60,7 @@ def sparse_rows(spark: SparkSession, tfidf: DataFrame, num_terms: int) -> DataFr
     shared folder, and read back typed as vectors, all on the JVM.
     """
     layout = VectorUDT().sqlType()
-    entries = tfidf.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("e"))
+    entries = doc_entries(tfidf)
     fields = {
         "type": F.lit(0).cast(layout["type"].dataType),
         "size": F.lit(num_terms).cast(layout["size"].dataType),
@@ -88,20 +95,16 @@ def _gramian_svd(matrix: IndexedRowMatrix, k: int, rcond: float) -> tuple[np.nda
 
 
 def truncated_svd(spark: SparkSession, tfidf: DataFrame, num_terms: int, k: int = K,
-                  rcond: float = RCOND, method: str = "auto") -> Decomposition:
+                  rcond: float = RCOND, method: str = "arpack") -> Decomposition:
     """M3: the ``k`` largest singular values and right singular vectors.
 
-    ``method``: ``"arpack"`` is Spark's ``computeSVD`` (about 90 passes over
-    the persisted rows for k = 25); ``"gramian"`` is Spark's one-pass
-    ``computeGramianMatrix`` and a ``num_terms x num_terms`` eigendecomposition
-    on the driver; ``"auto"`` takes the Gramian up to
-    ``GRAMIAN_MAX_TERMS`` terms (dense partials of at most 16 MB per task),
-    ARPACK above.  Singular values below ``rcond * s_max`` are dropped, so
+    ``method``: ``"arpack"``, at every size, is Spark's ``computeSVD`` (about
+    90 passes over the persisted rows for k = 25); ``"gramian"``, only when
+    asked for, is Spark's one-pass ``computeGramianMatrix`` and a
+    ``num_terms x num_terms`` eigendecomposition on the driver.  Singular values below ``rcond * s_max`` are dropped, so
     fewer than ``k`` concepts may come back; callers loop over what is
     returned.
     """
-    if method == "auto":
-        method = "gramian" if num_terms <= GRAMIAN_MAX_TERMS else "arpack"
     rows = sparse_rows(spark, tfidf, num_terms).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         k_eff = max(1, min(k, num_terms))
@@ -128,20 +131,35 @@ def term_concept(dec: Decomposition) -> DataFrame:
 def doc_vectors(tfidf: DataFrame, dec: Decomposition, docs: DataFrame | None = None) -> DataFrame:
     """M4: ``(doc_id, us)``: row ``d`` of ``U * S`` as ``array<double>[k]``.
 
-    ``A * V``: every entry ``w`` of a document picks its term's vector (the
-    table has ``num_terms`` rows, broadcast) scaled by ``w``; the vectors of
-    a document (at most ``num_terms``) are added up.  With ``docs``,
-    documents without entries get a zero vector.
+    ``A * V``, one document at a time: the terms' vectors, scaled by the
+    entries and added in term order.  With ``docs``, documents without
+    entries get a zero vector.
     """
-    k = len(dec.s)
-    zero = F.array_repeat(F.lit(0.0), k)
-    scaled = tfidf.join(F.broadcast(dec.term_vectors), "term_id").select(
-        "doc_id", F.transform("v", lambda x: x * F.col("w")).alias("wv"))
-    summed = scaled.groupBy("doc_id").agg(
-        F.aggregate(F.collect_list("wv"), zero,
-                    lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("us"))
+    k, spark = len(dec.s), tfidf.sparkSession
+    sent, block = spark.sparkContext.broadcast(dec.V), max(1, PROJECTED // max(1, k))
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        V = sent.value
+        for batch in batches:
+            entries = batch.column(1)
+            flat, ends = entries.flatten(), np.asarray(entries.offsets, dtype=np.int64)
+            ends = ends - ends[0]
+            terms, weights = np.asarray(flat.field("term_id")), np.asarray(flat.field("w"))
+            row, sums = 0, np.zeros((batch.num_rows, k))
+            while row < batch.num_rows:  # documents whose entries fit a block, at least one
+                stop = max(row + 1, int(np.searchsorted(ends, ends[row] + block, "right")) - 1)
+                lo, hi = ends[row], ends[stop]
+                scaled = V[terms[lo:hi]] * weights[lo:hi, None]
+                sums[row:stop] = np.add.reduceat(scaled, ends[row:stop] - lo, axis=0)
+                row = stop
+            us = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * k, sums.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), us], names=["doc_id", "us"])
+
+    rows = doc_entries(tfidf).select(F.col("doc_id").cast("bigint").alias("doc_id"), "e")
+    summed = rows.mapInArrow(project, "doc_id bigint, us array<double>")
     if docs is None:
         return summed
+    zero = F.array_repeat(F.lit(0.0), k)
     return docs.select("doc_id").join(summed, "doc_id", "left").select(
         "doc_id", F.coalesce(F.col("us"), zero).alias("us"))
 
@@ -157,7 +175,7 @@ def concept_top_terms(dec: Decomposition, vocab: DataFrame, n: int = 25) -> Data
     the id."""
     tc = term_concept(dec).withColumnRenamed("v", "weight")
     top = top_n_per_group(tc, ["concept"], [F.desc("weight"), F.col("term_id")], n)
-    named = top.join(F.broadcast(vocab.select("term_id", "term")), "term_id", "left")
+    named = top.join(vocab.select("term_id", "term"), "term_id", "left")
     return named.select("concept", "rank", "term_id",
                         F.coalesce(F.col("term"), F.col("term_id").cast("string")).alias("term"),
                         "weight")
@@ -172,7 +190,7 @@ def concept_top_docs(us: DataFrame, dec: Decomposition, docs: DataFrame, n: int
     """
     scores = doc_concept_scores(us)
     top = top_n_per_group(scores, ["concept"], [F.desc("score"), F.col("doc_id")], n)
-    top = top.join(F.broadcast(dec.sigma), "concept")
+    top = top.join(dec.sigma, "concept")
     meta = docs.select("doc_id", "title", "genre")
     j = top.join(meta, "doc_id", "left")
     return j.select(
@@ -207,62 +225,31 @@ def query_concepts(qv: DataFrame, dec: Decomposition, queries: DataFrame) -> Dat
     query id in ``queries`` (zero vector when no word is known)."""
     k = len(dec.s)
     zero = F.array_repeat(F.lit(0.0), k)
-    scaled = qv.join(F.broadcast(dec.term_vectors), "term_id").select(
-        "query_id", F.transform("v", lambda x: x * F.col("w")).alias("wv"))
+    scaled = qv.join(dec.term_vectors, "term_id").select(
+        "query_id", "term_id", F.transform("v", lambda x: x * F.col("w")).alias("wv"))
     summed = scaled.groupBy("query_id").agg(
-        F.aggregate(F.collect_list("wv"), zero,
-                    lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("qc"))
+        F.aggregate(F.array_sort(F.collect_list(F.struct("term_id", "wv"))), zero,
+                    lambda acc, x: F.zip_with(acc, x["wv"], lambda a, b: a + b)).alias("qc"))
     ids = queries.select("query_id").distinct()
     return ids.join(summed, "query_id", "left").select(
         "query_id", F.coalesce(F.col("qc"), zero).alias("qc"))
 
 
-def _score_batch(us: DataFrame, batch: list, top: int) -> DataFrame:
-    """Top ``top`` documents per query of one batch of query vectors."""
-    literal = F.array(*[
-        F.struct(F.lit(r["query_id"]).alias("query_id"),
-                 F.array(*[F.lit(float(x)) for x in r["qc"]]).cast("array<double>").alias("qc"))
-        for r in batch])
-    scored = us.select(
-        "doc_id",
-        F.inline(F.transform(literal, lambda q: F.struct(
-            q["query_id"].alias("query_id"),
-            F.aggregate(F.zip_with(F.col("us"), q["qc"], lambda a, b: a * b),
-                        F.lit(0.0), lambda acc, x: acc + x).alias("score")))))
-    return top_n_per_group(scored, ["query_id"], [F.desc("score"), F.col("doc_id")], top)
-
-
 def keyword_search(us: DataFrame, qc: DataFrame, docs: DataFrame, top: int = 10) -> DataFrame:
     """M7 + M8 + T4: ``(query_id, rank, doc_id, title, genre, score)``, the
     ``top`` documents per query by ``(U S) (V^T q)`` (plain dot product; ties
     by doc id).
 
-    Query vectors (``k`` numbers each) are planned as a literal array; every
-    document row scores all queries of a batch with native array functions
-    in its own task, and only each task's per-query top ``top`` rows are
-    shuffled.  Up to ``QUERY_BATCH`` queries this is one lazy plan; larger
-    query sets stream to the driver one batch at a time, and each batch's
-    hits are appended to a table under the shared folder.
+    One lazy plan for any number of queries: the query vectors (``k`` numbers
+    each) are one array value, from a scalar subquery; every document row
+    scores them all with native array functions in its own task, and only
+    each task's ``top`` rows of a query are shuffled.
     """
-    spark = us.sparkSession
-    ordered = qc.orderBy("query_id")
-    first = ordered.limit(QUERY_BATCH + 1).collect()
-    if not first:
-        return spark.createDataFrame(
-            [], "query_id int, rank int, doc_id bigint, title string, genre string, score double")
-    if len(first) <= QUERY_BATCH:
-        best = _score_batch(us, first, top)
-    else:
-        path = shared_path(spark, "keyword-hits")
-        batch: list = []
-        for row in ordered.toLocalIterator():
-            batch.append(row)
-            if len(batch) == QUERY_BATCH:
-                _score_batch(us, batch, top).write.mode("append").parquet(path)
-                batch = []
-        if batch:
-            _score_batch(us, batch, top).write.mode("append").parquet(path)
-        best = spark.read.parquet(path)
+    queries = qc.agg(F.array_sort(F.collect_list(F.struct("query_id", "qc")))).scalar()
+    pairs = us.select("doc_id", "us", F.inline(queries))
+    scored = pairs.select("doc_id", "query_id", F.aggregate(
+        F.zip_with("us", "qc", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x).alias("score"))
+    best = top_n_per_group(scored, ["query_id"], [F.desc("score"), F.col("doc_id")], top)
     j = best.join(docs.select("doc_id", "title", "genre"), "doc_id", "left")
     return j.select("query_id", "rank", "doc_id",
                     F.coalesce(F.col("title"), F.col("doc_id").cast("string")).alias("title"),

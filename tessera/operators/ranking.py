@@ -2,12 +2,11 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` sorts each group inside a
 single task, so a key holding a third of the rows makes that task a third of
-the job.  :func:`rank_within_groups` gives the same numbers, but splits any
-group larger than ``hot_rows`` into ordered chunks: the chunk is a range of
-the leading hash key, chunk sizes are counted (map-side combined), a running
-sum over the few chunk counts of a group gives each chunk's offset, and rows
-are numbered inside ``(group, chunk)``.  When no group is hot (the usual
-case) the plan is the plain window.
+the job.  :func:`rank_within_groups` gives the same numbers by one lazy plan for
+all inputs: a group is cut into ordered chunks of about ``hot_rows`` rows, the
+chunk being a range of the leading hash key; chunk sizes are counted (map-side
+combined), a running sum over a group's chunk counts gives each chunk's
+offset, and rows are numbered inside ``(group, chunk)``.
 """
 
 from __future__ import annotations
@@ -17,10 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hex_prefix_fraction
 
-# A group with more rows than this is split across tasks.
+# Rows of a chunk: a group with more is split across tasks.
 HOT_GROUP_ROWS = 2_000_000
-# Largest number of hot groups / chunk offsets shipped whole to every task.
-MAX_BROADCAST_GROUPS = 1_000_000
 
 
 def _cols(cols) -> list[Column]:
@@ -48,17 +45,7 @@ def rank_within_groups(
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.where(F.col("_n") > hot_rows).withColumn(
         "_chunks", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int"))
-    n_hot, n_chunks = hot.agg(F.count(F.lit(1)), F.sum("_chunks")).first()
-
-    if n_hot == 0:
-        w = Window.partitionBy(*group_cols)
-        return (
-            df.withColumn(rank_col, F.row_number().over(w.orderBy(*order)))
-            .withColumn(size_col, F.count(F.lit(1)).over(w))
-        )
-
-    hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_GROUPS else hot
-    x = df.join(hot_side, group_cols, "left").withColumn(
+    x = df.join(hot, group_cols, "left").withColumn(
         "_chunk",
         F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
             F.floor(hex_prefix_fraction(hash_col) * F.col("_chunks")).cast("int")),
@@ -73,8 +60,7 @@ def rank_within_groups(
     offsets = counts.select(
         *group_cols, "_chunk",
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    off_side = F.broadcast(offsets) if (n_chunks or 0) <= MAX_BROADCAST_GROUPS else offsets
-    y = x.join(off_side, [*group_cols, "_chunk"], "left")
+    y = x.join(offsets, [*group_cols, "_chunk"], "left")
     w = Window.partitionBy(*group_cols, "_chunk")
     return (
         y.withColumn(rank_col, F.coalesce(F.col("_off"), F.lit(0))

@@ -21,15 +21,9 @@ from .metrics import auc_value, confusion, exact_auc
 from .relational import sum_per_key
 
 ALS_SEED = 42
-# Fewest ALS user/item blocks (Spark's default); a cluster gets one per core.
-MIN_ALS_BLOCKS = 10
-
-
-def als_blocks(spark) -> int:
-    """ALS user and item blocks, and the partitions its input is arranged
-    into: one per core of the cluster, at least ``MIN_ALS_BLOCKS``.  A fixed
-    count for a given cluster keeps fits repeatable."""
-    return max(MIN_ALS_BLOCKS, spark.sparkContext.defaultParallelism)
+# ALS user and item blocks (Spark's default).  The model depends on their
+# number, so it is a parameter and never follows the cluster.
+ALS_BLOCKS = 10
 
 
 def item_popularity(train: DataFrame, item_col: str = "item",
@@ -57,18 +51,13 @@ def score_list_for_users(users: DataFrame, top: DataFrame, user_col: str = "user
                          item_col: str = "item") -> DataFrame:
     """Every user gets the same scored list ``(user, item, score)``.
 
-    The list has at most ``n`` rows (a parameter), so it is brought to the
-    driver and planned as a literal array that each user row expands with
-    a generator: no join, no shuffle.
+    The list is one array value, from a scalar subquery, that each user row
+    expands with a generator: no join, no shuffle of users, no job before
+    the action.
     """
-    rows = top.select(item_col, "score").orderBy(F.desc("score")).collect()
-    struct_type = f"array<struct<{item_col}:bigint,score:double>>"
-    literal = F.array(*[
-        F.struct(F.lit(r[item_col]).cast("bigint").alias(item_col),
-                 F.lit(float(r["score"])).alias("score"))
-        for r in rows
-    ]).cast(struct_type)
-    return users.select(user_col, F.inline(literal))
+    entry = F.struct(F.col(item_col).cast("bigint").alias(item_col),
+                     F.col("score").cast("double").alias("score"))
+    return users.select(user_col, F.inline(top.agg(F.collect_list(entry)).scalar()))
 
 
 def label_by_membership(scored: DataFrame, truth: DataFrame, user_col: str = "user",
@@ -84,27 +73,27 @@ def label_by_membership(scored: DataFrame, truth: DataFrame, user_col: str = "us
 
 
 def als_input(ratings: DataFrame, user_col: str = "user", item_col: str = "item",
-              rating_col: str = "rating") -> DataFrame:
-    """``(user int, item int, rating float)`` hash-arranged by user into
-    :func:`als_blocks` partitions and sorted inside, so the same rows give the
-    same model whatever the upstream partitioning."""
+              rating_col: str = "rating", blocks: int = ALS_BLOCKS) -> DataFrame:
+    """``(user int, item int, rating float)`` hash-arranged by user and item
+    into ``blocks`` partitions (a hot user is spread over all) and sorted
+    inside, so the same rows give the same model whatever the upstream
+    partitioning."""
     return (
         ratings.select(F.col(user_col).cast("int").alias("user"),
                        F.col(item_col).cast("int").alias("item"),
                        F.col(rating_col).cast("float").alias("rating"))
-        .repartition(als_blocks(ratings.sparkSession), "user")
+        .repartition(blocks, "user", "item")
         .sortWithinPartitions("user", "item", "rating")
     )
 
 
 def train_als(ratings: DataFrame, rank: int, reg: float, alpha: float,
-              max_iter: int = 5, seed: int = ALS_SEED) -> ALSModel:
+              max_iter: int = 5, seed: int = ALS_SEED, blocks: int = ALS_BLOCKS) -> ALSModel:
     """Implicit-feedback ALS on ``(user, item, rating)``."""
-    blocks = als_blocks(ratings.sparkSession)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, implicitPrefs=True,
               userCol="user", itemCol="item", ratingCol="rating", seed=seed,
               coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks)
-    return als.fit(als_input(ratings))
+    return als.fit(als_input(ratings, blocks=blocks))
 
 
 def recommend_top_n(model: ALSModel, users: DataFrame, n: int,
@@ -151,6 +140,7 @@ def grid_search(
     n: int = 50,
     max_iter: int = 5,
     parallelism: int = 1,
+    blocks: int = ALS_BLOCKS,
     on_result: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Mean AUC over ``k`` folds for every parameter set.
@@ -170,7 +160,8 @@ def grid_search(
 
     def evaluate(task):
         rank, reg, alpha, fold = task
-        model = train_als(assigned.where(F.col("fold") != fold), rank, reg, alpha, max_iter)
+        model = train_als(assigned.where(F.col("fold") != fold), rank, reg, alpha, max_iter,
+                          blocks=blocks)
         auc = auc_value(als_predictions_labels(model, assigned.where(F.col("fold") == fold), n))
         row = spark.createDataFrame([(rank, float(reg), float(alpha), fold, auc)], EVAL_SCHEMA)
         if on_result is not None:

@@ -1,10 +1,8 @@
 """Joins, lookups, distincts and counts.
 
-Broadcast rule used throughout: a side is broadcast only when its size is
-bounded by a parameter (a top-N list, a vocabulary of ``num_terms``) or
-after :func:`bounded_broadcast` has counted it; otherwise the join is left
-to Catalyst and AQE (sort-merge with skew splitting, or a runtime switch to
-broadcast from measured stage sizes).
+Joins carry no broadcast hints: Catalyst and AQE choose from measured bytes
+(a broadcast, or sort-merge with skew splitting).  A caller who knows a side
+to be short can pass it through :func:`bounded_broadcast`.
 """
 
 from __future__ import annotations
@@ -26,13 +24,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if n <= max_rows else df
 
 
-def resolve_aliases(ratings: DataFrame, aliases: DataFrame, item_col: str = "item",
-                    max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def resolve_aliases(ratings: DataFrame, aliases: DataFrame, item_col: str = "item") -> DataFrame:
     """Replace ``item`` by its ``good_id`` when listed as a ``bad_id`` (one hop).
 
     ``aliases`` must have one row per ``bad_id`` (see ``parse_alias``).
     """
-    a = bounded_broadcast(aliases.select("bad_id", "good_id"), max_broadcast_rows)
+    a = aliases.select("bad_id", "good_id")
     joined = ratings.join(a, ratings[item_col] == a["bad_id"], "left")
     return (
         joined.withColumn(item_col, F.coalesce(F.col("good_id"), F.col(item_col)))
@@ -40,16 +37,14 @@ def resolve_aliases(ratings: DataFrame, aliases: DataFrame, item_col: str = "ite
     )
 
 
-def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str],
-              max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys``."""
-    return df.join(bounded_broadcast(keys, max_broadcast_rows), on, "left_semi")
+    return df.join(keys, on, "left_semi")
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on: str | list[str] | Column,
-              max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def anti_join(df: DataFrame, keys: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``."""
-    return df.join(bounded_broadcast(keys, max_broadcast_rows), on, "left_anti")
+    return df.join(keys, on, "left_anti")
 
 
 def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str,

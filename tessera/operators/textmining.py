@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import lemma_candidates, raw_pieces, word_of
-from .relational import BROADCAST_ROWS, bounded_broadcast
 
 NUM_TERMS = 5000
 MIN_LEXICON_DF = 2
@@ -116,18 +115,16 @@ def corpus_lexicon(tokens: DataFrame, min_df: int = MIN_LEXICON_DF) -> DataFrame
     return df.where(F.col("df") >= min_df).select("term")
 
 
-def with_lemma(rows: DataFrame, lemmas: DataFrame, token_col: str = "token",
-               max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_lemma(rows: DataFrame, lemmas: DataFrame, token_col: str = "token") -> DataFrame:
     """Add ``lemma`` to rows holding a token.
 
     Only terms whose lemma differs from the term are looked up (a small
-    share of all terms), so that table is broadcast after a size check and
-    the token rows are never shuffled for this step, hot terms included.
+    share of all terms); while that table is under Spark's broadcast
+    threshold, the token rows are not shuffled for this step.
     """
     changes = lemmas.where(F.col("term") != F.col("lemma")).select(
         F.col("term").alias("_t"), F.col("lemma").alias("_l"))
-    j = rows.join(bounded_broadcast(changes, max_broadcast_rows),
-                  F.col(token_col) == F.col("_t"), "left")
+    j = rows.join(changes, F.col(token_col) == F.col("_t"), "left")
     return j.withColumn("lemma", F.coalesce(F.col("_l"), F.col(token_col))).drop("_t", "_l")
 
 
@@ -137,11 +134,9 @@ def lemmatize_tokens(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
     return j.select("doc_id", "pos", "token", "lemma").where(F.length("lemma") > 2)
 
 
-def drop_stopwords(rows: DataFrame, stopwords: DataFrame, col: str,
-                   max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def drop_stopwords(rows: DataFrame, stopwords: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` is not a stop word (column ``word``)."""
-    stop = bounded_broadcast(stopwords.select(F.col("word").alias("_w")).distinct(),
-                             max_broadcast_rows)
+    stop = stopwords.select(F.col("word").alias("_w")).distinct()
     return rows.join(stop, rows[col] == stop["_w"], "left_anti")
 
 

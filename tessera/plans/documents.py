@@ -51,10 +51,12 @@ class Params:
     stop_top: int = 7
     # Share of documents kept (hash sample on the document key); 1.0 keeps all.
     sample_fraction: float = 1.0
+    # Singular values below this share of the largest are dropped (Spark's default).
+    rcond: float = 1e-9
 
     def __post_init__(self) -> None:
-        # The vocabulary, its IDF table and the term vectors are broadcast and
-        # V (num_terms x k) comes to the driver: the bound is this parameter.
+        # Spark's SVD returns V (num_terms x k doubles) to the driver, and V is
+        # sent to the executors: these parameters are its size bound.
         if not 1 <= self.num_terms <= MAX_TERMS:
             raise ValueError(f"num_terms must be in 1..{MAX_TERMS}, got {self.num_terms}")
         if not 1 <= self.k <= min(self.num_terms, MAX_CONCEPTS):
@@ -82,6 +84,13 @@ def docs(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return out
 
 
+def doc_meta(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """``(doc_id, title, genre)`` of :func:`docs`, written once per application:
+    counts and lookups read it instead of scanning the texts."""
+    return store.stored(spark, "doc_meta", (d, p.sample_fraction),
+                        lambda: docs(spark, d, p).select("doc_id", "title", "genre"))
+
+
 def tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.tokenize(docs(spark, d, p))
 
@@ -154,7 +163,7 @@ def term_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame
 
 
 def doc_lengths(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    return T.doc_lengths(term_freq(spark, d, p), docs(spark, d, p))
+    return T.doc_lengths(term_freq(spark, d, p), doc_meta(spark, d, p))
 
 
 def doc_freq(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -165,7 +174,7 @@ def idf(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M1 + W5: ``(term_id, term, df, idf)`` of the vocabulary, stored once
     per application (at most ``num_terms`` rows, read by every later step)."""
     return store.stored(spark, "idf", (d, p), lambda: T.idf_table(
-        T.vocabulary(doc_freq(spark, d, p), p.num_terms), docs(spark, d, p)))
+        T.vocabulary(doc_freq(spark, d, p), p.num_terms), doc_meta(spark, d, p)))
 
 
 def vocabulary(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -183,7 +192,7 @@ def doc_metadata_lookup(spark: SparkSession, d: Source, p: Params = Params()) ->
     """J8 + W4: ``(doc_id, title, genre)`` of every document with a term;
     genre ``unknown`` when the document table has none."""
     ids = term_freq(spark, d, p).select("doc_id").distinct()
-    meta = docs(spark, d, p).select("doc_id", "title", "genre")
+    meta = doc_meta(spark, d, p)
     j = ids.join(meta, "doc_id", "left")
     return j.select("doc_id", F.coalesce(F.col("title"), F.col("doc_id").cast("string")).alias("title"),
                     F.coalesce(F.col("genre"), F.lit("unknown")).alias("genre"))
@@ -196,7 +205,7 @@ def decomposition(spark: SparkSession, d: Source, p: Params = Params()) -> C.Dec
     """M3, computed once per application, data folder and parameters."""
     def make() -> C.Decomposition:
         n_terms = vocabulary(spark, d, p).count()
-        return C.truncated_svd(spark, tfidf(spark, d, p), n_terms, p.k)
+        return C.truncated_svd(spark, tfidf(spark, d, p), n_terms, p.k, p.rcond)
     return store.once(_DECOMPOSITIONS, ("svd", spark.sparkContext.applicationId, d, p), make)
 
 
@@ -209,7 +218,7 @@ def doc_vectors(spark: SparkSession, d: Source, p: Params = Params()) -> DataFra
     """M4: ``(doc_id, us)``, the rows of ``U * S``, stored once per application
     (concept reports, scores and keyword search all read them)."""
     return store.stored(spark, "doc_vectors", (d, p), lambda: C.doc_vectors(
-        tfidf(spark, d, p), decomposition(spark, d, p), docs(spark, d, p)))
+        tfidf(spark, d, p), decomposition(spark, d, p), doc_meta(spark, d, p)))
 
 
 def doc_concept_scores(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -223,7 +232,7 @@ def concept_top_terms(spark: SparkSession, d: Source, p: Params = Params()) -> D
 
 def concept_top_docs(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return C.concept_top_docs(doc_vectors(spark, d, p), decomposition(spark, d, p),
-                              docs(spark, d, p), p.top_docs)
+                              doc_meta(spark, d, p), p.top_docs)
 
 
 def concept_genres(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -265,14 +274,14 @@ def keyword_search(spark: SparkSession, d: Source, p: Params = Params()) -> Data
     """M7 + M8: top ``results`` documents of every query."""
     dec = decomposition(spark, d, p)
     qc = C.query_concepts(query_vector(spark, d, p), dec, query_words(spark, d, p))
-    return C.keyword_search(doc_vectors(spark, d, p), qc, docs(spark, d, p), p.results)
+    return C.keyword_search(doc_vectors(spark, d, p), qc, doc_meta(spark, d, p), p.results)
 
 
 def matrix_shapes(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """One row ``(n_docs, n_terms, n_concepts)``."""
     n_concepts = len(decomposition(spark, d, p).s)
     n_terms = vocabulary(spark, d, p).agg(F.count(F.lit(1))).scalar()
-    return docs(spark, d, p).agg(F.count(F.lit(1)).alias("n_docs")).select(
+    return doc_meta(spark, d, p).agg(F.count(F.lit(1)).alias("n_docs")).select(
         "n_docs", n_terms.alias("n_terms"), F.lit(n_concepts).cast("bigint").alias("n_concepts"))
 
 
@@ -282,7 +291,7 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
     from ..operators import report as RP
 
     dec = decomposition(spark, d, p)
-    dcs, vocab = docs(spark, d, p), vocabulary(spark, d, p)
+    dcs, vocab = doc_meta(spark, d, p), vocabulary(spark, d, p)
     svals = ", ".join(f"{v:.4f}" for v in dec.s)
     n_docs = dcs.agg(F.count(F.lit(1))).scalar()
     n_terms = vocab.agg(F.count(F.lit(1))).scalar()
@@ -294,7 +303,7 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
         spark.range(1).select(*RP.entry("run", "k", F.lit(p.k))),
         spark.range(1).select(*RP.entry("run", "sample", F.lit(f"{p.sample_fraction * 100:.0f}%"))),
         spark.range(1).select(*RP.entry("run", "spark_version", F.lit(spark.version))),
-        RP.scalar_entry(docs(spark, d, replace(p, sample_fraction=1.0)), "dataframe",
+        RP.scalar_entry(doc_meta(spark, d, replace(p, sample_fraction=1.0)), "dataframe",
                         "total_rows", F.count(F.lit(1))),
         RP.scalar_entry(dcs, "dataframe", "sampled_docs", F.count(F.lit(1))),
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),

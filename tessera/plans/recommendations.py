@@ -44,7 +44,7 @@ NEW_USER_TOP = 25
 Source = str | files.PlayFiles
 
 
-# The popular list is planned as a literal in every task: bounded here.
+# The popular list is one value in every task: bounded here.
 MAX_TOP_N = 10_000
 
 
@@ -54,10 +54,16 @@ class Params:
     train_fraction: float = TRAIN_FRACTION
     top_n: int = TOP_N
     folds: int = FOLDS
+    # ALS user and item blocks: part of the model, never taken from the cluster.
+    als_blocks: int = rec.ALS_BLOCKS
+    # Must not be in the ratings; the job fails if it is.
+    new_user_id: int = NEW_USER_ID
 
     def __post_init__(self) -> None:
         if not 1 <= self.top_n <= MAX_TOP_N:
             raise ValueError(f"top_n must be in 1..{MAX_TOP_N}, got {self.top_n}")
+        if self.als_blocks < 1:
+            raise ValueError(f"als_blocks must be at least 1, got {self.als_blocks}")
         if not 0.0 < self.train_fraction < 1.0:
             raise ValueError(f"train_fraction must be in (0, 1), got {self.train_fraction}")
         if self.folds < 2 or self.min_items < 1:
@@ -194,11 +200,11 @@ def split_user_parity(spark: SparkSession, data_dir: Source, p: Params = Params(
     ).withColumn("same_users", F.col("users_in_one_side") == 0)
 
 
-def new_user_rows(spark: SparkSession, data_dir: Source) -> DataFrame:
+def new_user_rows(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """S9 + J1: the new user's literal ratings, items mapped through the alias list."""
     items = (data_dir.new_user_items if isinstance(data_dir, files.PlayFiles)
              else NEW_USER_ITEMS)
-    rows = literals.rating_rows(spark, NEW_USER_ID, list(items), NEW_USER_COUNT)
+    rows = literals.rating_rows(spark, p.new_user_id, list(items), NEW_USER_COUNT)
     resolved = resolve_aliases(rows, aliases(spark, data_dir))
     return resolved.select(
         "user", "item",
@@ -208,9 +214,13 @@ def new_user_rows(spark: SparkSession, data_dir: Source) -> DataFrame:
 
 
 def train_plus_new_user(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
-    """Training rows with the new user's rows appended."""
+    """Training rows with the new user's rows appended; the job fails if
+    the new user's id is already there."""
     train, _ = train_test(spark, data_dir, p)
-    return union_rows(train, new_user_rows(spark, data_dir))
+    taken = F.raise_error(F.lit(f"new user id {p.new_user_id} is already in the ratings"))
+    checked = train.withColumn("user", F.when(F.col("user") == p.new_user_id, taken.cast("bigint"))
+                               .otherwise(F.col("user")))
+    return union_rows(checked, new_user_rows(spark, data_dir, p))
 
 
 # ---- ALS (Spark's solver; results are checked by row counts and properties) ----
@@ -233,7 +243,7 @@ def grid_search_cv(spark: SparkSession, data_dir: Source, p: Params = Params(),
     def build() -> DataFrame:
         log = shared_path(spark, "cv-results")
         return rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
-                               p.folds, p.top_n, ITERATIONS, parallelism,
+                               p.folds, p.top_n, ITERATIONS, parallelism, p.als_blocks,
                                on_result=lambda row: append_rows(row, log))
     return store.stored(spark, "grid",
                         (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)), build)
@@ -261,7 +271,7 @@ def als_model(spark: SparkSession, data_dir: Source, rank: int | None = None,
         rank, reg, alpha = chosen_params(spark, data_dir, p)
     def make():
         train, _ = train_test(spark, data_dir, p)
-        return rec.train_als(train, rank, reg, alpha, ITERATIONS)
+        return rec.train_als(train, rank, reg, alpha, ITERATIONS, blocks=p.als_blocks)
     return store.once(_MODELS, ("als", spark.sparkContext.applicationId, data_dir, rank, reg,
                                 alpha, p), make)
 
@@ -296,8 +306,8 @@ def new_user_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(),
     if rank is None or reg is None or alpha is None:
         rank, reg, alpha = chosen_params(spark, data_dir, p)
     augmented = train_plus_new_user(spark, data_dir, p)
-    model = rec.train_als(augmented, rank, reg, alpha, ITERATIONS)
-    me = spark.range(1).select(F.lit(NEW_USER_ID).cast("bigint").alias("user"))
+    model = rec.train_als(augmented, rank, reg, alpha, ITERATIONS, blocks=p.als_blocks)
+    me = spark.range(1).select(F.lit(p.new_user_id).cast("bigint").alias("user"))
     top = rec.recommend_top_n(model, me, NEW_USER_TOP)
     names = entity_names(spark, data_dir)
     default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))

@@ -6,7 +6,7 @@ Every parser is a ``split`` plus casts and filters on the ``value`` column of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -62,11 +62,19 @@ def _with_line_order(lines: DataFrame) -> DataFrame:
     )
 
 
+def _strict_int(field: Column) -> Column:
+    """``field`` as bigint; a missing or non-integer one fails the job, whether
+    or not the session has ANSI mode on."""
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(field, F.lit("(no field)"))))
+    number = field.try_cast("bigint")
+    return F.when(number.isNull(), bad.cast("bigint")).otherwise(number)
+
+
 def parse_alias(lines: DataFrame) -> DataFrame:
     """``bad<TAB>good`` lines -> ``(bad_id, good_id)``.
 
     Lines whose first field is blank are skipped (P6); other bad integers
-    fail the job (ANSI cast), as ``int()`` does.  A repeated ``bad_id`` keeps
+    fail the job, as ``int()`` does.  A repeated ``bad_id`` keeps
     the value of its last line (``max_by`` over the line order, combined
     map-side, so a hot key is never gathered in one task).
     """
@@ -75,8 +83,8 @@ def parse_alias(lines: DataFrame) -> DataFrame:
         _with_line_order(lines)
         .where(strip_ws(parts.getItem(0)) != "")
         .select(
-            strip_ws(parts.getItem(0)).cast("bigint").alias("bad_id"),
-            strip_ws(parts.getItem(1)).cast("bigint").alias("good_id"),
+            _strict_int(strip_ws(F.get(parts, 0))).alias("bad_id"),
+            _strict_int(strip_ws(F.get(parts, 1))).alias("good_id"),
             "_order",
         )
     )
@@ -121,9 +129,9 @@ def parse_ratings(lines: DataFrame, *keep: str) -> DataFrame:
     """
     parts = F.split(F.col("value"), " ")
     return lines.select(
-        parts.getItem(0).cast("bigint").alias("user"),
-        parts.getItem(1).cast("bigint").alias("item"),
-        parts.getItem(2).cast("bigint").alias("count"),
+        _strict_int(F.get(parts, 0)).alias("user"),
+        _strict_int(F.get(parts, 1)).alias("item"),
+        _strict_int(F.get(parts, 2)).alias("count"),
         *keep,
     )
 

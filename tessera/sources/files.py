@@ -44,33 +44,43 @@ class PlayFiles:
 def documents(spark: SparkSession, src: PlotFiles) -> DataFrame:
     """``(doc_id, title, genre, text)`` from the plot CSV, rows with a null dropped.
 
-    The file has no key, so each row gets ``monotonically_increasing_id``;
-    the caller stores the result once so the ids stay fixed.
+    The file has no key: a row's id is a 63-bit hash of its content and of its
+    number among equal rows, the same wherever and however the file is read.
     """
     raw = delimited.read_csv_multiline(spark, src.csv_path)
     kept = raw.select(F.col("Title").alias("title"), F.col("Genre").alias("genre"),
                       F.col("Plot").alias("text")).na.drop()
-    return kept.select(F.monotonically_increasing_id().alias("doc_id"), "title", "genre", "text")
+    identity = F.xxhash64("title", "genre", "text", "_occurrence")
+    return _numbered(kept, "title", "genre", "text").select(
+        identity.bitwiseAND(F.lit((1 << 63) - 1)).alias("doc_id"), "title", "genre", "text")
 
 
 def stopwords(spark: SparkSession, src: PlotFiles) -> DataFrame:
     return delimited.read_stopwords(spark, src.stopwords_path)
 
 
-def _line_identity(lines: DataFrame) -> DataFrame:
-    """``_line``: a string naming the line (file, split start, position)."""
-    return lines.withColumn("_line", F.concat_ws(
-        "|", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"),
-        F.monotonically_increasing_id().cast("string")))
+def _numbered(rows: DataFrame, *cols: str) -> DataFrame:
+    """``rows[cols]`` with ``_occurrence``: 1..n among n equal rows.
+
+    Equal rows are counted (map-side combined) and written out again by two
+    generators, so neither a task nor an array holds all copies of a row.
+    """
+    step = 1 << 16
+    counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = counted.select(*cols, "_n", F.explode(
+        F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / step))).alias("_block"))
+    return blocks.select(*cols, F.explode(F.sequence(
+        F.col("_block") * step + 1, F.least(F.col("_n"), (F.col("_block") + 1) * step))).alias("_occurrence"))
 
 
 def plays(spark: SparkSession, src: PlayFiles) -> DataFrame:
     """``(user, item, count, row_id)``: the play-count lines kept by the hash
-    sample (each line decided by its own identity, so repeated lines are
-    sampled independently), parsed strictly."""
-    lines = _line_identity(delimited.read_lines(spark, src.plays_path))
+    sample (a line's identity is its content and its number among equal lines:
+    file splits and folders don't matter, repeated lines are sampled independently), parsed strictly."""
+    lines = _numbered(delimited.read_lines(spark, src.plays_path), "value")
+    lines = lines.withColumn("_line", F.concat_ws("|", "value", F.col("_occurrence").cast("string")))
     if src.sample_fraction < 1.0:
-        lines = lines.where(hash_sample_predicate(src.sample_fraction, "_line", "value"))
+        lines = lines.where(hash_sample_predicate(src.sample_fraction, "_line"))
     parsed = delimited.parse_ratings(lines, "_line")
     return parsed.select("user", "item", "count", row_key(F.col("_line")).alias("row_id"))
 

@@ -78,18 +78,37 @@ def test_concept_top_terms_default_name(spark):
     assert got == [(0, 1, "b"), (0, 2, "a"), (1, 1, "2"), (1, 2, "b")]
 
 
-def test_keyword_search_batches_match_single_plan(spark, monkeypatch):
+def test_keyword_search_takes_any_number_of_queries_in_one_plan(spark):
     rng = np.random.default_rng(4)
     A = rng.random((20, 6))
     tfidf = _coo(spark, A)
     dec = C.truncated_svd(spark, tfidf, 6, k=3)
     docs = spark.range(20).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("title"),
                                   F.lit("g").alias("genre"))
-    queries = spark.createDataFrame([(q, f"t{q % 6}") for q in range(7)], "query_id int, term string")
-    qv = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(7)], "query_id int, term_id int, w double")
+    queries = spark.createDataFrame([(q, f"t{q % 6}") for q in range(400)], "query_id int, term string")
+    qv = spark.createDataFrame([(q, q % 6, 1.0 + q) for q in range(400)], "query_id int, term_id int, w double")
     us = C.doc_vectors(tfidf, dec, docs)
     qc = C.query_concepts(qv, dec, queries)
-    single = sorted(tuple(r) for r in C.keyword_search(us, qc, docs, top=5).collect())
-    monkeypatch.setattr(C, "QUERY_BATCH", 3)
-    batched = sorted(tuple(r) for r in C.keyword_search(us, qc, docs, top=5).collect())
-    assert batched == single and len(single) == 35
+    hits = {(r.query_id, r["rank"]): (r.doc_id, r.score) for r in C.keyword_search(us, qc, docs, top=5).collect()}
+    assert len(hits) == 2000
+    for q in range(400):
+        scores = (A @ dec.V) @ (dec.V[q % 6] * (1.0 + q))
+        assert np.allclose([hits[q, r + 1][1] for r in range(5)], np.sort(scores)[::-1][:5])
+        assert [hits[q, r + 1][0] for r in range(5)] == np.argsort(-scores, kind="stable")[:5].tolist()
+
+
+def test_equal_documents_get_equal_vectors_and_rank_by_id(spark):
+    rng = np.random.default_rng(5)
+    A = np.tile(rng.random((10, 40)) * (rng.random((10, 40)) < 0.5), (30, 1))
+    tfidf = _coo(spark, A).repartition(7)
+    dec = C.truncated_svd(spark, tfidf, 40, k=6)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("title"),
+                                   F.lit("g").alias("genre"))
+    us = C.doc_vectors(tfidf, dec, docs)
+    vectors = {r.doc_id: tuple(r.us) for r in us.collect()}
+    assert len(vectors) == 300 and all(vectors[d] == vectors[d % 10] for d in vectors)
+    qv = spark.createDataFrame([(0, t, 1.0) for t in range(40)], "query_id int, term_id int, w double")
+    hits = sorted((r["rank"], r.doc_id) for r in
+                  C.keyword_search(us, C.query_concepts(qv, dec, qv), docs, top=30).collect())
+    ids = [d for _, d in hits]
+    assert ids == sorted(ids) and len({d % 10 for d in ids}) == 1

@@ -1,5 +1,6 @@
 """S1-S10 readers on hand-made files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import delimited
@@ -95,3 +96,19 @@ def test_sizing_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = sizing_conf(100 * 2**40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_integers_fail_whatever_the_ansi_setting(spark, ansi):
+    lines = spark.createDataFrame([("x 2 3",), ("4 5",)], "value string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = delimited.parse_ratings(spark.createDataFrame([("1 2 3 4",)], "value string")).first()
+        assert tuple(good) == (1, 2, 3)
+        for value in ("x 2 3", "4 5", ""):
+            with pytest.raises(Exception, match="not an integer"):
+                delimited.parse_ratings(lines.limit(0).union(
+                    spark.createDataFrame([(value,)], "value string"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
