@@ -59,6 +59,41 @@ def test_sampled_plays(spark, play_files, tmp_path):
     assert 60 < n < 160
 
 
+def test_sample_does_not_depend_on_splits_or_folders(spark, play_files, tmp_path):
+    from dataclasses import replace
+    from shutil import copy
+
+    from tessera.sources import files
+
+    copy(play_files.plays_path, tmp_path / "moved.txt")
+    kept = []
+    for path, split in ((play_files.plays_path, "128m"), (play_files.plays_path, "1k"), (str(tmp_path / "moved.txt"), "2k")):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            rows = files.plays(spark, replace(play_files, plays_path=path, sample_fraction=0.5)).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        kept.append(sorted(tuple(r) for r in rows))
+    assert kept[0] == kept[1] == kept[2] and 100 < len(kept[0]) < 260
+
+
+def test_occurrences_of_equal_rows(spark):
+    from tessera.sources import files
+
+    n = (1 << 16) * 2 + 3
+    rows = spark.range(n).select(F.lit("a").alias("value")).union(spark.createDataFrame([("b",), (None,)], "value string"))
+    got = {r.value: (r.n, r.least, r.most, r.kinds) for r in files._numbered(rows, "value").groupBy("value").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_occurrence").alias("least"), F.max("_occurrence").alias("most"),
+        F.count_distinct("_occurrence").alias("kinds")).collect()}
+    assert got == {"a": (n, 1, n, n), "b": (1, 1, 1, 1), None: (1, 1, 1, 1)}
+
+
+def test_new_user_id_must_be_free(spark, play_files):
+    with pytest.raises(Exception, match="already in the ratings"):
+        R.train_plus_new_user(spark, play_files, R.Params(new_user_id=3)).collect()
+
+
 def test_recommendations_from_files(spark, play_files):
     auc = R.popularity_auc(spark, play_files).first().auc
     assert 0.0 <= auc <= 1.0
