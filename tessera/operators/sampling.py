@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_sample_predicate
@@ -29,20 +29,30 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
 def per_user_split(ratings: DataFrame, train_fraction: float = 0.8, *,
                    user_col: str = "user", key_col: str = "row_key",
                    tie_cols: tuple[str, ...] = ("item", "rating"),
-                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                   folds: int | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Tag each row ``split = 'train' | 'test'``.
 
     Inside a user, rows are ordered by ``key_col`` (a hash of the whole row)
     then ``tie_cols``; the first ``greatest(1, floor(train_fraction * n))``
     are training rows.  Repeated ``(user, item)`` rows are kept as rows.
+
+    With ``folds``, training rows also carry ``fold`` (null for test rows): they
+    are the first rows of their user, so the row number that splits them is the
+    one :func:`kfold_assign` would give, and one pass serves both.
     """
     ranked = rank_within_groups(
         ratings, [user_col], [key_col, *tie_cols], hash_col=key_col,
         rank_col="_rn", size_col="_cnt", hot_rows=hot_rows)
     n_train = F.greatest(F.lit(1), F.floor(F.col("_cnt") * F.lit(train_fraction)))
-    return ranked.withColumn(
-        "split", F.when(F.col("_rn") <= n_train, F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_rn", "_cnt")
+    tagged = ranked.withColumn(
+        "split", F.when(F.col("_rn") <= n_train, F.lit("train")).otherwise(F.lit("test")))
+    if folds is not None:
+        tagged = tagged.withColumn("fold", F.when(F.col("split") == "train", _fold(user_col, folds)))
+    return tagged.drop("_rn", "_cnt")
+
+
+def _fold(user_col: str, k: int) -> Column:
+    return F.pmod(F.col("_rn") + F.col(user_col), F.lit(k)).cast("int")
 
 
 def kfold_assign(rows: DataFrame, k: int = 5, *, user_col: str = "user",
@@ -56,9 +66,7 @@ def kfold_assign(rows: DataFrame, k: int = 5, *, user_col: str = "user",
     ranked = rank_within_groups(
         rows, [user_col], [key_col, *tie_cols], hash_col=key_col,
         rank_col="_rn", size_col="_cnt", hot_rows=hot_rows)
-    return ranked.withColumn(
-        "fold", F.pmod(F.col("_rn") + F.col(user_col), F.lit(k)).cast("int")
-    ).drop("_rn", "_cnt")
+    return ranked.withColumn("fold", _fold(user_col, k)).drop("_rn", "_cnt")
 
 
 def kfold_partitions(assigned: DataFrame, k: int = 5) -> DataFrame:

@@ -83,6 +83,12 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame,
     Work is per distinct term, never per occurrence.
     """
     t = terms.select("term").distinct()
+    return t.join(_shortest_accepted(_accepted(t, lexicon, exceptions)), "term", "left").select(
+        "term", F.coalesce(F.col("lemma"), F.col("term")).alias("lemma"))
+
+
+def _accepted(t: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None) -> DataFrame:
+    """``(term, cand, rule)``: the accepted candidates of distinct terms ``t``."""
     lex = lexicon.select(F.col("term").alias("cand")).distinct()
     if exceptions is not None:
         exc = exceptions.select(F.col("word").alias("term"), F.col("lemma").alias("cand"))
@@ -96,16 +102,14 @@ def lemma_table(terms: DataFrame, lexicon: DataFrame,
             .join(lex, "cand", "left_semi")
         listed = exc.join(t_exc, "term", "left_semi").select("term", "cand", F.lit(1).alias("rule"))
         accepted = accepted.unionByName(self_ok).unionByName(listed)
-    return t.join(_shortest_accepted(accepted), "term", "left").select(
-        "term", F.coalesce(F.col("lemma"), F.col("term")).alias("lemma"))
+    return accepted
 
 
-def lemma_changes(terms: DataFrame, lexicon: DataFrame) -> DataFrame:
+def lemma_changes(terms: DataFrame, lexicon: DataFrame,
+                  exceptions: DataFrame | None = None) -> DataFrame:
     """``(term, lemma)`` of the terms whose lemma differs from the term (the
     only rows :func:`with_lemma` needs), without the join back to all terms."""
-    t = terms.select("term").distinct()
-    lex = lexicon.select(F.col("term").alias("cand")).distinct()
-    accepted = t.select("term", F.inline(lemma_candidates("term"))).join(lex, "cand", "left_semi")
+    accepted = _accepted(terms.select("term").distinct(), lexicon, exceptions)
     return _shortest_accepted(accepted).where(F.col("lemma") != F.col("term"))
 
 

@@ -120,17 +120,25 @@ def _terms_and_lexicon(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return term_df.select("term"), term_df.where(F.col("df") >= T.MIN_LEXICON_DF).select("term")
 
 
-def _lemmas_from(raw: DataFrame) -> DataFrame:
-    return T.lemma_table(*_terms_and_lexicon(raw))
+def _lemma_inputs(spark: SparkSession, d: Source, raw: DataFrame
+                  ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Distinct terms, the lexicon (the files' own, else the corpus's) and the
+    irregular nouns, if any."""
+    terms, lexicon = _terms_and_lexicon(raw)
+    if not isinstance(d, files.PlotFiles):
+        return terms, lexicon, None
+    given = files.lexicon(spark, d)
+    return terms, lexicon if given is None else given, files.exceptions(spark, d)
 
 
 def lemmas(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
-    """``(term, lemma)`` with the corpus lexicon (tokens in >= 2 documents).
+    """``(term, lemma)`` with the given lexicon and irregular nouns, or the
+    corpus lexicon (tokens in >= 2 documents).
 
     Distinct terms and the lexicon come from one aggregation of the raw
     counts, so the text is tokenized once.
     """
-    return _lemmas_from(raw_counts(spark, d, p))
+    return T.lemma_table(*_lemma_inputs(spark, d, raw_counts(spark, d, p)))
 
 
 def lemma_tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
@@ -151,7 +159,7 @@ def term_table(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
         # Small (the terms whose lemma differs); stored so that its size check
         # and the mapping read it instead of rebuilding the candidates twice.
         changes = store.stored(spark, "lemma_changes", (d, p.sample_fraction),
-                               lambda: T.lemma_changes(*_terms_and_lexicon(raw)))
+                               lambda: T.lemma_changes(*_lemma_inputs(spark, d, raw)))
         return T.term_frequencies_from_counts(raw, changes, stopwords(spark, d, p),
                                               with_lengths=True)
     return store.stored(spark, "term_freq", (d, p.stop_top, p.sample_fraction), build)
@@ -309,7 +317,7 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
         RP.scalar_entry(stopwords(spark, d, p), "dataframe", "stopwords", F.count(F.lit(1))),
         RP.scalar_entry(vocab, "idf", "vocabulary_size", F.count(F.lit(1))),
         RP.scalar_entry(vocab.where(F.col("term_id") < 5), "idf", "first_terms",
-                        RP.joined_list(vocab, "term_id", F.col("term"))),
+                        RP.joined_list("term_id", F.col("term"))),
         spark.range(1).select(*RP.entry("svd", "singular_values", F.lit(svals))),
         spark.range(1).select(*RP.entry(
             "svd", "matrix_shape",
@@ -320,6 +328,9 @@ def run_report(spark: SparkSession, d: Source, p: Params = Params()) -> DataFram
             "svd", "v_shape", F.format_string("%d rows x %d cols", n_terms, F.lit(len(dec.s))))),
         lines.select(F.format_string("concept %d", F.col("concept") + 1).alias("section"),
                      F.expr("stack(3, 'terms', terms, 'docs', docs, 'genres', genres) AS (key, value)")),
+        query_words(spark, d, p).groupBy("query_id").agg(
+            RP.joined_list("term", F.col("term")).alias("value")).select(
+            F.format_string("query %d", "query_id").alias("section"), F.lit("words").alias("key"), "value"),
         hits.select(F.format_string("query %d", "query_id").alias("section"),
                     F.format_string("result %02d", "rank").alias("key"),
                     F.format_string("score=%.6f  title='%s'  genre='%s'", "score", "title", "genre")

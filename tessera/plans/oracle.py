@@ -114,7 +114,7 @@ ratings AS (
   FROM plays pl LEFT JOIN alias a ON pl.item = a.bad_id),
 qual AS (
   SELECT "user", COUNT(DISTINCT item) AS n_items FROM ratings GROUP BY "user"
-  HAVING COUNT(DISTINCT item) >= {p.min_items}),
+  HAVING COUNT(DISTINCT item) >= {p.min_items or R.MIN_ITEMS}),
 qratings AS (SELECT * FROM ratings WHERE "user" IN (SELECT "user" FROM qual)),
 splitr AS (
   SELECT "user", item, rating, row_key,
@@ -243,6 +243,28 @@ def oracle_sql() -> dict[str, str]:
             SELECT f."user", f.item, f.rating, f.row_key, f.fold, CAST(k.fold_id AS INTEGER) AS fold_id,
                    CASE WHEN f.fold = k.fold_id THEN 'val' ELSE 'train' END AS role
             FROM folds f CROSS JOIN (SELECT unnest(range(5)) AS fold_id) k"""),
+        "popularity_cv_summary": with_ctes(rc, f"""
+            SELECT top_n, ROUND(AVG(auc), 6) AS mean_auc, COUNT(*) AS folds FROM (
+              SELECT top_n, fold, CASE WHEN SUM(pos) > 0 AND SUM(neg) > 0
+                     THEN SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)) END AS auc
+              FROM (
+                SELECT n.top_n, h.fold, h.pos, h.neg,
+                       COALESCE(SUM(h.neg) OVER (PARTITION BY n.top_n, h.fold ORDER BY h.rank DESC
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+                FROM (
+                  SELECT u.fold, t.rank, CAST(SUM(CASE WHEN g.item IS NULL THEN 0 ELSE 1 END) AS DOUBLE) AS pos,
+                         CAST(SUM(CASE WHEN g.item IS NULL THEN 1 ELSE 0 END) AS DOUBLE) AS neg
+                  FROM (SELECT DISTINCT "user", fold FROM folds) u
+                  JOIN (SELECT k.fold, f.item,
+                               ROW_NUMBER() OVER (PARTITION BY k.fold ORDER BY SUM(f.rating) DESC, f.item) AS rank
+                        FROM folds f JOIN (SELECT unnest(range({R.FOLDS})) AS fold) k ON f.fold <> k.fold
+                        GROUP BY k.fold, f.item) t ON t.fold = u.fold
+                  LEFT JOIN (SELECT DISTINCT "user", fold, item FROM folds) g
+                    ON g."user" = u."user" AND g.fold = u.fold AND g.item = t.item
+                  WHERE t.rank <= {max(R.CV_LENGTHS)} GROUP BY u.fold, t.rank) h
+                JOIN (SELECT unnest([{", ".join(map(str, R.CV_LENGTHS))}]) AS top_n) n ON h.rank <= n.top_n)
+              GROUP BY top_n, fold)
+            GROUP BY top_n ORDER BY AVG(auc) DESC, top_n LIMIT {R.CV_BEST}"""),
         "ground_truth_sets": with_ctes(rc, 'SELECT DISTINCT "user", item FROM test'),
         "item_popularity": with_ctes(rc, "SELECT item, total FROM pop"),
         "popularity_top_n": with_ctes(rc, "SELECT rank, item, total, score FROM top"),

@@ -9,23 +9,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import row_key
 from ..operators import recommend as rec
 from ..operators.metrics import confusion, exact_auc, mean_over_folds
+from ..operators.ranking import top_n_per_group
 from ..operators.relational import (distinct_pairs, distinct_per_key, lookup_with_default,
                                     resolve_aliases, semi_join, union_rows)
-from ..operators.sampling import kfold_assign, kfold_partitions, per_user_split
+from ..operators.sampling import kfold_partitions, per_user_split
 from ..operators.report import append_rows
 from ..session import shared_path
 from ..sources import files, literals, tables
 from . import store
 
-# The reference keeps users with at least 100 distinct items; after alias
-# resolution that leaves no user below sf0.1 on the stand-in data, so the
-# registered queries use 20 (the threshold stays a parameter).
+# Users kept have at least so many distinct items.  ``PlayFiles`` carries the
+# reference's 100; after alias resolution that leaves no user below sf0.1 on
+# the stand-in data, so data folders use 20.
 MIN_ITEMS = 20
 TRAIN_FRACTION = 0.8
 TOP_N = 50
@@ -38,6 +39,9 @@ NEW_USER_ID = 9999999
 NEW_USER_COUNT = 1000
 NEW_USER_ITEMS = tuple(range(8))
 NEW_USER_TOP = 25
+# List lengths compared by the popularity cross-validation, and how many are reported.
+CV_LENGTHS = (5, 10, 20, 25, 40, 50)
+CV_BEST = 5
 
 
 # A parquet data folder (stand-ins) or the reference's own files.
@@ -50,7 +54,8 @@ MAX_TOP_N = 10_000
 
 @dataclass(frozen=True)
 class Params:
-    min_items: int = MIN_ITEMS
+    # ``None``: the source's own threshold (see ``min_items``).
+    min_items: int | None = None
     train_fraction: float = TRAIN_FRACTION
     top_n: int = TOP_N
     folds: int = FOLDS
@@ -66,10 +71,17 @@ class Params:
             raise ValueError(f"als_blocks must be at least 1, got {self.als_blocks}")
         if not 0.0 < self.train_fraction < 1.0:
             raise ValueError(f"train_fraction must be in (0, 1), got {self.train_fraction}")
-        if self.folds < 2 or self.min_items < 1:
+        if self.folds < 2 or (self.min_items is not None and self.min_items < 1):
             raise ValueError("folds must be at least 2 and min_items at least 1")
 
 
+def min_items(data_dir: Source, p: Params = Params()) -> int:
+    """P7's threshold: the parameter, else that of the files, else ``MIN_ITEMS``."""
+    if p.min_items is not None:
+        return p.min_items
+    return data_dir.min_items if isinstance(data_dir, files.PlayFiles) else MIN_ITEMS
+
+
 def ratings_canonical(spark: SparkSession, data_dir: Source) -> DataFrame:
     """``(user, item, rating, row_key)``: play counts with aliased items
     replaced, written once per application (every later step reads it)."""
@@ -118,21 +130,29 @@ def qualified_ratings(ratings: DataFrame, min_items: int = MIN_ITEMS) -> DataFra
     return semi_join(ratings, qualified_users(ratings, min_items).select("user"), "user")
 
 
-def split_ratings(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
-    """Qualified ratings tagged ``split``, written once per application
-    (train and test sides of every later step read the same table).
+def split_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """W1 + W2: qualified ratings tagged ``split``, training rows with their
+    ``fold``, written once per application (train and test sides and the folds
+    of every later step read the same table; users are ordered once).
 
-    The qualified-user set (one row per user) is stored first, so the size
-    checks and the split pass read it instead of re-aggregating all ratings.
+    The qualified-user set (one row per user) is stored first, so the split
+    pass reads it instead of re-aggregating all ratings.
     """
+    least = min_items(data_dir, p)
+
     def build() -> DataFrame:
         ratings = ratings_canonical(spark, data_dir)
-        users = store.stored(spark, "qualified_users", (data_dir, p.min_items),
-                             lambda: qualified_users(ratings, p.min_items).select("user"))
-        return per_user_split(semi_join(ratings, users, "user"), p.train_fraction)
+        users = store.stored(spark, "qualified_users", (data_dir, least),
+                             lambda: qualified_users(ratings, least).select("user"))
+        return per_user_split(semi_join(ratings, users, "user"), p.train_fraction, folds=p.folds)
     return store.stored(spark, "split", (data_dir, p), build)
 
 
+def split_ratings(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """Qualified ratings tagged ``split``."""
+    return split_table(spark, data_dir, p).drop("fold")
+
+
 def train_test(spark: SparkSession, data_dir: Source, p: Params = Params()
                ) -> tuple[DataFrame, DataFrame]:
     s = split_ratings(spark, data_dir, p)
@@ -166,13 +186,10 @@ def popularity_confusion(spark: SparkSession, data_dir: Source, p: Params = Para
 
 
 def kfold_assignment(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
-    """W2 over the training rows: ``(user, item, rating, row_key, fold)``,
-    stored once per application (the fold table, its train/validation
-    expansion and every fit of the grid read it)."""
-    def build() -> DataFrame:
-        train, _ = train_test(spark, data_dir, p)
-        return kfold_assign(train, p.folds)
-    return store.stored(spark, "folds", (data_dir, p), build)
+    """The training rows ``(user, item, rating, row_key, fold)``, a scan
+    of the stored split (its train/validation expansion and every fit of the
+    grid read it)."""
+    return split_table(spark, data_dir, p).where(F.col("split") == "train").drop("split")
 
 
 def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
@@ -180,6 +197,43 @@ def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) ->
     return kfold_partitions(kfold_assignment(spark, data_dir, p), p.folds)
 
 
+def popularity_cv_summary(spark: SparkSession, data_dir: Source, p: Params = Params(),
+                          lengths: tuple[int, ...] = CV_LENGTHS, best: int = CV_BEST) -> DataFrame:
+    """W3 + J2 + A12 + T3: cross-validated popularity lists.
+
+    For every fold, the items most played in the other folds are listed for
+    the fold's users and labelled by their rows of the fold; the AUC of the
+    first ``n`` of a list is taken for each ``n`` in ``lengths``.  Returns
+    ``(top_n, mean_auc, folds)``, the ``best`` lengths by mean AUC.
+
+    Items are summed once for all folds; labels are combined map-side to one
+    row per fold and rank, from which all lengths are read.
+    """
+    assigned = kfold_assignment(spark, data_dir, p)
+    others = F.array(*[F.sum(F.when(F.col("fold") != i, F.col("rating"))) for i in range(p.folds)])
+    totals = assigned.groupBy("item").agg(others.alias("_totals")).select(
+        "item", F.posexplode("_totals").alias("fold", "total")).where(F.col("total").isNotNull())
+    ranked = top_n_per_group(totals, ["fold"], [F.desc("total"), F.col("item")], max(lengths))
+    # one row per fold, each with at most max(lengths) items
+    lists = ranked.groupBy("fold").agg(F.collect_list(F.struct("item", "rank")).alias("_list"))
+    scored = assigned.select("user", "fold").distinct().join(F.broadcast(lists), "fold").select(
+        "user", "fold", F.inline("_list"))
+    truth = assigned.select("user", "fold", "item").distinct().withColumn("_hit", F.lit(1.0))
+    hit = F.coalesce(F.col("_hit"), F.lit(0.0))
+    counts = scored.join(truth, ["user", "fold", "item"], "left").groupBy("fold", "rank").agg(
+        F.sum(hit).alias("_pos"), F.sum(1.0 - hit).alias("_neg"))
+    # a list's score falls with the rank: worse entries are those that follow
+    after = Window.partitionBy("top_n", "fold").orderBy(F.desc("rank")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    cut = counts.withColumn("top_n", F.explode(F.array(*[F.lit(n) for n in lengths]))).where(
+        F.col("rank") <= F.col("top_n")).withColumn(
+        "_below", F.coalesce(F.sum("_neg").over(after), F.lit(0.0)))
+    area = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0))
+    classes = F.sum("_pos") * F.sum("_neg")
+    evals = cut.groupBy("top_n", "fold").agg(F.when(classes > 0, area / classes).alias("auc"))
+    return mean_over_folds(evals, ["top_n"]).limit(best)
+
+
 def ground_truth_pairs(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """A7 in relational form: the distinct ``(user, item)`` pairs of the test rows."""
     _, test = train_test(spark, data_dir, p)
@@ -231,20 +285,29 @@ def best_params(evals: DataFrame) -> tuple[int, float, float]:
     return int(best["rank"]), float(best["reg"]), float(best["alpha"])
 
 
+def evaluation_log(spark: SparkSession) -> str:
+    """K9: where this application's grid evaluations accumulate."""
+    return shared_path(spark, "cv-results", unique=False)
+
+
 def grid_search_cv(spark: SparkSession, data_dir: Source, p: Params = Params(),
-                   ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 8) -> DataFrame:
+                   ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 8,
+                   log_path: str | None = None) -> DataFrame:
     """R4 + K9: ``(rank, reg, alpha, fold, auc)`` for the whole grid, run once
-    per application and parameters.  Each evaluation is appended to a log
-    table under the shared folder as it finishes; the rows are stored.
+    per application and parameters.  Each evaluation is appended with its
+    source and time to the log table at ``log_path`` (default:
+    :func:`evaluation_log`) as it finishes; the rows are stored.
 
     ``parallelism`` fits run as concurrent jobs: small fits leave cores idle
     between their many short stages (sf0.01: 56 s with 4, 35 s with 8); when
     one fit fills the cluster, concurrency gains nothing and 1-2 is enough."""
     def build() -> DataFrame:
-        log = shared_path(spark, "cv-results")
+        log = log_path or evaluation_log(spark)
         return rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
                                p.folds, p.top_n, ITERATIONS, parallelism, p.als_blocks,
-                               on_result=lambda row: append_rows(row, log))
+                               on_result=lambda row: append_rows(
+                                   row.withColumn("source", F.lit(str(data_dir)))
+                                   .withColumn("logged_at", F.current_timestamp()), log))
     return store.stored(spark, "grid",
                         (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)), build)
 

@@ -14,31 +14,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_sample_predicate, row_key
+from ..functions.text import strip_ws
 from . import delimited
 
 # The new user's items used by the reference on its own play-count data.
 REFERENCE_NEW_USER_ITEMS = (829, 930, 1811, 1001819, 1007435, 1004028, 250, 1004496)
+# Fixed value: the distinct items a user must have there.
+REFERENCE_MIN_ITEMS = 100
 
 
 @dataclass(frozen=True)
 class PlotFiles:
     """Document inputs: a CSV with a header and ``Title, Genre, Plot`` columns
-    (quoted line breaks, ``""`` quotes; other columns ignored) and a
-    stop-word file (one word per line)."""
+    (quoted line breaks, ``""`` quotes; other columns ignored), a
+    stop-word file (one word per line) and, if there are any, a noun lexicon
+    (one word per line; without it the corpus's own terms are the lexicon)
+    and irregular nouns (``word<TAB>lemma`` lines)."""
     csv_path: str
     stopwords_path: str
+    lexicon_path: str | None = None
+    exceptions_path: str | None = None
 
 
 @dataclass(frozen=True)
 class PlayFiles:
     """Recommender inputs: ``user item count`` lines, ``bad<TAB>good`` alias
-    lines, ``id<TAB>name`` lines; the share of play-count lines kept, and the
-    new user's items."""
+    lines, ``id<TAB>name`` lines; the share of play-count lines kept, the
+    new user's items, and the distinct items that a user must have to stay."""
     plays_path: str
     alias_path: str
     names_path: str
     sample_fraction: float = 0.3
     new_user_items: tuple[int, ...] = REFERENCE_NEW_USER_ITEMS
+    min_items: int = REFERENCE_MIN_ITEMS
 
 
 def documents(spark: SparkSession, src: PlotFiles) -> DataFrame:
@@ -59,6 +67,24 @@ def stopwords(spark: SparkSession, src: PlotFiles) -> DataFrame:
     return delimited.read_stopwords(spark, src.stopwords_path)
 
 
+def lexicon(spark: SparkSession, src: PlotFiles) -> DataFrame | None:
+    """``(term)``: the noun lexicon, if one is given."""
+    if src.lexicon_path is None:
+        return None
+    return delimited.read_stopwords(spark, src.lexicon_path).select(F.col("word").alias("term"))
+
+
+def exceptions(spark: SparkSession, src: PlotFiles) -> DataFrame | None:
+    """``(word, lemma)``: the irregular nouns, if any are given; lines without
+    both fields are left out."""
+    if src.exceptions_path is None:
+        return None
+    parts = F.split("value", "\t")
+    return delimited.read_lines(spark, src.exceptions_path).select(
+        strip_ws(F.get(parts, 0)).alias("word"), strip_ws(F.get(parts, 1)).alias("lemma")
+    ).where("word <> '' AND lemma <> ''")
+
+
 def _numbered(rows: DataFrame, *cols: str) -> DataFrame:
     """``rows[cols]`` with ``_occurrence``: 1..n among n equal rows.
 

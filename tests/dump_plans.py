@@ -49,10 +49,10 @@ def main() -> None:
     from tessera.operators.relational import semi_join
     from tessera.plans import store
     ratings = R.ratings_canonical(spark, d)
-    users = store.stored(spark, "qualified_users", (d, R.Params().min_items),
+    users = store.stored(spark, "qualified_users", (d, R.MIN_ITEMS),
                          lambda: R.qualified_users(ratings).select("user"))
     show("build: split (stored; qualified users read from their stored table)",
-         per_user_split(semi_join(ratings, users, "user")))
+         per_user_split(semi_join(ratings, users, "user"), folds=R.FOLDS))
     show("build: bag of words (stored)", T.token_counts(D.tokens(spark, d)))
     raw = D.raw_counts(spark, d)
     changes = T.lemma_changes(*D._terms_and_lexicon(raw))

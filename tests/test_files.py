@@ -22,7 +22,7 @@ def play_files(tmp_path_factory):
     (d / "alias.txt").write_text("\t5\n7\t3\n8\t3\n9\t100\n")
     (d / "names.txt").write_text("".join(f"{i}\tname {i}\n" for i in range(0, 60, 2)) + "x\tbad\n4\tnew four\n")
     return PlayFiles(str(d / "plays.txt"), str(d / "alias.txt"), str(d / "names.txt"),
-                     sample_fraction=1.0, new_user_items=(1, 7, 9))
+                     sample_fraction=1.0, new_user_items=(1, 7, 9), min_items=20)
 
 
 @pytest.fixture(scope="module")
@@ -151,3 +151,28 @@ def test_params_bound_the_broadcast_sides():
         D.Params(num_terms=50, k=60)
     with pytest.raises(ValueError):
         D.Params(sample_fraction=0.0)
+
+
+def test_play_files_keep_the_reference_threshold_unless_told_otherwise(play_files):
+    own = PlayFiles(play_files.plays_path, play_files.alias_path, play_files.names_path)
+    assert R.min_items(own) == 100
+    assert R.min_items(own, R.Params(min_items=30)) == 30
+    assert R.min_items(play_files) == 20
+    assert R.min_items("folder") == R.MIN_ITEMS
+
+
+def test_plot_files_lexicon_and_exceptions_reach_the_term_table(spark, tmp_path):
+    (tmp_path / "plots.csv").write_text(
+        "Title,Genre,Plot\nA,g,oxen pulled castles\nB,g,the mice saw castles\n")
+    (tmp_path / "stop.txt").write_text("the\n")
+    (tmp_path / "lexicon.txt").write_text("ox\nmouse\ncastle\n")
+    (tmp_path / "irregular.txt").write_text("mice\tmouse\nbroken line\noxen\toxes\n")
+    plain = PlotFiles(str(tmp_path / "plots.csv"), str(tmp_path / "stop.txt"))
+    given = PlotFiles(plain.csv_path, plain.stopwords_path, str(tmp_path / "lexicon.txt"),
+                      str(tmp_path / "irregular.txt"))
+    terms = {r.term for r in D.term_freq(spark, given).collect()}
+    assert terms == {"oxes", "pulled", "castle", "mouse", "saw"}
+    # the corpus's own lexicon knows neither "castle" nor irregular nouns
+    assert {r.term for r in D.term_freq(spark, plain).collect()} == {"oxen", "pulled", "castles", "mice", "saw"}
+    assert {(r.term, r.lemma) for r in D.lemmas(spark, given).where("term <> lemma").collect()} == {
+        ("mice", "mouse"), ("oxen", "oxes"), ("castles", "castle")}

@@ -1,5 +1,6 @@
 """W1-W3 split and folds; the skew-safe ranking equals the plain window."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -108,3 +109,16 @@ def test_hot_path_on_real_ratings_equals_plain_split(spark):
     cols = ["user", "item", "rating", "row_key", "split"]
     assert hot.select(*cols).exceptAll(plain.select(*cols)).count() == 0
     assert plain.select(*cols).exceptAll(hot.select(*cols)).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [7, 2_000_000])
+def test_folds_of_the_split_are_those_of_its_training_rows(spark, hot_rows):
+    from conftest import SF0001
+    from tessera.plans import recommendations as R
+
+    rows = R.ratings_canonical(spark, SF0001)
+    split = per_user_split(rows, 0.8, folds=5, hot_rows=hot_rows)
+    both = split.where("split = 'train'").drop("split")
+    alone = kfold_assign(both.drop("fold"), 5)
+    assert sorted(both.collect()) == sorted(alone.collect())
+    assert split.where("split = 'test' AND fold IS NOT NULL").count() == 0

@@ -61,3 +61,39 @@ def test_params_are_validated():
         R.Params(folds=1)
     with pytest.raises(ValueError):
         R.Params(train_fraction=1.5)
+
+
+def test_popularity_cv_against_plain_python(spark):
+    from collections import Counter
+
+    rows = R.kfold_assignment(spark, SF0001).collect()
+    want = {}
+    for n in (3, 20):
+        aucs = []
+        for fold in range(5):
+            total = Counter()
+            for r in rows:
+                if r.fold != fold:
+                    total[r["item"]] += r.rating
+            top = sorted(total, key=lambda i: (-total[i], i))[:n]
+            held = {(r.user, r["item"]) for r in rows if r.fold == fold}
+            users = {u for u, _ in held}
+            pos = [sum((u, i) in held for u in users) for i in top]
+            neg = [len(users) - x for x in pos]
+            area = sum(x * (sum(neg[k + 1:]) + neg[k] / 2) for k, x in enumerate(pos))
+            aucs.append(area / (sum(pos) * sum(neg)))
+        want[n] = sum(aucs) / 5
+    got = R.popularity_cv_summary(spark, SF0001, lengths=(3, 20)).collect()
+    assert [r.top_n for r in got] == sorted(want, key=lambda n: -want[n])
+    assert all(abs(r.mean_auc - want[r.top_n]) < 1e-12 and r.folds == 5 for r in got)
+    assert len(R.popularity_cv_summary(spark, SF0001, lengths=(3, 20), best=1).collect()) == 1
+
+
+def test_grid_evaluations_accumulate_in_a_named_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for alpha in (1.0, 2.0):
+        grid = R.grid_search_cv(spark, SF0001, R.Params(folds=2), (2,), (0.1,), (alpha,), log_path=log)
+        assert grid.count() == 2
+    logged = spark.read.parquet(log)
+    assert logged.count() == 4 and logged.where("logged_at IS NULL OR source IS NULL").count() == 0
+    assert R.evaluation_log(spark) == R.evaluation_log(spark)
