@@ -11,7 +11,8 @@ One pass over the texts, no shuffle; the model is a fixed number of weights.
 
 Defined results: null, empty and notice-free texts have no findings; repeated
 rows get equal ones; of equal probabilities the family first in ``FAMILIES``
-wins; an empty table gives an empty result.
+wins; copyright lines and proprietary notices are a family of their own
+(``RESERVED``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,10 +69,22 @@ FAMILIES: dict[str, list[str]] = {
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright under CC0 1.0.",
     ],
+    "all-rights-reserved": [
+        "All rights reserved.",
+        "Copyright 2020",
+        "Copyright (c) 2020",
+        "Copyright \u00a9 2020",
+        "\u00a9 2020",
+        "This software is proprietary and confidential; unauthorized copying, distribution or use is strictly prohibited without prior written permission",
+    ],
 }
+#: The family that grants nothing: a document's licence is another one if it has one.
+RESERVED = "all-rights-reserved"
 _BITS = 16
 _LINE = np.zeros(256, bool)
 _LINE[[10, 13]] = True
+#: All years from 1900 to 2099 are one word.
+_YEAR = np.uint64(0x59454152)
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray):
@@ -80,6 +93,10 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
     wb, we, _ = tb.words(data, np.append(begin, len(data)) if len(begin) else offsets, tb.NOT_WORD)
     line = np.searchsorted(begin, wb, "right") - 1
     word = tb.span_hash(tb.prefix_hash(tb.LOWER[data]), wb, we)
+    four = np.flatnonzero(we - wb == 4)
+    digits = data[wb[four][:, None] + np.arange(4)].astype(np.int64) - 48
+    century = digits[:, 0] * 10 + digits[:, 1]
+    word[four[((digits >= 0) & (digits <= 9)).all(1) & ((century == 19) | (century == 20))]] = _YEAR
     out, h = [(line, word, np.ones(len(word), np.int64))], word
     for n in (2, 3):
         if len(word) < n:
@@ -99,7 +116,8 @@ def _of(text: str):
 @dataclass(frozen=True)
 class Model:
     """Weights by hashed n-gram and class (the last is unknown), the
-    temperature, and the 3-gram hashes of the notices by family."""
+    temperature, and the 3-gram hashes of the notices by family (2-grams of a
+    notice of two words)."""
 
     weights: np.ndarray
     bias: np.ndarray
@@ -119,7 +137,7 @@ class Model:
         return p / p.sum(1, keepdims=True)
 
     def likeness(self, family: int, h: np.ndarray) -> float:
-        """The largest share of a notice's 3-grams that are in the paragraph."""
+        """The largest share of a notice's 3-grams that are in the paragraph's n-grams ``h``."""
         return max(float(np.isin(t, h).mean()) if len(t) else 0.0 for t in self.templates[family])
 
 
@@ -139,17 +157,22 @@ def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: i
     key_words = {"apache", "mit", "gnu", "general", "lesser", "public", "bsd", "mozilla", "creative", "commons",
                  "cc", "by", "nc", "sa", "cc0", "noncommercial", "sharealike", "attribution"}
     samples: list[tuple[str, int]] = []
+
+    def invented() -> str:
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+
     for k, family in enumerate(names):
         for notice in FAMILIES[family]:
             words = notice.split()
             for c in range(copies):
                 kept = [w for w in words if c == 0 or rng.random() > 0.08]
                 lead = ["", "Note: ", "# ", "// ", "Copyright 2020. "][c % 5]
+                if family == RESERVED:  # an owner in some; a lead of its own would be the notice
+                    lead, kept = ["", "# ", "// "][c % 3], (kept if len(words) > 3 else words) + [invented() for _ in range(c % 4)]
                 samples.append((lead + " ".join(kept), k))
-                masked = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
-                          if w.lower().strip(".,-;()") in key_words or "-" in w else w for w in words]
+                masked = [invented() if w.lower().strip(".,-;()") in key_words or "-" in w else w for w in words]
                 if masked != words and c % 2 == 0:
-                    samples.append((lead + " ".join(masked), unknown))
+                    samples.append((("" if c % 5 == 4 else lead) + " ".join(masked), unknown))
     for line in ordinary:
         samples += [(line[:2000], unknown)] * 2
     order = rng.permutation(len(samples))
@@ -180,7 +203,7 @@ def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: i
         return float((np.log(np.exp(z).sum(1)) - z[np.arange(len(ys)), ys]).mean())
 
     temperature = min(np.geomspace(0.5, 5, 20).tolist(), key=loss)
-    triples = tuple(tuple(np.unique(h[n == 3]) for h, n in map(_of, FAMILIES[f])) for f in names)
+    triples = tuple(tuple(np.unique(h[n == min(3, n.max())]) for h, n in map(_of, FAMILIES[f])) for f in names)
     return Model(w.astype(np.float32), b, temperature, names, triples)
 
 
@@ -212,11 +235,10 @@ def scan(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out
                 p = model.probabilities(line, h, len(begin))
                 best = p[:, :-1].argmax(1) if len(begin) else np.zeros(0, np.int64)
                 hits = np.flatnonzero(p[np.arange(len(begin)), best] >= least)
-                triple = size == 3
-                tl, th = line[triple], h[triple]  # in line order
+                several = [(line[size == n], h[size == n]) for n in (2, 3)]  # each in line order
                 for i in hits.tolist():
-                    a, b = np.searchsorted(tl, [i, i + 1])
-                    like = model.likeness(int(best[i]), th[a:b])
+                    own_h = [nh[slice(*np.searchsorted(nl, [i, i + 1]))] for nl, nh in several]
+                    like = model.likeness(int(best[i]), np.concatenate(own_h))
                     if like >= likeness:
                         base = int(offsets[doc[i]])
                         own[doc[i]].append({"family": model.names[best[i]], "probability": float(p[i, best[i]]),

@@ -92,8 +92,10 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in every document: ``(doc_id, n_paragraphs, family, findings)``;
-    ``family`` is that of the most probable finding."""
+    ``family`` is that of the most probable finding; all-rights-reserved only
+    if there is no other."""
     docs = table(spark, sf_dir, "documents")
     scanned = licences.scan(docs, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.*")
-    best = F.array_max(F.transform("findings", lambda x: F.struct(x["probability"], x["family"])))
+    best = F.array_max(F.transform("findings", lambda x: F.struct(
+        (x["family"] != licences.RESERVED).alias("grants"), x["probability"], x["family"])))
     return scanned.select("doc_id", "n_paragraphs", best["family"].alias("family"), "findings")

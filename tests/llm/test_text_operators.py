@@ -203,3 +203,22 @@ def test_licences(docs, empty):
     got = licences.scan(docs, model, ["doc_id"]).select("doc_id", "licence.*").collect()
     assert {r.doc_id: [f.family for f in r.findings] for r in got if r.findings} == {16: ["apache-2.0"]}
     assert licences.scan(empty, licences.fit(empty), ["doc_id"]).count() == 0
+
+
+def test_every_notice_line_of_the_table_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = {"all rights reserved": "all-rights-reserved", "mit license": "mit", "apache license": "apache-2.0",
+             "gnu general public": "gpl", "cc by-nc": "cc-by-nc"}
+    want = collections.Counter((r.doc_id, family) for r in docs.collect() for line in re.split("[\r\n]", r.text or "")
+                               for mark, family in marks.items() if mark in line.lower())
+    got = licences.scan(docs, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.findings").collect()
+    assert collections.Counter((r.doc_id, f.family) for r in got for f in r.findings) == want
+    assert len({family for _, family in want}) == 5
+
+
+def test_reserved_rights(spark, docs):
+    rows = ["All rights reserved.", "# Copyright (c) 2019 Some Owner", "Copyright 1998 Quite Another Firm Ltd.",
+            "Copyright \u00a9 2024 Somebody. All rights reserved.", "The right to copy was theirs in 2019."]
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = licences.scan(table, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.findings").collect()
+    assert {r.doc_id: [f.family for f in r.findings] for r in got} == {i: ["all-rights-reserved"] * (i < 4) for i in range(5)}
