@@ -20,3 +20,24 @@ def test_stages(spark, tmp_path):
             sizes.append(docs.count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > sizes[0] / 2
     assert docs.where("start = 0").count() == sizes[-1]
+
+
+def test_one_row_of_each_group_is_left(spark, docs):
+    import random
+
+    from tessera.llm import stages
+
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(80)) for _ in range(5))
+    near = b.replace(b.split()[40], "changed")
+    rows = [(1, a), (1, a), (2, near), (None, b), (None, c), (None, c), (None, "c"), (3, "c"), (4, d), (4, e), (5, None), (6, "")]
+    table = spark.createDataFrame([(i, t, "aa", None, len(t) if t else None, 0.5) for i, t in rows], docs.schema)
+    kept = stages.near_copy_stage(spark, table, "")
+    assert kept.columns == table.columns
+    want = sorted([(1, a), (2, near), (None, c), (3, "c"), (4, d), (4, e), (5, None), (6, "")], key=str)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
+    cut = stages.repeat_stage(spark, kept, "")
+    assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=str) == want
+    pieces = stages.packing_stage(spark, cut, "").collect()
+    assert sum(r.start == 0 for r in pieces) == len(want)
+    assert sum(r.doc_tokens > 80 for r in pieces if r.start == 0) == 5
