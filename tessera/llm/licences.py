@@ -5,7 +5,10 @@ logistic regression, trained on varied copies of the notices below, on notices
 with the licence's name replaced, and on ordinary paragraphs, gives the family
 or the unknown class; a temperature fitted on held-out copies calibrates the
 probabilities.  A family counts only if the paragraph also shares enough word
-3-grams with one of the family's notices.
+3-grams with one of the family's notices.  Notices wrapped over several lines
+are looked up by their 3-grams across line breaks and classified as one
+paragraph (``Wrapped``); where a line alone is a finding of the family, that
+line stands.
 
 One pass over the texts, no shuffle; the model is a fixed number of weights.
 
@@ -88,7 +91,9 @@ _YEAR = np.uint64(0x59454152)
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray):
-    """Lines ``(begin, end, doc)`` and word n-grams ``(line, hash, n)``."""
+    """Lines ``(begin, end, doc)``, word n-grams ``(line, hash, n)`` within
+    lines, and ``(line of each word, n-gram hashes at each word by n)``
+    whatever lines and texts they run over."""
     begin, end, doc = tb.words(data, offsets, _LINE)
     wb, we, _ = tb.words(data, np.append(begin, len(data)) if len(begin) else offsets, tb.NOT_WORD)
     line = np.searchsorted(begin, wb, "right") - 1
@@ -97,22 +102,95 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
     digits = data[wb[four][:, None] + np.arange(4)].astype(np.int64) - 48
     century = digits[:, 0] * 10 + digits[:, 1]
     word[four[((digits >= 0) & (digits <= 9)).all(1) & ((century == 19) | (century == 20))]] = _YEAR
-    out, h = [(line, word, np.ones(len(word), np.int64))], word
+    out, h, across = [(line, word, np.ones(len(word), np.int64))], word, {1: word}
     for n in (2, 3):
         if len(word) < n:
             break
         same = line[n - 1:] == line[:len(line) - n + 1]
-        h = tb.mix(h[:len(word) - n + 1] * np.uint64(3) + word[n - 1:] + np.uint64(n))
+        h = across[n] = tb.mix(h[:len(word) - n + 1] * np.uint64(3) + word[n - 1:] + np.uint64(n))
         out.append((line[n - 1:][same], h[same], np.full(int(same.sum()), n, np.int64)))
-    return begin, end, doc, tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    return begin, end, doc, tuple(np.concatenate(c) for c in zip(*out, strict=True)), (line, across)
 
 
 def _of(text: str):
     data = np.frombuffer(text.replace("\n", " ").encode(), np.uint8)
-    _, _, _, (_, h, n) = _grams(data, np.array([0, len(data)]))
+    _, _, _, (_, h, n), _ = _grams(data, np.array([0, len(data)]))
     return h, n
 
 
+class Wrapped:
+    """Finds notices that run over several lines.
+
+    A notice's n-grams are looked up whatever line breaks they run over, so
+    wrapping, indents and comment marks don't matter.  Hits of one notice no
+    further apart than its length make an occurrence; a new one begins where
+    the order of the notice starts again and enough of it has been seen.
+    """
+
+    def __init__(self, families: list[list[str]]):
+        known: dict[int, list[tuple[int, int]]] = {}
+        self.family, self.size, self.words = [], [], []
+        for k, notices in enumerate(families):
+            for notice in notices:
+                h, n = _of(notice)
+                own = dict.fromkeys(h[n == min(3, n.max())].tolist())
+                for place, gram in enumerate(own):
+                    known.setdefault(gram, []).append((len(self.size), place))
+                self.family.append(k)
+                self.size.append(len(own))
+                self.words.append(int((n == 1).sum()))
+        self.known = np.array(sorted(known), np.uint64)
+        entries = [known[g] for g in self.known.tolist()]
+        self.count = np.array([len(e) for e in entries])
+        self.start = np.cumsum(self.count) - self.count
+        self.notice, self.place = np.array([x for e in entries for x in e]).T
+        #: pairs of families whose notices share n-grams
+        self.related = {(self.family[s], self.family[t]) for e in entries for s, _ in e for t, _ in e}
+
+    def find(self, line: np.ndarray, doc: np.ndarray, across: dict[int, np.ndarray], least: float):
+        """``(likeness, family, first word, last word)`` of occurrences over several lines."""
+        hits = []
+        for n in (2, 3):
+            if n not in across:
+                continue
+            slot = np.minimum(np.searchsorted(self.known, across[n]), len(self.known) - 1)
+            at = np.flatnonzero(self.known[slot] == across[n])
+            at = at[doc[line[at]] == doc[line[at + n - 1]]]
+            times = self.count[slot[at]]
+            entry = np.repeat(self.start[slot[at]], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = np.repeat(at, times)
+            hits.append((self.notice[entry], at, at + n - 1, self.place[entry]))
+        if not hits:
+            return []
+        notice, first, last, place = (np.concatenate(c) for c in zip(*hits, strict=True))
+        order = np.lexsort((first, notice))
+        notice, first, last, place = notice[order], first[order], last[order], place[order]
+        if not len(notice):
+            return []
+        size, words = np.array(self.size), np.array(self.words)
+        new = np.ones(len(notice), bool)
+        new[1:] = ((notice[1:] != notice[:-1]) | (first[1:] - first[:-1] > words[notice[1:]])
+                   | (doc[line[first[1:]]] != doc[line[first[:-1]]]))
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(notice))
+        open_ = (line[first[begin]] != line[last[end - 1]]) & (end - begin >= least * size[notice[begin]])
+        out = []
+
+        def done(a: int, b: int, t: int, seen: set) -> None:
+            if len(seen) >= least * self.size[t] and line[first[a]] != line[last[b - 1]]:
+                out.append((len(seen) / self.size[t], self.family[t], int(first[a]), int(last[b - 1])))
+
+        for a, b in zip(begin[open_].tolist(), end[open_].tolist(), strict=True):
+            t, seen, since = int(notice[a]), set(), a
+            for i, x in zip(range(a, b), place[a:b].tolist(), strict=True):
+                if i > since and x <= place[i - 1] and len(seen) >= least * self.size[t]:
+                    done(since, i, t, seen)
+                    seen, since = set(), i
+                seen.add(x)
+            done(since, b, t, seen)
+        return out
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights by hashed n-gram and class (the last is unknown), the
@@ -217,21 +295,34 @@ RESULT = StructType([
 def scan(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: str = "licence",
          least: float = 0.5, likeness: float = 0.5) -> DataFrame:
     """``docs[keep]`` and a struct ``out``: how many paragraphs there are, and
-    every confirmed notice with its byte span."""
+    every confirmed notice with the byte span of its lines."""
     spec = pa.list_(pa.struct([("family", pa.string()), ("probability", pa.float64()), ("likeness", pa.float64()),
                                ("begin", pa.int64()), ("end", pa.int64())]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work():
         model = sent.value
+        wrapped = Wrapped([FAMILIES[f] for f in model.names])
 
         def apply(texts: pa.Array) -> list[pa.Array]:
             count, found = [], []
             for _, _, data, offsets in tb.byte_runs(texts):
                 n = len(offsets) - 1
-                begin, end, doc, (line, h, size) = _grams(data, offsets)
+                begin, end, doc, (line, h, size), (lines, across) = _grams(data, offsets)
                 count += np.bincount(doc, minlength=n).tolist()
-                own: list[list] = [[] for _ in range(n)]
+                own: list[dict] = [{} for _ in range(n)]
+                by_line: dict[int, dict] = {}
+
+                def add(a: int, b: int, k: int, p: float, like: float) -> None:
+                    """The finding of the words a to b - 1: their lines' span."""
+                    i, j = int(lines[a]), int(lines[b - 1])  # noqa: B023
+                    base = int(offsets[doc[i]])  # noqa: B023
+                    f = {"family": model.names[k], "probability": p, "likeness": like,
+                         "begin": int(begin[i]) - base, "end": int(end[j]) - base}  # noqa: B023
+                    own[doc[i]][a, b, k] = f  # noqa: B023
+                    for x in range(i, j + 1):
+                        by_line.setdefault(x, {})[a, b, k] = f  # noqa: B023
+
                 p = model.probabilities(line, h, len(begin))
                 best = p[:, :-1].argmax(1) if len(begin) else np.zeros(0, np.int64)
                 hits = np.flatnonzero(p[np.arange(len(begin)), best] >= least)
@@ -240,10 +331,23 @@ def scan(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out
                     own_h = [nh[slice(*np.searchsorted(nl, [i, i + 1]))] for nl, nh in several]
                     like = model.likeness(int(best[i]), np.concatenate(own_h))
                     if like >= likeness:
-                        base = int(offsets[doc[i]])
-                        own[doc[i]].append({"family": model.names[best[i]], "probability": float(p[i, best[i]]),
-                                            "likeness": like, "begin": int(begin[i]) - base, "end": int(end[i]) - base})
-                found += own
+                        add(*np.searchsorted(lines, [i, i + 1]).tolist(), int(best[i]), float(p[i, best[i]]), like)
+                for like, k, a, b in sorted(wrapped.find(lines, doc, across, likeness), key=lambda x: (-x[0], x[2:], x[1])):
+                    grams = np.concatenate([across[n][a:b + 2 - n] for n in across])
+                    run_p = model.probabilities(np.zeros(len(grams), np.int64), grams, 1)[0]
+                    if run_p[:-1].argmax() != k or run_p[k] < least:
+                        continue
+                    # of findings of related notices in the same words the likest stays
+                    there = {key: f for x in range(lines[a], lines[b] + 1) for key, f in by_line.get(x, {}).items()}
+                    same = {key: f for key, f in there.items()
+                            if key[0] <= b and key[1] > a and (key[2], k) in wrapped.related}
+                    if all(key[2] != k and f["likeness"] < like for key, f in same.items()):
+                        for key in same:
+                            own[doc[lines[a]]].pop(key)
+                            for x in range(lines[key[0]], lines[key[1] - 1] + 1):
+                                by_line[x].pop(key)
+                        add(a, b + 1, k, float(run_p[k]), like)
+                found += [[x[key] for key in sorted(x)] for x in own]
             return [pa.array(count, pa.int64()), pa.array(found, spec)]
         return apply
 

@@ -222,3 +222,39 @@ def test_reserved_rights(spark, docs):
     table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = licences.scan(table, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.findings").collect()
     assert {r.doc_id: [f.family for f in r.findings] for r in got} == {i: ["all-rights-reserved"] * (i < 4) for i in range(5)}
+
+
+WRAPPED = {
+    "mit": """// Permission is hereby granted, free of charge, to any person obtaining a copy
+// of this software and associated documentation files (the "Software"), to deal
+// in the Software without restriction, including without limitation the rights
+// to use, copy, modify, merge, publish, distribute copies of the Software.""",
+    "gpl": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.""",
+    "lgpl": """    This library is free software; you can redistribute it and/or\r
+    modify it under the terms of the GNU Lesser General Public\r
+    License as published by the Free Software Foundation""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:""",
+    "all-rights-reserved": "The owner has all of it.  All rights\nreserved.",
+}
+
+
+def test_wrapped_notices(spark, docs):
+    rows = [(f"a {mark}\nfirst line\n" + text + "\n\nlast line", family)
+            for family, text in WRAPPED.items() for mark in ("b", "\u00e9")]
+    rows += [(text + "\n" + text, [family] * 2) for family, text in WRAPPED.items() if family != "all-rights-reserved"]
+    rows.append(("Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.", ["cc-by-nc"] * 2))
+    rows.append(("\n".join("Permission is hereby granted, free of charge, to any person".split()), []))
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = licences.scan(table, licences.fit(docs), ["doc_id"]).select("doc_id", "licence.findings").collect()
+    for r in got:
+        text, want = rows[r.doc_id]
+        assert [f.family for f in r.findings] == ([want] if isinstance(want, str) else want), text
+        if isinstance(want, str):
+            f = r.findings[0]
+            span = text.encode()[f.begin:f.end].decode()
+            assert "\n" in span and span in WRAPPED[want]
