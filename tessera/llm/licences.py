@@ -219,17 +219,44 @@ class Model:
         return max(float(np.isin(t, h).mean()) if len(t) else 0.0 for t in self.templates[family])
 
 
+def ordinary_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: int = 300,
+                   likeness: float = 0.5, longest: int = 2000) -> list[str]:
+    """Different lines without notices: two, at hashed positions, of each text
+    of the ``max_docs`` ids with the smallest hash, at most ``2 * max_docs``.
+
+    Of a line above ``longest`` characters a part at a hashed position is taken.
+    A line counts as a notice if it holds ``likeness`` of a notice's n-grams or
+    a notice holds ``likeness`` of its 3-grams (a line of a wrapped notice).
+    """
+    # ids first: at most max_docs of them are broadcast, and only their lines come back
+    chosen = (docs.where(docs[text].isNotNull() & docs[doc_id].isNotNull()).select(docs[doc_id].alias("__id")).distinct()
+              .orderBy(F.xxhash64("__id"), "__id").limit(max_docs))
+    lines = F.filter(F.split(F.col("__text"), "[\r\n]"), lambda x: x.rlike(r"\S"))
+    texts = docs.select(docs[doc_id].alias("__doc"), docs[text].alias("__text"))
+    several = (texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+               .select("__id", F.xxhash64("__text").alias("__key"), lines.alias("__lines")).where(F.size("__lines") > 0)
+               .withColumn("__turn", F.explode(F.array(F.lit(0), F.lit(1)))))
+    line = F.element_at("__lines", (F.pmod(F.xxhash64("__id", "__key", "__turn"), F.size("__lines")) + 1).cast("int"))
+    at = F.pmod(F.xxhash64("__key", "__turn"), F.greatest(F.length("line") - longest, F.lit(0)) + 1) + 1
+    drawn = several.select(line.alias("line"), "__key", "__turn").select(F.col("line").substr(at.cast("int"), F.lit(longest)).alias("line"))
+    rows = drawn.distinct().orderBy(F.xxhash64("line"), "line").limit(2 * max_docs).collect()
+    notices = [np.unique(h[n == min(3, n.max())]) for f in FAMILIES.values() for h, n in map(_of, f)]
+    every = np.unique(np.concatenate(notices))
+
+    def ordinary(line: str) -> bool:
+        h, n = _of(line)
+        triples = h[n == 3]
+        return (all(np.isin(t, h).mean() < likeness for t in notices)
+                and not (len(triples) and np.isin(triples, every).mean() >= likeness))
+
+    return sorted(r.line for r in rows if r.line.strip() and ordinary(r.line))
+
+
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: int = 300, copies: int = 40,
         epochs: int = 30, seed: int = 7) -> Model:
-    """Train on copies of the notices and on lines of the ``max_docs`` documents
-    with the smallest id hash (the first line of each)."""
+    """Train on copies of the notices and on :func:`ordinary_lines`."""
     rng = np.random.default_rng(seed)
-    # ids first: at most max_docs of them are broadcast, and only their lines come back
-    chosen = (docs.where(docs[text].isNotNull() & docs[doc_id].isNotNull()).select(docs[doc_id].alias("__id"))
-              .orderBy(F.xxhash64("__id"), "__id").limit(max_docs))
-    rows = (docs.join(F.broadcast(chosen), docs[doc_id] == F.col("__id"))
-            .select(F.split(docs[text], "\n", 2)[0].alias("line")).collect())
-    ordinary = sorted(r.line for r in rows if r.line and r.line.strip())
+    ordinary = ordinary_lines(docs, text, doc_id, max_docs)
     names = tuple(FAMILIES)
     unknown = len(names)
     key_words = {"apache", "mit", "gnu", "general", "lesser", "public", "bsd", "mozilla", "creative", "commons",
@@ -251,8 +278,7 @@ def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_docs: i
                 masked = [invented() if w.lower().strip(".,-;()") in key_words or "-" in w else w for w in words]
                 if masked != words and c % 2 == 0:
                     samples.append((("" if c % 5 == 4 else lead) + " ".join(masked), unknown))
-    for line in ordinary:
-        samples += [(line[:2000], unknown)] * 2
+    samples += [(line, unknown) for line in ordinary]
     order = rng.permutation(len(samples))
     feats = [((_of(samples[i][0])[0] >> np.uint64(64 - _BITS)).astype(np.int64), samples[i][1]) for i in order]
     feats = [(np.unique(f), y) for f, y in feats if len(f)]

@@ -258,3 +258,20 @@ def test_wrapped_notices(spark, docs):
             f = r.findings[0]
             span = text.encode()[f.begin:f.end].decode()
             assert "\n" in span and span in WRAPPED[want]
+
+
+def test_notices_of_a_hot_source_are_no_negatives(spark, docs):
+    import random
+
+    rng = random.Random(2)
+    plain = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(12)) for _ in range(900)]
+    header = WRAPPED["mit"].split("\n")[0]
+    rows = [(i, "\n".join([["Released under the MIT License.", header][i % 2]] * (i % 3 == 0) + plain[3 * i:3 * i + 3]))
+            for i in range(300)] + [(0, "Released under the MIT License.")] * 300
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = licences.ordinary_lines(table)
+    assert len(set(lines)) == len(lines) > 250 and set(lines) <= set(plain)
+    assert set(lines) - {t.split("\n")[0] for _, t in rows}
+    got = licences.scan(table, licences.fit(table), ["doc_id", "text"]).select("text", "licence.findings").collect()
+    assert all([f.family for f in r.findings] == ["mit"] * r.text.count("MIT License") for r in got)
+    assert licences.ordinary_lines(docs.where("text is null or trim(text) = ''")) == []
