@@ -56,6 +56,34 @@ def test_top_k(vectors):
     assert kdtree.top_k(vectors.limit(0), "vec_id % 50 = 0", 5).count() == 0
 
 
+def test_top_k_of_large_components(vectors, spark):
+    large = [(600, [600_000.0] * 8), (650, [-524_288.5] + [3.0] * 7), (700, [2.0 ** 26 + 0.25, -1.0] + [0.0] * 6),
+             (701, [2.0 ** 18 - 0.25, 1.0] + [0.5] * 6), (702, [-(2.0 ** 27)] + [0.0] * 7), (704, [-(2.0 ** 26)] * 8),
+             (750, [0.0] * 6 + [1e-3, 0.0]), (800, [1.0, 2.0, 0.0]), (703, [5.0, 1.0, -1e300]), (705, [1.0, 1.0, 1.7e308])]
+    table = vectors.unionByName(spark.createDataFrame([(i, x, 1) for i, x in large], vectors.schema))
+    want = brute(table.collect(), 50, 5, lambda x: math.floor(256 * x) if abs(x) < 1e300 else 256 * int(x), True)
+    for leaf in (8, 400):
+        got = listed(kdtree.top_k(table, "vec_id % 50 = 0", 5, shard_rows=64 if leaf == 8 else 4096, query_rows=4, leaf=leaf))
+        assert got == want
+    # of rows with a query's own id none takes a place
+    same = [(0, [2.0 ** 24, 1.0])] * 40 + [(i, [2.0 ** 18 + i, 1.0]) for i in range(1, 20)]
+    hits = kdtree.top_k(spark.createDataFrame(same, "vec_id long, embedding array<double>"), "vec_id = 0", 5, leaf=100)
+    assert sorted((r.rank, r.vec_id) for r in hits.collect()) == [(k, 20 - k) for k in range(1, 6) for _ in range(40)]
+    assert {600, 650, 700, 701, 702, 703, 704, 705} <= {v for hits in got.values() for v, _ in hits}
+
+
+def test_top_k_fails_only_where_a_result_does_not_fit(spark):
+    def run(rows):
+        return listed(kdtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id = 0", 2))
+
+    rows = [(0, [1.0, 2.0 ** 40]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, -(2.0 ** 30)])]
+    assert run(rows) == {0: [(2, 2 * 65536), (1, 65536)]}
+    with pytest.raises(Exception, match="fit a long"):
+        run(rows[:2] + rows[3:])
+    with pytest.raises(Exception, match="fit a long"):
+        run([*rows, (4, [0.0, 2.0 ** 30])])
+
+
 @pytest.mark.parametrize("name", ["op5_neighbours", "op10_topk"])
 def test_equals_sql(spark, name):
     import duckdb
