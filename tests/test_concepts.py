@@ -112,3 +112,17 @@ def test_equal_documents_get_equal_vectors_and_rank_by_id(spark):
                   C.keyword_search(us, C.query_concepts(qv, dec, qv), docs, top=30).collect())
     ids = [d for _, d in hits]
     assert ids == sorted(ids) and len({d % 10 for d in ids}) == 1
+
+
+def test_query_vectors_are_searched_in_bounded_blocks(spark, monkeypatch, capsys):
+    us = spark.createDataFrame([(d, [float(d % 7), 1.0 + d % 3]) for d in range(50)], "doc_id long, us array<double>")
+    qc = spark.createDataFrame([(q, [1.0 + q % 5, float(-q)]) for q in range(700)], "query_id int, qc array<double>")
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("t").alias("title"), F.lit("g").alias("genre"))
+    sizes = [len(r.queries) for r in C.query_blocks(qc, 700).collect()]
+    assert max(sizes) <= C.BLOCK_QUERIES and sum(sizes) == 700
+    found = C.keyword_search(us, qc, docs, top=3)
+    found.explain()
+    assert "ubquery" not in capsys.readouterr().out
+    in_blocks = sorted(map(tuple, found.collect()))
+    monkeypatch.setattr(C, "BLOCK_QUERIES", 700)
+    assert in_blocks == sorted(map(tuple, C.keyword_search(us, qc, docs, top=3).collect())) and len(in_blocks) == 2100
