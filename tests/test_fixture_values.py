@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from data_paths import SF0001
 from tessera.operators import textmining as T
 from tessera.plans import documents as D
 from tessera.plans import recommendations as R

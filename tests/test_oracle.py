@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF0001
+from data_paths import SF0001
 from oracle_compare import compare, duck
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from conftest import SF0001
+from data_paths import SF0001
 from tessera.operators.relational import bounded_broadcast
 
 # Spark's ALS fits dominate these; their plans are covered by the ones they share.

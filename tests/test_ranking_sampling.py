@@ -113,7 +113,7 @@ def test_hot_path_on_real_ratings_equals_plain_split(spark):
 
 @pytest.mark.parametrize("hot_rows", [7, 2_000_000])
 def test_folds_of_the_split_are_those_of_its_training_rows(spark, hot_rows):
-    from conftest import SF0001
+    from data_paths import SF0001
     from tessera.plans import recommendations as R
 
     rows = R.ratings_canonical(spark, SF0001)

@@ -6,7 +6,7 @@ from tessera.plans import recommendations as R
 from tessera.operators import recommend as rec
 from tessera.operators.sampling import kfold_assign as rec_assign
 
-from conftest import SF0001
+from data_paths import SF0001
 
 
 def test_popularity_expected_values(spark):
