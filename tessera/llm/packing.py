@@ -8,11 +8,12 @@ are rounded down to what the histogram holds.  The remainders left over are
 packed greedily end to end and cut at window ends; the last, unfilled window
 is cut at the powers of two of its length.  So no sequence needs padding.
 
-Tokens are written once to the shared folder.  The driver sees only the
-histogram (one count for each length below the window).  A remainder finds
-its place from its rank among equal lengths alone: ranks are prefix sums of
-counts by (block of rows, length), so equal lengths, however many, are never
-gathered in one task.
+Tokens are written once to the shared folder (:mod:`wordtokens`).  The driver
+sees only the histogram (one count for each length below the window).  A
+remainder finds its place from its rank among equal lengths alone: ranks are
+prefix sums of counts by (task, length), so equal lengths, however many, are
+never gathered in one task.  A full window's number holds its task's, below
+2**30, and its own in the task.
 
 Defined results: a null or empty text is one document of the end token only;
 each of several equal rows is packed by itself; an empty table gives an empty
@@ -21,130 +22,19 @@ result; columns other than the key and the text are ignored.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from ..session import shared_path
 from . import textbatch as tb
-from .shipping import ship
-
-#: Distinct chunks whose ids a worker remembers before it starts afresh.
-REMEMBERED = 700_000
-#: Rows of a block number their full windows below 2**24.
-_BLOCK = 24
-
-
-# -- tokens -------------------------------------------------------------------
-class Tokenizer:
-    """A ``tokenizers`` file applied to chunks between blanks and line feeds.
-
-    Only for tokenizers that lower-case, drop white space and never join over
-    it, nor over a letter's end: then a chunk has the same ids in every text,
-    and each is encoded once.
-    """
-
-    def __init__(self, definition: str, width: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer as Library
-
-        self.library = Library.from_str(definition)
-        self.library.encode_special_tokens = True
-        self.width = width
-        self.known: dict[str, bytes] = {"": b""}
-
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, str]:
-        """A chunk as a word and a closing mark, encoded apart: a mark after a
-        letter is a piece of its own, and the tokenizer lower-cases."""
-        mark = ""
-        if chunk[-1:] in (",", ".") and chunk[-2:-1].isalpha():
-            chunk, mark = chunk[:-1], chunk[-1]
-        return (chunk.lower() if chunk.isascii() else chunk), mark
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        lists = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new: set[str] = set()
-        for parts in lists:
-            new.update(set(parts).difference(self.known))
-        split = {chunk: self._parts(chunk) for chunk in new}
-        fresh = list({part for parts in split.values() for part in parts}.difference(self.known))
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            for chunk, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(got.ids, self.width).tobytes()
-        for chunk, (word, mark) in split.items():
-            self.known[chunk] = self.known[word] + self.known[mark]
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in lists]
-
-
-_TOKENIZERS: dict[tuple, Tokenizer] = {}
-
-
-def _tokenizer(definition: str, width: str) -> Tokenizer:
-    key = (hash(definition), width)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = Tokenizer(definition, width)
-    return _TOKENIZERS[key]
-
-
-def tokenise(docs: DataFrame, definition: str, end_id: int, window: int, doc_id: str = "doc_id",
-             text: str = "text") -> tuple[DataFrame, str]:
-    """``(doc_id, blk, n, n_full, full_at, rem, local, ids_full, ids_rem)``,
-    written to the shared folder, and the numpy type of the ids.
-
-    ``blk`` numbers the blocks of rows read together, ``full_at`` the full
-    windows before a row's in its block, ``local`` the rows of the block
-    before it with the same remainder length.
-    """
-    from tokenizers import Tokenizer as Library
-
-    spark = docs.sparkSession
-    ship(spark)
-    size = Library.from_str(definition).get_vocab_size(with_added_tokens=True)
-    width = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
-    step = int(width[-1])
-    sent = spark.sparkContext.broadcast(definition)
-    key = docs.schema[doc_id]
-    schema = StructType([key, *(StructField(n, t) for n, t in (
-        ("blk", LongType()), ("n", LongType()), ("n_full", LongType()), ("full_at", LongType()),
-        ("rem", IntegerType()), ("local", LongType()), ("ids_full", BinaryType()), ("ids_rem", BinaryType())))])
-    end = np.array([end_id], width).tobytes()
-
-    def run(batches):
-        tokenizer = _tokenizer(sent.value, width)
-        blk = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            texts = batch.column(1)
-            for first, last, _, _ in tb.byte_runs(texts):
-                ids = [x + end for x in tokenizer.encode(texts.slice(first, last - first).to_pylist())]
-                n = np.array([len(x) // step for x in ids], np.int64)
-                full, rem = n // window, n % window
-                order = np.argsort(rem, kind="stable")
-                ordered = rem[order]
-                local = np.empty(len(n), np.int64)
-                local[order] = np.arange(len(n)) - np.searchsorted(ordered, ordered, "left")
-                cut = (full * window * step).tolist()
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, last - first), pa.array(np.full(len(n), blk, np.int64)), pa.array(n),
-                    pa.array(full), pa.array(np.cumsum(full) - full), pa.array(rem.astype(np.int32)), pa.array(local),
-                    pa.array([x[:c] for x, c in zip(ids, cut, strict=True)], pa.binary()),
-                    pa.array([x[c:] for x, c in zip(ids, cut, strict=True)], pa.binary())], names=schema.names)
-                blk += 1
-
-    path = shared_path(spark, "packing/tokens")
-    docs.select(docs[doc_id], docs[text]).mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path), width
+from .wordtokens import before_parts, tokenise
 
+#: Sequences of full windows are numbered from here on, others from 0.
+FULL = 1 << 62
 
 # -- the plan -------------------------------------------------------------------
 def combinations(hist: np.ndarray, window: int, heavy: int = 128) -> list[tuple[int, ...]]:
@@ -293,21 +183,18 @@ def pack(docs: DataFrame, definition: str, end_id: int, window: int = 2048, doc_
     spark = docs.sparkSession
     tokens, width = tokenise(docs, definition, end_id, window, doc_id, text)
     step = int(width[-1])
-    counts = tokens.groupBy("blk", "rem").agg(F.count("*").alias("count"))
+    counts = tokens.groupBy("part", "rem").agg(F.count("*").alias("count"))
     hist = np.zeros(window, np.int64)
     for r in counts.groupBy("rem").agg(F.sum("count").alias("count")).collect():
         hist[r["rem"]] = r["count"]
     plan = make_plan(hist, window)
-    before = Window.partitionBy("rem").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.where("rem > 0").select(
-        "blk", "rem", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    remainders = tokens.where("rem > 0").select(doc_id, "blk", "n", "rem", "local", "ids_rem").join(
-        bases, ["blk", "rem"]).select(doc_id, "n", "rem", (F.col("base") + F.col("local")).alias("rank"), "ids_rem")
+    bases = before_parts(counts.where("rem > 0"), ["rem"], "count")
+    remainders = tokens.where("rem > 0").select(doc_id, "part", "n", "rem", "local", "ids_rem").join(
+        bases, ["part", "rem"]).select(doc_id, "n", "rem", (F.col("base") + F.col("local")).alias("rank"), "ids_rem")
     schema = StructType([tokens.schema[doc_id], *(StructField(n, t) for n, t in (
         ("start", LongType()), ("length", LongType()), ("doc_tokens", LongType()), ("sequence_id", LongType()),
         ("offset", LongType()), ("ids", BinaryType())))])
     sent = spark.sparkContext.broadcast(plan)
-    first_full = plan.sequences
 
     def piece(docs_, at, rows):
         column = list(zip(*rows, strict=True)) if rows else [[]] * 6
@@ -335,14 +222,14 @@ def pack(docs: DataFrame, definition: str, end_id: int, window: int = 2048, doc_
             for a, b in tb._parts(whole.num_rows, whole.nbytes):
                 batch = whole.slice(a, b)
                 at, rows = [], []
-                _, blk, n, n_full, full_at, ids = (batch.column(i).to_pylist() for i in range(6))
+                _, part, n, n_full, full_at, ids = (batch.column(i).to_pylist() for i in range(6))
                 for i in range(batch.num_rows):
                     for k in range(n_full[i]):
-                        part = ids[i][k * window * step:(k + 1) * window * step]
+                        own = ids[i][k * window * step:(k + 1) * window * step]
                         at.append(i)
-                        rows.append((k * window, window, n[i], first_full + (blk[i] << _BLOCK) + full_at[i] + k, 0,
-                                     np.frombuffer(part, width).astype("<u4").tobytes()))
+                        rows.append((k * window, window, n[i], FULL + (part[i] << 32) + full_at[i] + k, 0,
+                                     np.frombuffer(own, width).astype("<u4").tobytes()))
                 yield piece(batch.column(0), at, rows)
 
-    whole_windows = tokens.where("n_full > 0").select(doc_id, "blk", "n", "n_full", "full_at", "ids_full")
+    whole_windows = tokens.where("n_full > 0").select(doc_id, "part", "n", "n_full", "full_at", "ids_full")
     return remainders.mapInArrow(place, schema).unionByName(whole_windows.mapInArrow(fulls, schema))
