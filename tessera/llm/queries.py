@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bpe, jaccard, kdtree, language, licences, neighbours, packing, quality, repeats, toxicity
+from . import bestfit, bpe, jaccard, kdtree, language, licences, neighbours, packing, quality, repeats, toxicity
 from .samples import remainder
 
 
@@ -52,11 +52,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("bytes.decoded", 256).alias("decoded_sha256"))
 
 
+def word_bpe() -> str:
+    """The definition of the word tokenizer."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of ``docs`` in sequences of at most 2048 tokens, with the checksum of their ids."""
-    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
-        definition = f.read()
-    pieces = packing.pack(docs, definition, end_id=1)
+    pieces = packing.pack(docs, word_bpe(), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
 
@@ -99,3 +103,10 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = F.array_max(F.transform("findings", lambda x: F.struct(
         (x["family"] != licences.RESERVED).alias("grants"), x["probability"], x["family"])))
     return scanned.select("doc_id", "n_paragraphs", best["family"].alias("family"), "findings")
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 4096 tokens, cut only above that:
+    ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``."""
+    pieces = bestfit.pack(table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
