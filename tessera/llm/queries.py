@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import bestfit, bpe, jaccard, kdtree, language, licences, neighbours, packing, quality, repeats, toxicity
+from . import bestfit, bpe, convtrie, jaccard, kdtree, language, licences, neighbours, packing, quality, repeats, toxicity, vectorcodes
 from .samples import remainder
 
 
@@ -110,3 +110,16 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``."""
     pieces = bestfit.pack(table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector: ``(vec_id, code, error, label_error, codebooks_sha256)``."""
+    coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    return vectorcodes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of ``conversations``: ``(conv_id, depth, parent_conv_id,
+    n_convs, n_children, n_leaves, saved_tokens, ends_sha256)``."""
+    return convtrie.trie(table(spark, sf_dir, "conversations"))
