@@ -1,26 +1,35 @@
 """Toxic passages: maximum-scoring segments of token log-odds.
 
-Each token (a word, or the stem it begins with) has a log-odds weight between toxic and other documents under an
-informative Dirichlet prior (the prior's shape is the pooled token
-distribution), taken at the lower end of its confidence interval, minus a
-constant drift.  A linear-time scan finds every maximal scoring segment of a
-document; a segment's E-value ``K n exp(-lambda S)`` says how many segments
-this good a clean document of ``n`` tokens has by chance, with lambda and K
-fitted on clean training documents.  Significant segments are the toxic
-passages; their evidence is aggregated into a calibrated probability.
-
-One pass over the texts, no shuffle; the lexicon is bounded by ``max_terms``.
+Each token (a word, or the stem it begins with) has a log-odds weight between
+toxic and other documents under a Dirichlet prior (half a document, and ten
+more spread as the pooled tokens are), taken at the lower end of its
+confidence interval, minus a constant drift.  A linear-time scan finds every
+maximal scoring segment of a document.
+
+Scores of chance segments follow an extreme-value law: ``K n exp(-lambda S)``
+segments of score ``S`` are expected in a clean document of ``n`` tokens.
+Lambda is the root of ``E exp(lambda s) = 1`` over the scores of clean tokens,
+K follows from the clean segments seen.  A segment whose expected number is
+small is a toxic passage.  The document's evidence takes all its segments
+together: the least probable sum of its best ``r``, for any ``r``.  A logistic
+curve turns evidence into a probability.  Weights, lambda, K and the curve
+come from the same rows by cross-fitting: a row is scored by the counts of the
+parts it is not in.
+
+One pass over the texts, no shuffle; the lexicon holds at most ``max_terms``
+tokens (the size of the model).
 
 Defined results: null, empty and word-free texts have no passage and get the
 probability of a document without evidence; repeated rows get equal scores;
 an empty table gives an empty result; without labelled toxic rows no token
 has a positive weight and all documents get the smoothed share of label 1.
-Equal-scoring ways to extend a segment keep the shorter one.
+Equal-scoring ways to extend a segment keep the shorter one.  Of very long
+texts all segments count, as of any other.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -57,30 +66,53 @@ class Lexicon:
     lam: float = 1.0
     k: float = 1.0
     intercept: float = 0.0
-    slope: tuple[float, float] = (0.0, 0.0)
+    slope: float = 0.0
     e_max: float = 0.05
 
-    def scores(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Each token's score: the best of its own entry and those of its stems."""
+    def scores(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Each token's score: the best of its own entry and those of its
+        stems.  A word says less each time a document repeats it: from the
+        fourth time on it has three times its score over how often it came."""
         out = np.full(len(begin), self.other)
         if not len(self.key):
             return out
         maybe = np.zeros(1 << 18, bool)  # most lookups end at this table
         maybe[self.key & _LOW] = True
+        whole = np.zeros(0, np.uint64)
         for at, key in token_keys(data, begin, end):
+            if not len(whole):
+                whole = key
             some = np.flatnonzero(maybe[key & _LOW])
             got = key[some]
             i = np.minimum(np.searchsorted(self.key, got), len(self.key) - 1)
             hit = self.key[i] == got
             np.maximum.at(out, at[some[hit]], self.weight[i[hit]])
+        hot = np.flatnonzero(out > 0)
+        order = hot[np.lexsort((hot, whole[hot], doc[hot]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (whole[order][1:] != whole[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+        at = np.arange(len(order))
+        time = at - np.maximum.accumulate(np.where(new, at, 0)) + 1
+        out[order] *= np.minimum(1, 3 / time)
         return out
 
     def evidence(self, score: float, n: int) -> float:
-        """Minus the log of the segment's E-value."""
+        """Minus the log of the number of such segments expected by chance."""
         return self.lam * score - float(np.log(self.k * max(n, 1)))
 
-    def probability(self, evidence: np.ndarray, best: np.ndarray) -> np.ndarray:
-        z = self.intercept + self.slope[0] * np.log1p(evidence) + self.slope[1] * np.log1p(best)
+    def document(self, scores: list[float], n: int) -> float:
+        """Evidence of all segments of a document: minus the log probability
+        of the least probable sum of its best ``r``, corrected for the choice
+        of ``r`` (0: what a clean document has)."""
+        x = np.array([self.evidence(s, n) for s in sorted(scores, reverse=True)])
+        total = np.cumsum(x)
+        r = np.arange(1, len(x) + 1)
+        factorial = np.concatenate([[0.0], np.cumsum(np.log(r))])
+        rare = total - (r - 1) * np.log(np.maximum(total, 1)) + factorial[1:] + factorial[:-1] - r * np.log(2)
+        return float(max(rare[total > 0].max(initial=0.0), 0.0))
+
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        z = self.intercept + self.slope * np.log1p(evidence)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -123,7 +155,7 @@ def segments(position: list[int], score: list[float], before: list[float]) -> li
 def run_segments(lexicon: Lexicon, data: np.ndarray, offsets: np.ndarray):
     """Word spans of a byte run, words by document, and ``{doc: segments}``."""
     begin, end, doc = tb.words(data, offsets, tb.NOT_WORD)
-    s = lexicon.scores(data, begin, end)
+    s = lexicon.scores(data, begin, end, doc)
     total = np.cumsum(s)
     n_words = np.bincount(doc, minlength=len(offsets) - 1)
     hot = np.flatnonzero(s > 0)
@@ -137,24 +169,20 @@ def run_segments(lexicon: Lexicon, data: np.ndarray, offsets: np.ndarray):
 
 
 def _documents(lexicon: Lexicon, texts: pa.Array):
-    """``(row, n_words, passages)``; a passage is (begin, end, text, score, evidence)
-    with byte offsets."""
-    for first, _, data, offsets in tb.byte_runs(texts):
+    """``(evidence, passages)`` of each text; a passage is (begin, end, text,
+    score, evidence) with byte offsets."""
+    for _, _, data, offsets in tb.byte_runs(texts):
         begin, end, n_words, found = run_segments(lexicon, data, offsets)
         for i, n in enumerate(n_words.tolist()):
             out = []
-            for a, b, s in found.get(i, ()):
+            segs = found.get(i, ())
+            for a, b, s in segs:
                 e = lexicon.evidence(s, n)
                 if e > -np.log(lexicon.e_max):
                     lo, hi = int(begin[a]), int(end[b])
                     out.append((lo - int(offsets[i]), hi - int(offsets[i]),
                                 bytes(data[lo:hi]).decode("utf-8", "replace"), s, e))
-            yield first + i, n, out
-
-
-def _aggregate(passages: list) -> tuple[float, float]:
-    e = [p[4] for p in passages]
-    return sum(e), max(e, default=0.0)
+            yield lexicon.document([s for _, _, s in segs], n), out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -184,23 +212,25 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, held_out: int = 1,
-        max_rows: int = 20_000, min_docs: int = 3, max_terms: int = 50_000, prior: float = 1_000.0,
+        max_rows: int = 20_000, min_docs: int = 3, max_terms: int = 200_000, prior: float = 10.0,
         z: float = 1.65, drift: float = 0.5) -> Lexicon:
     """Fit on at most ``max_rows`` labelled rows (see ``samples``).
 
-    Tokens are counted by documents (a Spark aggregation); the ``max_terms``
-    with the largest weights above the drift among those in ``min_docs``
-    documents or more make the lexicon.  A third of the sample is left out of the counts for the
-    calibration: the driver receives the lexicon, and the best segment scores
-    (50 at most) of each calibration row.
+    Tokens are counted by documents (a Spark aggregation), apart for each of
+    three parts; those in ``min_docs`` documents or more whose weight is above
+    the drift make the lexicon, with toxic documents counted by different
+    contexts of the token.  The driver receives the lexicon, two histograms of
+    scores and one number for each row of the sample.
     """
     ship(docs.sparkSession)
     sample = labelled_texts(docs, labels, label, modulus, held_out, max_rows)
-    spec = StructType([StructField("key", LongType()), StructField("pos", LongType()), StructField("neg", LongType())])
+    sizes = {(r["part"], r["label"]): r["n"] for r in sample.groupBy("part", "label").agg(F.count("*").alias("n")).collect()}
+    names = [f"{kind}{part}" for part in range(3) for kind in ("neg", "pos")]
+    spec = StructType([StructField("key", LongType()), *(StructField(n, LongType()) for n in names)])
 
     def count(batches):
         for batch in batches:
-            y = np.asarray(batch.column("label"))
+            group = np.asarray(batch.column("part")) * 2 + np.asarray(batch.column("label"))
             for first, last, data, offsets in tb.byte_runs(batch.column("text")):
                 begin, end, doc = tb.words(data, offsets, tb.NOT_WORD)
                 pairs = [(doc[at], key) for at, key in token_keys(data, begin, end)]
@@ -210,74 +240,183 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
                 key, doc = key[order], doc[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                key, lab = key[new], y[first:last][doc[new]]
+                key, own = key[new], group[first:last][doc[new]]
                 uniq, at = np.unique(key, return_inverse=True)
-                pos = np.bincount(at, lab == 1, len(uniq)).astype(np.int64)
-                neg = np.bincount(at, lab == 0, len(uniq)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(uniq.view(np.int64)), pa.array(pos), pa.array(neg)], names=["key", "pos", "neg"])
-
-    counted = sample.where("part != 0").select("text", "label")
-    counts = counted.mapInArrow(count, spec).groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    kept = counts.where(F.col("pos") + F.col("neg") >= min_docs)
-    n1, n0 = (int(v or 0) for v in kept.agg(F.sum("pos"), F.sum("neg")).first())
-    if not n1 or not n0:
-        share = _share(sample)
-        return Lexicon(np.zeros(0, np.uint64), np.zeros(0), -drift, intercept=float(np.log(share / (1 - share))))
-    alpha = F.lit(prior) * (F.col("pos") + F.col("neg")) / F.lit(n1 + n0)
-    odds = (F.log((F.col("pos") + alpha) / (F.lit(n1 + prior) - F.col("pos") - alpha))
-            - F.log((F.col("neg") + alpha) / (F.lit(n0 + prior) - F.col("neg") - alpha)))
-    bound = F.lit(z) * F.sqrt(1 / (F.col("pos") + alpha) + 1 / (F.col("neg") + alpha))
-    rows = (kept.select("key", (odds - bound).alias("w")).where(F.col("w") > drift)
-            .orderBy(F.desc("w"), "key").limit(max_terms).collect())
-    table = sorted((r.key % (1 << 64), float(r.w)) for r in rows)
-    draft = Lexicon(np.array([k for k, _ in table], np.uint64),
-                    np.array([w for _, w in table]) - drift, -drift)
-    return _calibrate(sample.where("part = 0").select("text", "label"), draft)
+                found = [pa.array(np.bincount(at, own == g, len(uniq)).astype(np.int64)) for g in range(6)]
+                yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), *found], names=spec.names)
+
+    counts = sample.mapInArrow(count, spec).groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
 
+    # three lexicons that leave a part out, and the one of all parts
+    folds = [[p for p in range(3) if p != part] for part in range(3)] + [[0, 1, 2]]
+    size = [[float(sum(sizes.get((p, y), 0) for p in parts)) for y in (0, 1)] for parts in folds]
 
-def _share(sample: DataFrame) -> float:
-    ones, n = sample.agg(F.sum("label"), F.count("label")).first()
-    return ((ones or 0) + 1) / (n + 2)
+    def weight(pos, neg, n0: float, n1: float, log, root):
+        """Lower end of the log-odds of a token in ``pos`` of ``n1`` toxic and ``neg`` of ``n0`` other documents."""
+        alpha = (pos + neg) * (prior / max(n1 + n0, 1.0)) + 0.5
+        whole = prior + 1.0
+        odds = log((pos + alpha) / (n1 + whole - pos - alpha)) - log((neg + alpha) / (n0 + whole - neg - alpha))
+        return odds - z * root(1 / (pos + alpha) + 1 / (neg + alpha))
 
+    def of(kind: str, parts: list[int]):
+        return sum((F.col(f"{kind}{p}") for p in parts), F.lit(0))
 
-def _calibrate(sample: DataFrame, draft: Lexicon) -> Lexicon:
-    """Fit lambda, K and the logistic calibration on the sampled rows."""
-    spec = StructType([StructField("label", IntegerType()), StructField("n", LongType()),
-                       StructField("s", ArrayType(DoubleType()))])
+    by_docs = [F.when(of("pos", parts) + of("neg", parts) >= min_docs,
+                      weight(of("pos", parts), of("neg", parts), *size[i], F.log, F.sqrt)) for i, parts in enumerate(folds)]
+    rows = (counts.withColumn("w", F.greatest(*by_docs)).where(F.col("w") > drift)
+            .orderBy(F.desc("w"), "key").limit(max_terms).collect())
+    rows.sort(key=lambda r: r["key"] % (1 << 64))
+    key = np.array([r["key"] % (1 << 64) for r in rows], np.uint64)
+    seen = np.array([[r[n] for n in names] for r in rows], float).reshape(-1, 6)
+    alone = _contexts(sample, key, folds)
+    lexicons = []
+    for i, parts in enumerate(folds):
+        neg, pos = (sum(seen[:, 2 * p + y] for p in parts) for y in (0, 1))
+        pos = np.minimum(pos, alone[:, i])
+        w = weight(pos, neg, *size[i], np.log, np.sqrt) - drift
+        use = (pos + neg >= min_docs) & (w > 0)
+        lexicons.append(Lexicon(key[use], w[use], -drift))
+    return _calibrate(sample, lexicons)
+
+
+def _contexts(sample: DataFrame, key: np.ndarray, folds: list[list[int]]) -> np.ndarray:
+    """In how many different contexts (the words before and after) each token
+    stands in toxic rows, for each choice of parts.
+
+    All copies of a text have the same contexts, so however many there are,
+    they are evidence for their tokens once.
+    """
+    spec = StructType([StructField("at", LongType()), StructField("context", LongType()), StructField("parts", IntegerType())])
+    sent = sample.sparkSession.sparkContext.broadcast(key)
 
-    def scan(batches):
+    def run(batches):
+        key = sent.value
         for batch in batches:
-            y = batch.column("label").to_pylist()
-            for first, _, data, offsets in tb.byte_runs(batch.column("text")):
-                _, _, n_words, found = run_segments(draft, data, offsets)
-                top = [sorted((x[2] for x in found.get(i, ())), reverse=True)[:50] for i in range(len(n_words))]
+            part = np.asarray(batch.column("part"))
+            for first, last, data, offsets in tb.byte_runs(batch.column("text")):
+                begin, end, doc = tb.words(data, offsets, tb.NOT_WORD)
+                word = tb.span_hash(tb.prefix_hash(tb.LOWER[data]), begin, end)
+                side = np.zeros(len(word) + 2, np.uint64)
+                side[1:-1] = word
+                same = np.ones(len(word) + 1, bool)  # whether a word follows one of its own text
+                same[0] = same[-1] = False
+                same[1:-1] = doc[1:] == doc[:-1]
+                around = tb.mix(np.where(same[:-1], side[:-2], np.uint64(0)) + np.uint64(1)) ^ np.where(same[1:], side[2:], np.uint64(0))
+                found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+                for at, own in token_keys(data, begin, end):
+                    i = np.minimum(np.searchsorted(key, own), max(len(key) - 1, 0))
+                    hit = key[i] == own if len(key) else np.zeros(len(own), bool)
+                    found.append((i[hit], around[at[hit]], 1 << part[first:last][doc[at[hit]]].astype(np.int64)))
+                at, context, mask = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(y[first:first + len(n_words)], pa.int32()), pa.array(n_words.astype(np.int64)),
-                     pa.array(top, pa.list_(pa.float64()))], names=["label", "n", "s"])
-
-    rows = sorted((r.label, r.n, tuple(r.s)) for r in sample.mapInArrow(scan, spec).collect())
-    clean = [r for r in rows if r[0] == 0]
-    tokens = max(sum(r[1] for r in clean), 1)
-    null = np.sort(np.array([s for r in clean for s in r[2]]))
-    # the tail of chance segments is exponential: lambda by its mean excess
-    lam = 1.0
-    if len(null) >= 20:
-        tail = null[len(null) // 2:]
-        lam = float(np.clip(1 / max((tail - tail[0]).mean(), 1e-6), 0.3, 3.0))
-    level = float(null[len(null) // 2]) if len(null) else 1.0
-    k = (np.count_nonzero(null >= level) + 1) / (tokens * np.exp(-lam * level))
-    fitted = Lexicon(draft.key, draft.weight, draft.other, lam, float(k))
-    x, y = [], []
-    if not any(r[0] == 1 for r in rows) or not clean:
-        share = (len(rows) - len(clean) + 1) / (len(rows) + 2)
-        return Lexicon(draft.key, draft.weight, draft.other, lam, float(k), float(np.log(share / (1 - share))))
-    for label, n, scores in rows:
-        e = [v for v in (fitted.evidence(s, n) for s in scores) if v > -np.log(fitted.e_max)]
-        x.append((np.log1p(sum(e)), np.log1p(max(e, default=0.0))))
-        y.append(label)
-    w = _logistic(np.array(x), np.array(y, float))
-    return Lexicon(draft.key, draft.weight, draft.other, lam, float(k), float(w[0]), (float(w[1]), float(w[2])))
+                    [pa.array(at), pa.array(context.view(np.int64)), pa.array(mask.astype(np.int32))], names=spec.names)
+
+    pairs = sample.where("label = 1").select("text", "part").mapInArrow(run, spec).groupBy("at", "context").agg(
+        F.bit_or("parts").alias("parts"))
+    chosen = [F.count(F.when(F.col("parts").bitwiseAND(sum(1 << p for p in parts)) != 0, 1)).alias(f"n{i}")
+              for i, parts in enumerate(folds)]
+    out = np.zeros((len(key), len(folds)))
+    if len(key):
+        for r in pairs.groupBy("at").agg(*chosen).collect():
+            out[r["at"]] = [r[f"n{i}"] for i in range(len(folds))]
+    return out
+
+
+def _by_part(sample: DataFrame, lexicons: list[Lexicon], spec: StructType, work) -> DataFrame:
+    """``work(lexicon, texts, labels)`` makes the columns of a batch; a row's
+    lexicon is the one without its part."""
+    sent = sample.sparkSession.sparkContext.broadcast(lexicons)
+
+    def run(batches):
+        for batch in batches:
+            part = np.asarray(batch.column("part"))
+            for p in range(3):
+                at = pa.array(np.flatnonzero(part == p))
+                if len(at):
+                    own = batch.take(at)
+                    yield pa.RecordBatch.from_arrays(
+                        work(sent.value[p], own.column("text"), np.asarray(own.column("label"))), names=spec.names)
+
+    return sample.select("text", "label", "part").mapInArrow(run, spec)
+
+
+#: Scores are counted in hundredths, up to this.
+_TOP = 100.0
+
+
+def _scores(sample: DataFrame, lexicons: list[Lexicon]) -> tuple[dict[float, int], dict[float, int], int]:
+    """How often clean tokens above the drift and clean segments have each
+    score, and the number of clean tokens."""
+    spec = StructType([StructField("kind", IntegerType()), StructField("bin", LongType()), StructField("n", LongType())])
+
+    def work(lexicon: Lexicon, texts: pa.Array, label: np.ndarray) -> list[pa.Array]:
+        texts = texts.filter(pa.array(label == 0))
+        found: list[tuple[int, int, int]] = []
+        for _, _, data, offsets in tb.byte_runs(texts):
+            begin, end, doc = tb.words(data, offsets, tb.NOT_WORD)
+            s = lexicon.scores(data, begin, end, doc)
+            found.append((0, 0, len(s)))
+            _, _, _, segs = run_segments(lexicon, data, offsets)
+            seg = np.array([x[2] for v in segs.values() for x in v])
+            for kind, x in ((1, s[s > 0]), (2, seg)):
+                bins, n = np.unique(np.ceil(np.minimum(x, _TOP) * 100).astype(np.int64), return_counts=True)
+                found += [(kind, b, c) for b, c in zip(bins.tolist(), n.tolist(), strict=True)]
+        column = list(zip(*found, strict=True)) if found else [[]] * 3
+        return [pa.array(column[0], pa.int32()), pa.array(column[1], pa.int64()), pa.array(column[2], pa.int64())]
+
+    rows = _by_part(sample, lexicons, spec, work).groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect()
+    by = [{r["bin"] / 100: r["n"] for r in rows if r["kind"] == kind} for kind in range(3)]
+    return by[1], by[2], sum(by[0].values())
+
+
+def chance(tokens: dict[float, int], segs: dict[float, int], n: int, other: float, typical: float) -> tuple[float, float]:
+    """Lambda and K of clean texts with ``n`` tokens, ``other`` each but for
+    ``tokens``; one more token of a typical weight counts, so that there is one."""
+    score = np.array([*tokens, typical])
+    count = np.array([*tokens.values(), 1.0])
+    rest = max(n - count.sum() + 1, 1.0)
+    total = rest + count.sum()
+
+    def excess(lam: float) -> float:
+        return float((rest * np.exp(lam * other) + (count * np.exp(np.minimum(lam * score, 700))).sum()) / total - 1)
+
+    if rest * other + (count * score).sum() >= 0:
+        return 1e-3, 1.0  # no drift left: nothing is significant
+    low, high = 0.0, 1.0
+    while excess(high) < 0:
+        low, high = high, 2 * high
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if excess(middle) < 0 else (low, middle)
+    lam = high
+    seen = np.array([[s, c] for s, c in sorted(segs.items())]).reshape(-1, 2)
+    half = float(seen[:, 1].sum()) / 2
+    level = float(seen[np.searchsorted(np.cumsum(seen[:, 1]), half), 0]) if len(seen) else typical
+    above = float(seen[seen[:, 0] >= level, 1].sum())
+    return lam, (above + 1) / (total * float(np.exp(-min(lam * level, 700))))
+
+
+def _calibrate(sample: DataFrame, lexicons: list[Lexicon]) -> Lexicon:
+    """The lexicon of all parts with lambda, K and the logistic curve."""
+    final = lexicons[3]
+    if len(final.weight):
+        tokens, segs, n = _scores(sample, lexicons)
+        lam, k = chance(tokens, segs, n, final.other, float(np.median(final.weight)))
+    else:
+        lam, k = 1.0, 1.0
+    lexicons = [replace(x, lam=lam, k=k) for x in lexicons]
+    spec = StructType([StructField("label", IntegerType()), StructField("evidence", DoubleType())])
+
+    def work(lexicon: Lexicon, texts: pa.Array, label: np.ndarray) -> list[pa.Array]:
+        return [pa.array(label.astype(np.int32)), pa.array([e for e, _ in _documents(lexicon, texts)], pa.float64())]
+
+    rows = sorted((r["label"], r["evidence"]) for r in _by_part(sample, lexicons, spec, work).collect())
+    y = np.array([r[0] for r in rows], float)
+    if not len(y) or y.min() == y.max():
+        share = (y.sum() + 1) / (len(y) + 2)
+        return replace(lexicons[3], intercept=float(np.log(share / (1 - share))))
+    w = _logistic(np.log1p([[r[1]] for r in rows]), y)
+    return replace(lexicons[3], intercept=float(w[0]), slope=float(w[1]))
 
 
 RESULT = StructType([
@@ -297,11 +436,10 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "text"
 
     def work():
         def apply(texts: pa.Array) -> list[pa.Array]:
-            found = [p for _, _, p in _documents(lexicon, texts)]
-            pairs = np.array([_aggregate(p) for p in found]).reshape(len(found), 2)
-            p = lexicon.probability(pairs[:, 0], pairs[:, 1])
+            found = list(_documents(lexicon, texts))
+            p = lexicon.probability(np.array([e for e, _ in found], float))
             names = ("begin", "end", "text", "score", "evidence")
-            listed = [[dict(zip(names, x, strict=True)) for x in doc] for doc in found]
+            listed = [[dict(zip(names, x, strict=True)) for x in doc] for _, doc in found]
             return [pa.array(p), pa.array((p >= threshold).astype(np.int32)), pa.array(listed, passage)]
         return apply
 

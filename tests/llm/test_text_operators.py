@@ -193,10 +193,6 @@ def test_classifiers_take_hard_rows(docs, empty, spark):
             assert len(got) == rows.count() and all(0 <= r.score <= 1 for r in got)
 
 
-def test_segments_are_the_maximal_ones():
-    # scores 3 -1 2 | -9 | 4: the first two join, the last stands alone
-    assert toxicity.segments([0, 2, 4], [3.0, 2.0, 4.0], [0.0, 2.0, -5.0]) == [(0, 2, 4.0), (4, 4, 4.0)]
-
 
 def test_licences(docs, empty):
     model = licences.fit(docs)
