@@ -3,10 +3,10 @@ T4, J10, F19).
 
 The matrix never leaves the executors.  Its rows are written once as a
 parquet table of sparse vectors under the shared folder (a lineage cut, so
-a lost executor re-reads the table instead of re-running the text steps),
-read back with Spark's vector type, and handed to Spark's own
-``IndexedRowMatrix.computeSVD``.  Only ``s`` and ``V`` (``k`` and
-``num_terms x k`` numbers, bounded by parameters) reach the driver.
+a lost executor re-reads the table instead of re-running the text steps) and
+passed over a few times by :mod:`.blocksvd` (or, when asked for, by Spark's
+own ``IndexedRowMatrix.computeSVD``).  Only blocks of ``num_terms`` rows,
+bounded by parameters, reach the driver.
 ``U * S`` is ``A * V``, computed document by document from the sorted sparse
 rows and ``V``, which every executor gets once.  Sums run in term order, so
 equal documents get equal vectors.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import shared_path
+from . import blocksvd
 from .ranking import top_n_per_group
 
 K = 25
@@ -95,32 +96,41 @@ def _gramian_svd(matrix: IndexedRowMatrix, k: int, rcond: float) -> tuple[np.nda
 
 
 def truncated_svd(spark: SparkSession, tfidf: DataFrame, num_terms: int, k: int = K,
-                  rcond: float = RCOND, method: str = "arpack") -> Decomposition:
+                  rcond: float = RCOND, method: str = "block") -> Decomposition:
     """M3: the ``k`` largest singular values and right singular vectors.
 
-    ``method``: ``"arpack"``, at every size, is Spark's ``computeSVD`` (about
-    90 passes over the persisted rows for k = 25); ``"gramian"``, only when
-    asked for, is Spark's one-pass ``computeGramianMatrix`` and a
-    ``num_terms x num_terms`` eigendecomposition on the driver.  Singular values below ``rcond * s_max`` are dropped, so
-    fewer than ``k`` concepts may come back; callers loop over what is
-    returned.
+    ``method``: ``"block"``, at every size, is the randomised block SVD (six
+    passes over the rows).  Only when asked for: ``"arpack"``, Spark's
+    ``computeSVD`` (about 90 passes over the persisted rows for k = 25), and
+    ``"gramian"``, Spark's one-pass ``computeGramianMatrix`` with a
+    ``num_terms x num_terms`` eigendecomposition on the driver.  Singular
+    values below ``rcond * s_max`` are dropped, so fewer than ``k`` concepts
+    may come back; callers loop over what is returned.
     """
-    rows = sparse_rows(spark, tfidf, num_terms).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        k_eff = max(1, min(k, num_terms))
-        matrix = IndexedRowMatrix(rows, 0, num_terms)
-        if method == "gramian":
-            s, V = _gramian_svd(matrix, k_eff, rcond)
-        else:
-            svd = matrix.computeSVD(k_eff, computeU=False, rCond=rcond)
-            s, V = np.asarray(svd.s.toArray(), dtype=float), np.asarray(svd.V.toArray(), dtype=float)
-        V = fix_signs(V) if len(s) else np.zeros((num_terms, 0))
-    finally:
-        rows.unpersist()
+    k_eff = max(1, min(k, num_terms))
+    if method == "block":
+        s, V = blocksvd.block_svd(blocksvd.entry_rows(spark, tfidf), num_terms, k_eff, rcond)
+    else:
+        rows = sparse_rows(spark, tfidf, num_terms).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            matrix = IndexedRowMatrix(rows, 0, num_terms)
+            if method == "gramian":
+                s, V = _gramian_svd(matrix, k_eff, rcond)
+            else:
+                svd = matrix.computeSVD(k_eff, computeU=False, rCond=rcond)
+                s, V = np.asarray(svd.s.toArray(), dtype=float), np.asarray(svd.V.toArray(), dtype=float)
+        finally:
+            rows.unpersist()
+    V = fix_signs(V) if len(s) else np.zeros((num_terms, 0))
     sigma = spark.createDataFrame([(j, float(v)) for j, v in enumerate(s)], "concept int, s double")
-    term_vectors = spark.createDataFrame(
-        [(t, [float(x) for x in V[t]]) for t in range(V.shape[0])], "term_id int, v array<double>")
-    return Decomposition(s, V, sigma, term_vectors)
+    return Decomposition(s, V, sigma, _vector_table(spark, V))
+
+
+def _vector_table(spark: SparkSession, V: np.ndarray) -> DataFrame:
+    """``(term_id, v)``, handed to Spark as Arrow columns."""
+    n, k = V.shape
+    lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * k, np.ascontiguousarray(V).ravel())
+    return spark.createDataFrame(pa.table({"term_id": pa.array(np.arange(n, dtype=np.int32)), "v": lists}))
 
 
 def term_concept(dec: Decomposition) -> DataFrame:

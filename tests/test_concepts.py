@@ -29,7 +29,7 @@ def test_svd_matches_numpy(spark):
     assert us[5] == [0.0] * len(dec.s)
 
 
-@pytest.mark.parametrize("method", ["gramian", "arpack"])
+@pytest.mark.parametrize("method", ["gramian", "arpack", "block"])
 def test_methods_agree(spark, method):
     rng = np.random.default_rng(11)
     A = rng.random((120, 110)) * (rng.random((120, 110)) < 0.2)
