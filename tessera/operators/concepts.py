@@ -14,7 +14,7 @@ equal documents get equal vectors.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from collections.abc import Iterator
 
@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import shared_path
-from . import blocksvd
+from . import blocksvd, innersearch
 from .ranking import top_n_per_group
 
 K = 25
@@ -245,53 +245,27 @@ def query_concepts(qv: DataFrame, dec: Decomposition, queries: DataFrame) -> Dat
         "query_id", F.coalesce(F.col("qc"), zero).alias("qc"))
 
 
-#: Query vectors in one array value at most.
-BLOCK_QUERIES = 256
-
-
-def query_blocks(qc: DataFrame, n: int) -> DataFrame:
-    """``(blk, queries)``: the ``n`` query vectors in arrays of at most
-    ``BLOCK_QUERIES``, dealt by a hash of the id and numbered within its share."""
-    shares = -(-n // (16 * BLOCK_QUERIES))
-    dealt = qc.withColumn("share", F.pmod(F.xxhash64("query_id"), F.lit(shares)))
-    place = F.row_number().over(Window.partitionBy("share").orderBy("query_id")) - 1
-    blk = F.struct("share", F.floor(place / BLOCK_QUERIES).alias("part"))
-    return dealt.select(blk.alias("blk"), "query_id", "qc").groupBy("blk").agg(
-        F.array_sort(F.collect_list(F.struct("query_id", "qc"))).alias("queries"))
-
-
-def keyword_search(us: DataFrame, qc: DataFrame, docs: DataFrame, top: int = 10) -> DataFrame:
+def keyword_search(us: DataFrame, qc: DataFrame, docs: DataFrame, top: int = 10,
+                   blocks: DataFrame | None = None) -> DataFrame:
     """M7 + M8 + T4: ``(query_id, rank, doc_id, title, genre, score)``, the
     ``top`` documents per query by ``(U S) (V^T q)`` (plain dot product; ties
     by doc id).
 
-    Up to ``BLOCK_QUERIES`` query vectors (``k`` numbers each) are one array
-    value, from a scalar subquery.  More are dealt into blocks of that size,
-    written, and every document meets every block in a join, so neither the
-    driver nor a task holds them all.  A document row scores a block with
-    native array functions in its own task, and only each task's ``top`` rows
-    of a query are shuffled.
+    One plan for any number of queries: documents lie in blocks with bounds,
+    and only blocks that can hold a result are scored (see
+    :mod:`.innersearch`; ``blocks`` is the written block table of ``us``, if
+    there is one).
     """
-    if qc.limit(BLOCK_QUERIES + 1).count() <= BLOCK_QUERIES:
-        queries = qc.agg(F.array_sort(F.collect_list(F.struct("query_id", "qc")))).scalar()
-        pairs = us.select("doc_id", "us", F.inline(queries))
-    else:
-        spark = us.sparkSession
-        blocks = query_blocks(qc, qc.count())
-        path = shared_path(spark, "concepts/query_blocks")
-        blocks.write.parquet(path)
-        blocks = spark.read.schema(blocks.schema).parquet(path)
-        # a grid: documents dealt into groups, each of which meets every block;
-        # the table of the blocks' keys is a few bytes for each block
-        groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        group = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("grp")
-        keyed = us.select("doc_id", "us", group).crossJoin(F.broadcast(blocks.select("blk")))
-        spread = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
-        pairs = keyed.hint("merge").join(spread, ["blk", "grp"]).select("doc_id", "us", F.inline("queries"))
-    scored = pairs.select("doc_id", "query_id", F.aggregate(
-        F.zip_with("us", "qc", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x).alias("score"))
-    best = top_n_per_group(scored, ["query_id"], [F.desc("score"), F.col("doc_id")], top)
+    best = keyword_hits(us, qc, top, blocks).hits.withColumnRenamed("id", "doc_id")
     j = best.join(docs.select("doc_id", "title", "genre"), "doc_id", "left")
     return j.select("query_id", "rank", "doc_id",
                     F.coalesce(F.col("title"), F.col("doc_id").cast("string")).alias("title"),
                     F.coalesce(F.col("genre"), F.lit("unknown")).alias("genre"), "score")
+
+
+def keyword_hits(us: DataFrame, qc: DataFrame, top: int = 10, blocks: DataFrame | None = None) -> innersearch.Search:
+    """The search behind :func:`keyword_search`, with the pairs it scored."""
+    if blocks is None:
+        blocks = innersearch.blocks(us, "doc_id", "us")
+    found = innersearch.search(blocks, qc, top, "query_id", "qc")
+    return replace(found, hits=found.hits.withColumn("query_id", F.col("query_id").cast(qc.schema["query_id"].dataType)))

@@ -17,6 +17,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import innersearch
 from .metrics import auc_value, confusion, exact_auc
 from .relational import sum_per_key
 
@@ -98,21 +99,17 @@ def train_als(ratings: DataFrame, rank: int, reg: float, alpha: float,
 
 def recommend_top_n(model: ALSModel, users: DataFrame, n: int,
                     user_col: str = "user") -> DataFrame:
-    """``(user, rank, item, score)``, the ``n`` best items per user.
+    """``(user, rank, item, score)``, the ``n`` best items per user
+    (ties by item).
 
-    Users unknown to the model are absent (no factors to score).
+    The users' factors are searched in blocks of item factors, of which only
+    those that can hold one of a user's ``n`` best are scored.  Users unknown
+    to the model are absent (no factors to score).
     """
-    subset = users.select(F.col(user_col).cast("int").alias("user")).distinct()
-    recs = model.recommendForUserSubset(subset, n)
-    return recs.select(
-        F.col("user").cast("bigint").alias(user_col),
-        F.posexplode("recommendations").alias("_pos", "_rec"),
-    ).select(
-        user_col,
-        (F.col("_pos") + 1).alias("rank"),
-        F.col("_rec.item").cast("bigint").alias("item"),
-        F.col("_rec.rating").cast("double").alias("score"),
-    )
+    subset = users.select(F.col(user_col).cast("int").alias("id")).distinct()
+    queries = model.userFactors.join(subset, "id", "left_semi")
+    found = innersearch.search(innersearch.blocks(model.itemFactors, "id", "features"), queries, n, "id", "features")
+    return found.hits.select(F.col("query_id").alias(user_col), "rank", F.col("id").alias("item"), "score")
 
 
 def als_predictions_labels(model: ALSModel, held_out: DataFrame, n: int = 50) -> DataFrame:

@@ -34,10 +34,12 @@ REFERENCE_QUERIES = (
 )
 # A word no tokenizer output can contain (it has a digit).
 UNKNOWN_WORD = "zz9unknown"
-# Upper bounds of the vocabulary and concept count (see ``Params``):
-# 100,000 x 1,000 doubles of V are at most 800 MB on the driver.
+# Upper bounds of the vocabulary and concept count (see ``Params``).  V has at
+# most MAX_CELLS doubles (16 MB); the block SVD's basis, on the driver and in
+# every task of a pass, is some 20 times that.
 MAX_TERMS = 100_000
 MAX_CONCEPTS = 1_000
+MAX_CELLS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -55,12 +57,14 @@ class Params:
     rcond: float = 1e-9
 
     def __post_init__(self) -> None:
-        # Spark's SVD returns V (num_terms x k doubles) to the driver, and V is
-        # sent to the executors: these parameters are its size bound.
+        # V (num_terms x k doubles) reaches the driver and is sent to the
+        # executors: these parameters are its size bound.
         if not 1 <= self.num_terms <= MAX_TERMS:
             raise ValueError(f"num_terms must be in 1..{MAX_TERMS}, got {self.num_terms}")
         if not 1 <= self.k <= min(self.num_terms, MAX_CONCEPTS):
             raise ValueError(f"k must be in 1..min(num_terms, {MAX_CONCEPTS}), got {self.k}")
+        if self.num_terms * self.k > MAX_CELLS:
+            raise ValueError(f"num_terms x k must be at most {MAX_CELLS}")
         if not 0.0 < self.sample_fraction <= 1.0:
             raise ValueError(f"sample_fraction must be in (0, 1], got {self.sample_fraction}")
 
@@ -278,11 +282,28 @@ def query_concepts(spark: SparkSession, d: Source, p: Params = Params()) -> Data
     return qc.select("query_id", F.posexplode("qc").alias("concept", "x"))
 
 
+def _query_vectors(spark: SparkSession, d: Source, p: Params) -> DataFrame:
+    dec = decomposition(spark, d, p)
+    return C.query_concepts(query_vector(spark, d, p), dec, query_words(spark, d, p))
+
+
+def search_blocks(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """The documents' vectors in blocks with bounds, written once per application."""
+    return store.stored(spark, "search_blocks", (d, p),
+                        lambda: C.innersearch.blocks(doc_vectors(spark, d, p), "doc_id", "us"))
+
+
 def keyword_search(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """M7 + M8: top ``results`` documents of every query."""
-    dec = decomposition(spark, d, p)
-    qc = C.query_concepts(query_vector(spark, d, p), dec, query_words(spark, d, p))
-    return C.keyword_search(doc_vectors(spark, d, p), qc, doc_meta(spark, d, p), p.results)
+    return C.keyword_search(doc_vectors(spark, d, p), _query_vectors(spark, d, p), doc_meta(spark, d, p),
+                            p.results, search_blocks(spark, d, p))
+
+
+def keyword_search_work(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """One row ``(scored_pairs, all_pairs)``: how many pairs of a query and a
+    document the search scored, and how many there are."""
+    return C.keyword_hits(doc_vectors(spark, d, p), _query_vectors(spark, d, p), p.results,
+                          search_blocks(spark, d, p)).work
 
 
 def matrix_shapes(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:

@@ -114,15 +114,19 @@ def test_equal_documents_get_equal_vectors_and_rank_by_id(spark):
     assert ids == sorted(ids) and len({d % 10 for d in ids}) == 1
 
 
-def test_query_vectors_are_searched_in_bounded_blocks(spark, monkeypatch, capsys):
+def test_query_vectors_are_searched_in_bounded_blocks(spark, capsys):
     us = spark.createDataFrame([(d, [float(d % 7), 1.0 + d % 3]) for d in range(50)], "doc_id long, us array<double>")
     qc = spark.createDataFrame([(q, [1.0 + q % 5, float(-q)]) for q in range(700)], "query_id int, qc array<double>")
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("t").alias("title"), F.lit("g").alias("genre"))
-    sizes = [len(r.queries) for r in C.query_blocks(qc, 700).collect()]
-    assert max(sizes) <= C.BLOCK_QUERIES and sum(sizes) == 700
+    blocks = C.innersearch._query_blocks(qc, "query_id", "qc").collect()
+    sizes = [len(r.query_ids) // 8 for r in blocks]
+    assert max(sizes) <= C.innersearch.QUERIES and sum(sizes) == 700
     found = C.keyword_search(us, qc, docs, top=3)
     found.explain()
-    assert "ubquery" not in capsys.readouterr().out
-    in_blocks = sorted(map(tuple, found.collect()))
-    monkeypatch.setattr(C, "BLOCK_QUERIES", 700)
-    assert in_blocks == sorted(map(tuple, C.keyword_search(us, qc, docs, top=3).collect())) and len(in_blocks) == 2100
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = sorted((r.query_id, r["rank"], r.doc_id, r.score) for r in found.collect())
+    score = lambda q, d: (1.0 + q % 5) * (d % 7) - q * (1.0 + d % 3)
+    want = [(q, i + 1, d, score(q, d)) for q in range(700)
+            for i, d in enumerate(sorted(range(50), key=lambda d: (-score(q, d), d))[:3])]
+    assert got == want

@@ -30,6 +30,21 @@ def test_als_same_rows_same_lists(spark):
     assert tuple(per_user) == (10, 10)
 
 
+def test_lists_equal_spark_s_product_of_all_pairs(spark):
+    train, test = R.train_test(spark, SF0001)
+    model = rec.train_als(train, 6, 0.1, 1.0, 3)
+    users = test.select("user").distinct()
+    got = {}
+    for r in rec.recommend_top_n(model, users, 20).collect():
+        got.setdefault(r.user, {})[r["rank"]] = (r["item"], r.score)
+    want = model.recommendForUserSubset(users, 20).collect()
+    assert len(got) == len(want) > 100
+    for r in want:
+        for i, (item, rating) in enumerate(r.recommendations, start=1):
+            mine, score = got[r.user][i]
+            assert abs(score - rating) < 1e-5 and (mine == item or abs(dict(got[r.user].values())[item] - score) < 1e-5)
+
+
 def test_new_user_named_list(spark):
     top = R.new_user_top_n(spark, SF0001, rank=5, reg=0.1, alpha=1.0).collect()
     assert len(top) == 25 and all(r.user == R.NEW_USER_ID for r in top)
