@@ -17,6 +17,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import innersearch
 from .metrics import auc_value, confusion, exact_auc
 from .relational import sum_per_key
@@ -98,18 +99,90 @@ def train_als(ratings: DataFrame, rank: int, reg: float, alpha: float,
 
 
 def recommend_top_n(model: ALSModel, users: DataFrame, n: int,
-                    user_col: str = "user") -> DataFrame:
-    """``(user, rank, item, score)``, the ``n`` best items per user
-    (ties by item).
+                    user_col: str = "user", method: str = "product") -> DataFrame:
+    """``(user, rank, item, score)``, the ``n`` best items per user.
+
+    ``method``: ``"product"`` is Spark's product of all users' and items'
+    factors, in blocks; ``"blocks"`` searches blocks of item factors with
+    bounds and scores only those that can hold one of a user's best (see
+    :mod:`.innersearch`; ties by item).  Users unknown to the model are absent
+    (no factors to score).
+    """
+    subset = users.select(F.col(user_col).cast("int").alias("user")).distinct()
+    if method == "blocks":
+        queries = model.userFactors.join(subset, F.col("id") == F.col("user"), "left_semi")
+        found = innersearch.search(innersearch.blocks(model.itemFactors, "id", "features"), queries, n, "id", "features")
+        return found.hits.select(F.col("query_id").alias(user_col), "rank", F.col("id").alias("item"), "score")
+    recs = model.recommendForUserSubset(subset, n)
+    return recs.select(
+        F.col("user").cast("bigint").alias(user_col),
+        F.posexplode("recommendations").alias("_pos", "_rec"),
+    ).select(
+        user_col,
+        (F.col("_pos") + 1).alias("rank"),
+        F.col("_rec.item").cast("bigint").alias("item"),
+        F.col("_rec.rating").cast("double").alias("score"),
+    )
+
+
+def item_gram(model: ALSModel) -> DataFrame:
+    """``(i, j, g)``: the Gram matrix of the item factors, a sum for each pair
+    of components (``rank**2`` rows), added up by task before the shuffle."""
+    f = F.transform("features", lambda x: x.cast("double"))
+    rows = model.itemFactors.select(f.alias("f")).select(F.posexplode("f").alias("i", "x"), "f")
+    return rows.select("i", F.posexplode("f").alias("j", "y"), "x").groupBy("i", "j").agg(
+        F.sum(F.col("x") * F.col("y")).alias("g"))
+
+
+def fold_in(model: ALSModel, rows: DataFrame, reg: float, alpha: float, user_col: str = "user",
+            item_col: str = "item", rating_col: str = "rating") -> DataFrame:
+    """R8 without retraining: ``(user, features)`` of users the model hasn't seen.
 
-    The users' factors are searched in blocks of item factors, of which only
-    those that can hold one of a user's ``n`` best are scored.  Users unknown
-    to the model are absent (no factors to score).
+    One half-step of implicit ALS against the item factors: with confidence
+    ``c = alpha |r|`` of a rating, ``(Y^T Y + sum c y y^T + reg n I) x = sum (1
+    + c) y`` over the user's items with a factor, sums of positive ratings
+    only on the right, and ``n`` counting those.  A user's own sums are
+    ``rank**2 + rank`` numbers, added up by task, whatever the number of
+    ratings; the systems are solved where they lie.  Users without any known
+    item are absent.
     """
-    subset = users.select(F.col(user_col).cast("int").alias("id")).distinct()
-    queries = model.userFactors.join(subset, "id", "left_semi")
-    found = innersearch.search(innersearch.blocks(model.itemFactors, "id", "features"), queries, n, "id", "features")
-    return found.hits.select(F.col("query_id").alias(user_col), "rank", F.col("id").alias("item"), "score")
+    spark = rows.sparkSession
+    f = F.transform("features", lambda x: x.cast("double"))
+    y = model.itemFactors.select(F.col("id").alias("_item"), f.alias("y"))
+    r = F.col(rating_col).cast("double")
+    known = rows.join(y, rows[item_col] == y["_item"]).select(
+        F.col(user_col).alias("user"), (F.lit(alpha) * F.abs(r)).alias("c"), (r > 0).alias("liked"), "y")
+    terms = known.select("user", "c", "liked", "y", F.posexplode("y").alias("i", "x"))
+    right = terms.groupBy("user", "i").agg(
+        F.sum(F.when(F.col("liked"), (1 + F.col("c")) * F.col("x")).otherwise(0.0)).alias("b"),
+        F.sum(F.col("liked").cast("long")).alias("n"))
+    left = terms.select("user", "i", "c", "x", F.posexplode("y").alias("j", "z")).groupBy("user", "i", "j").agg(
+        F.sum(F.col("c") * F.col("x") * F.col("z")).alias("a"))
+    system = left.join(item_gram(model), ["i", "j"]).groupBy("user").agg(
+        F.sort_array(F.collect_list(F.struct("i", "j", (F.col("a") + F.col("g")).alias("v")))).alias("m"))  # rank**2 numbers
+    side = right.groupBy("user").agg(F.sort_array(F.collect_list(F.struct("i", "b"))).alias("b"), F.max("n").alias("n"))
+    system = system.join(side, "user").select("user", F.col("m.v").alias("m"), F.col("b.b").alias("b"), "n")
+
+    def solve(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for m, b, n in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                a = np.array(m).reshape(len(b), len(b)) + reg * n * np.eye(len(b))
+                out.append(np.linalg.solve(a, np.array(b)).tolist() if n else [0.0] * len(b))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64()))], names=["user", "features"])
+
+    ship(spark)
+    return system.mapInArrow(solve, f"user {known.schema['user'].dataType.simpleString()}, features array<double>")
+
+
+def top_n_of_factors(model: ALSModel, factors: DataFrame, n: int) -> DataFrame:
+    """``(user, rank, item, score)``: the best items for ``(user, features)`` rows."""
+    table = innersearch.blocks(model.itemFactors, "id", "features")
+    hits = innersearch.search(table, factors, n, "user", "features").hits
+    return hits.select(F.col("query_id").alias("user"), "rank", F.col("id").alias("item"), "score")
 
 
 def als_predictions_labels(model: ALSModel, held_out: DataFrame, n: int = 50) -> DataFrame:

@@ -377,6 +377,22 @@ def new_user_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(),
     return lookup_with_default(top, names, "item", "id", "name", "name", default)
 
 
+def new_user_fold_in(spark: SparkSession, data_dir: Source, p: Params = Params(),
+                     rank: int | None = None, reg: float | None = None,
+                     alpha: float | None = None) -> DataFrame:
+    """R8 + T5 without retraining: the new user's factors from one half-step
+    against the model of all training rows; the top 25 items, named
+    (:func:`new_user_top_n` retrains)."""
+    if rank is None or reg is None or alpha is None:
+        rank, reg, alpha = chosen_params(spark, data_dir, p)
+    model = als_model(spark, data_dir, rank, reg, alpha, p)
+    factors = rec.fold_in(model, new_user_rows(spark, data_dir, p), reg, alpha)
+    top = rec.top_n_of_factors(model, factors, NEW_USER_TOP)
+    names = entity_names(spark, data_dir)
+    default = F.concat(F.lit("Unknown("), F.col("item").cast("string"), F.lit(")"))
+    return lookup_with_default(top, names, "item", "id", "name", "name", default)
+
+
 def name_lookup_default(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """The popular items with their names, ``Unknown(id)`` when unnamed."""
     top = popularity_top_n(spark, data_dir, p).select("rank", "item")

@@ -35,7 +35,7 @@ def test_lists_equal_spark_s_product_of_all_pairs(spark):
     model = rec.train_als(train, 6, 0.1, 1.0, 3)
     users = test.select("user").distinct()
     got = {}
-    for r in rec.recommend_top_n(model, users, 20).collect():
+    for r in rec.recommend_top_n(model, users, 20, method="blocks").collect():
         got.setdefault(r.user, {})[r["rank"]] = (r["item"], r.score)
     want = model.recommendForUserSubset(users, 20).collect()
     assert len(got) == len(want) > 100
@@ -112,3 +112,44 @@ def test_grid_evaluations_accumulate_in_a_named_log(spark, tmp_path):
     logged = spark.read.parquet(log)
     assert logged.count() == 4 and logged.where("logged_at IS NULL OR source IS NULL").count() == 0
     assert R.evaluation_log(spark) == R.evaluation_log(spark)
+
+
+def test_fold_in_is_the_half_step(spark):
+    import numpy as np
+
+    train, _ = R.train_test(spark, SF0001)
+    reg, alpha = 0.1, 2.0
+    model = rec.train_als(train, 7, reg, alpha, 3)
+    Y = {r.id: np.array(r.features, float) for r in model.itemFactors.collect()}
+    items = sorted(Y)[:6]
+    rows = [(1, items[0], 5.0), (1, items[1], 3.0), (1, items[1], 3.0), (1, items[2], -1.0), (1, 10**7, 9.0),
+            (2, items[3], 1.0), (3, 10**7, 1.0), (4, items[4], 0.0)] + [(5, i, 1.0 + i % 3) for i in sorted(Y)]
+    got = {r.user: np.array(r.features) for r in
+           rec.fold_in(model, spark.createDataFrame(rows, "user long, item long, rating double"), reg, alpha).collect()}
+    M = np.array(list(Y.values()))
+    assert set(got) == {1, 2, 4, 5}
+    for u, x in got.items():
+        own = [(Y[i], r) for v, i, r in rows if v == u and i in Y]
+        n = sum(r > 0 for _, r in own)
+        a = M.T @ M + sum(alpha * abs(r) * np.outer(y, y) for y, r in own) + reg * n * np.eye(7)
+        b = sum(((1 + alpha * r) * y for y, r in own if r > 0), np.zeros(7))
+        assert np.allclose(x, np.linalg.solve(a, b), atol=1e-9), u
+    # a user of the training rows gets the factors that the solver's own last half-step would give
+    known = train.where("user = 4").select("user", "item", "rating")
+    mine = rec.fold_in(model, known, reg, alpha).first()
+    own = [(Y[r["item"]], r.rating) for r in known.collect()]
+    a = M.T @ M + sum(alpha * r * np.outer(y, y) for y, r in own) + reg * len(own) * np.eye(7)
+    assert mine is None or np.allclose(mine.features, np.linalg.solve(a, sum((1 + alpha * r) * y for y, r in own)), atol=1e-7)
+    top = rec.top_n_of_factors(model, spark.createDataFrame([(9, got[1].tolist())], "user long, features array<double>"), 5)
+    ids = np.array(sorted(Y))
+    score = np.array([Y[i] @ got[1] for i in ids])
+    assert [r["item"] for r in sorted(top.collect(), key=lambda r: r["rank"])] == ids[np.lexsort((ids, -score))[:5]].tolist()
+
+
+def test_new_user_folded_in_named_list(spark):
+    top = R.new_user_fold_in(spark, SF0001, rank=5, reg=0.1, alpha=1.0).collect()
+    assert len(top) == 25 and all(r.user == R.NEW_USER_ID and r.name for r in top)
+    assert [r["rank"] for r in sorted(top, key=lambda r: r["rank"])] == list(range(1, 26))
+    own = {r["item"] for r in R.new_user_rows(spark, SF0001).collect()}
+    retrained = {r["item"] for r in R.new_user_top_n(spark, SF0001, rank=5, reg=0.1, alpha=1.0).collect()}
+    assert len({r["item"] for r in top} & (retrained | own)) >= 5
