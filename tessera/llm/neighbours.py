@@ -13,11 +13,16 @@ non-finite component take no part, nor do rows without an id; a query is
 compared with vectors of its own dimension, rows with its own id left out;
 each of several equal query rows gets a list of its own; equal scores rank by
 vec_id; with fewer than k candidates all are listed; an empty table gives an
-empty result.
+empty result.  Components may be as large or small as doubles are; a sum that
+overflows on its way is taken exactly instead, and infinite if it is itself
+beyond all doubles.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +47,30 @@ class _Quantised:
         _, dim, self.ids, data = block
         self.x = np.frombuffer(data, np.float64).reshape(-1, dim)
         top = np.abs(self.x).max(1)
-        self.scale = np.maximum(top / 127, np.finfo(float).tiny)
-        q = np.clip(np.rint(self.x / self.scale[:, None]), -127, 127).astype(np.int8)
-        back = q * self.scale[:, None]
+        unit = self.x / top[:, None]  # squares of very large or small components are no doubles
+        self.scale = top / 127
+        q = np.clip(np.rint(unit * 127), -127, 127).astype(np.int8)
+        back = q / 127.0
         # sums of int8 products stay below 2**24 up to 1040 components
         self.q = q.astype(np.float32 if dim <= 1040 else np.float64)
-        self.loss = np.linalg.norm(self.x - back, axis=1)
-        self.norm = np.linalg.norm(self.x, axis=1)
-        self.norm_back = np.linalg.norm(back, axis=1)
+        with np.errstate(over="ignore", under="ignore"):
+            self.loss = np.linalg.norm(unit - back, axis=1) * top
+            self.norm = np.linalg.norm(unit, axis=1) * top
+            self.norm_back = np.linalg.norm(back, axis=1) * top
+
+
+def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, components summed in order; where that isn't
+    finite, the exact sum as the nearest double (infinite above all doubles)."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        score = np.add.accumulate(a * b, axis=1)[:, -1]
+    for i in np.flatnonzero(~np.isfinite(score)).tolist():
+        exact = sum(Fraction(x) * Fraction(y) for x, y in zip(a[i].tolist(), b[i].tolist(), strict=True))
+        try:
+            score[i] = float(exact)
+        except OverflowError:
+            score[i] = math.inf if exact > 0 else -math.inf
+    return score
 
 
 class _State:
@@ -59,10 +80,14 @@ class _State:
 
     def work(self, c: _Quantised, k: int) -> None:
         q = self.q
-        estimate = (q.q @ c.q.T).astype(np.float64) * q.scale[:, None] * c.scale[None, :]
-        off = (q.norm_back[:, None] * c.loss[None, :] + q.loss[:, None] * c.norm[None, :]) * (1 + 1e-9)
-        off += 1e-12 * q.norm[:, None] * c.norm[None, :]  # rounding of the products themselves
-        lower = estimate - off
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            estimate = (q.q @ c.q.T).astype(np.float64) * q.scale[:, None] * c.scale[None, :]
+            off = (q.norm_back[:, None] * c.loss[None, :] + q.loss[:, None] * c.norm[None, :]) * (1 + 1e-9)
+            off += 1e-12 * q.norm[:, None] * c.norm[None, :] + 1e-300  # rounding of the products themselves
+            lower, upper = estimate - off, estimate + off
+        # a bound that is no finite number says nothing: the pair survives
+        loose = ~(np.isfinite(lower) & np.isfinite(upper))
+        lower[loose], upper[loose] = -np.inf, np.inf
         own = q.ids[:, None] == c.ids[None, :]
         lower[own] = -np.inf
         if lower.shape[1] > k:
@@ -70,10 +95,10 @@ class _State:
         else:
             reach = np.full(len(q.ids), -np.inf)
         floor = np.array([-np.inf if (f := self.best.floor(i)) is None else f for i in range(len(q.ids))])
-        i, j = np.nonzero((estimate + off >= np.maximum(reach, floor)[:, None]) & ~own)
+        i, j = np.nonzero((upper >= np.maximum(reach, floor)[:, None]) & ~own)
         for at in range(0, len(i), _PART):
             a, b = i[at:at + _PART], j[at:at + _PART]
-            score = np.add.accumulate(q.x[a] * c.x[b], axis=1)[:, -1]
+            score = _scores(q.x[a], c.x[b])
             edges = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
             for s, e in zip(edges[:-1], edges[1:], strict=True):
                 self.best.add(int(a[s]), score[s:e].tolist(), c.ids[b[s:e]].tolist())

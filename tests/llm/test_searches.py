@@ -50,6 +50,37 @@ def test_nearest(vectors):
     assert neighbours.nearest(vectors.limit(0), "vec_id % 20 = 0", 20).count() == 0
 
 
+def test_nearest_of_very_large_and_small_components(vectors, spark):
+    odd = [(600, [1.0, 0, 0]), (601, [1e200, 1.0, 0]), (602, [0.03, 0, 0]), (603, [1e-200, 1e-201, 0]), (620, [1e-200, 3e-201, 1e-202]),
+           (640, [1e200, -1e200, 1.0]), (641, [1e200, 1e200, 5.0]), (642, [-1e308, 1e308, 0]), (643, [5e-324, 0, 0]), (660, [1e155, 1e154, 2e154]),
+           (644, [3e153, 1e154, -1e154])]
+    table = vectors.unionByName(spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in odd], vectors.schema))
+    rows = table.collect()
+    want = brute(rows, 20, 20, float, False)
+    from fractions import Fraction
+
+    def exact(a, b):
+        plain = 0.0
+        for x, y in zip(a, b, strict=True):
+            plain += x * y
+        if math.isfinite(plain):
+            return plain
+        total = sum(Fraction(x) * Fraction(y) for x, y in zip(a, b, strict=True))
+        try:
+            return float(total)
+        except OverflowError:
+            return math.inf if total > 0 else -math.inf
+
+    data = {i: [float(x) for x in v] for i, v in odd}
+    for query in (600, 620, 640, 660):
+        scored = sorted((-exact(data[query], v), c) for c, v in [*data.items(), (306, [2.0] * 3)] if c != query)
+        want[query] = [(c, -s) for s, c in scored[:20]]
+    assert want[600][0] == (601, 1e200) or want[600][0][1] >= 1e200
+    got = listed(neighbours.nearest(table, "vec_id % 20 = 0", 20, block_rows=3, query_rows=2))
+    assert got == want
+    assert listed(neighbours.nearest(table, "vec_id % 20 = 0", 3)) == {q: v[:3] for q, v in want.items()}
+
+
 def test_top_k(vectors):
     got = listed(kdtree.top_k(vectors, "vec_id % 50 = 0", 5, shard_rows=64, query_rows=4, leaf=8))
     assert got == brute(vectors.collect(), 50, 5, lambda x: math.floor(256 * x), True)
