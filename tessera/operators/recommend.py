@@ -74,6 +74,30 @@ def label_by_membership(scored: DataFrame, truth: DataFrame, user_col: str = "us
     return joined.withColumn(label_col, F.coalesce(F.col("_hit"), F.lit(0.0))).drop("_hit")
 
 
+def item_bitmaps(truth: DataFrame, user_col: str = "user", item_col: str = "item") -> DataFrame:
+    """``(user, bucket, n_items, bits)``: a user's items as bitmaps, one for
+    each range of 32,768 item ids, so that a user with any number of rows is a
+    few short rows; bits are set by task before the shuffle."""
+    item = F.col(item_col).cast("bigint")
+    sets = truth.where(item.isNotNull()).groupBy(user_col, F.bitmap_bucket_number(item).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(item)).alias("bits"))
+    return sets.select(user_col, "bucket", F.bitmap_count("bits").alias("n_items"), "bits")
+
+
+def label_by_bitmap(scored: DataFrame, bitmaps: DataFrame, user_col: str = "user", item_col: str = "item",
+                    label_col: str = "label") -> DataFrame:
+    """J3 by a bit test: ``label = 1.0`` when the item's bit is set for the user
+    (the same labels as :func:`label_by_membership`)."""
+    item = F.col(item_col).cast("bigint")
+    sets = bitmaps.select(F.col(user_col).alias("_user"), F.col("bucket").alias("_bucket"), "bits")
+    joined = scored.withColumn("_of", F.bitmap_bucket_number(item)).join(
+        sets, (F.col(user_col) == F.col("_user")) & (F.col("_of") == F.col("_bucket")), "left")
+    at = F.bitmap_bit_position(item)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
+    return joined.withColumn(label_col, F.coalesce(hit, F.lit(False)).cast("double")).drop("_of", "_user", "_bucket", "bits")
+
+
 def als_input(ratings: DataFrame, user_col: str = "user", item_col: str = "item",
               rating_col: str = "rating", blocks: int = ALS_BLOCKS) -> DataFrame:
     """``(user int, item int, rating float)`` hash-arranged by user and item
@@ -212,6 +236,7 @@ def grid_search(
     parallelism: int = 1,
     blocks: int = ALS_BLOCKS,
     on_result: Callable[[DataFrame], None] | None = None,
+    done: dict[tuple, float | None] | None = None,
 ) -> DataFrame:
     """Mean AUC over ``k`` folds for every parameter set.
 
@@ -220,7 +245,8 @@ def grid_search(
     loops over parameter sets and folds, holding one AUC per fit;
     ``parallelism`` fits run as concurrent Spark jobs.  ``on_result`` gets
     each evaluation row as a one-row DataFrame (e.g. to append it to a log
-    table).  Returns ``(rank, reg, alpha, fold, auc)``.
+    table).  ``done`` holds evaluations from before, which aren't fitted
+    again.  Returns ``(rank, reg, alpha, fold, auc)``.
     """
     spark = assigned.sparkSession
     assigned = assigned.persist()
@@ -239,7 +265,9 @@ def grid_search(
                 on_result(row)
         return (rank, float(reg), float(alpha), fold, auc)
 
-    tasks = list(product(ranks, regs, alphas, range(k)))
+    before = {key: auc for key, auc in (done or {}).items()
+              if key in {(a, float(b), float(c), f) for a, b, c, f in product(ranks, regs, alphas, range(k))}}
+    tasks = [t for t in product(ranks, regs, alphas, range(k)) if (t[0], float(t[1]), float(t[2]), t[3]) not in before]
     try:
         if parallelism > 1:
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -248,7 +276,8 @@ def grid_search(
             results = [evaluate(t) for t in tasks]
     finally:
         assigned.unpersist()
-    return spark.createDataFrame(results, EVAL_SCHEMA)
+    results += [(*key, auc) for key, auc in before.items()]
+    return spark.createDataFrame(sorted(results, key=lambda r: r[:4]), EVAL_SCHEMA)
 
 
 EVAL_SCHEMA = "rank int, reg double, alpha double, fold int, auc double"

@@ -1,8 +1,7 @@
 """Joins, lookups, distincts and counts.
 
 Joins carry no broadcast hints: Catalyst and AQE choose from measured bytes
-(a broadcast, or sort-merge with skew splitting).  A caller who knows a side
-to be short can pass it through :func:`bounded_broadcast`.
+(a broadcast, or sort-merge with skew splitting).
 """
 
 from __future__ import annotations
@@ -10,20 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table (rows) shipped whole to every task; the tables checked
-# against it are two or three narrow columns, so this is tens of MB at most.
-BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check is one small job that stops reading after ``max_rows + 1`` rows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def resolve_aliases(ratings: DataFrame, aliases: DataFrame, item_col: str = "item") -> DataFrame:
     """Replace ``item`` by its ``good_id`` when listed as a ``bad_id`` (one hop).
 

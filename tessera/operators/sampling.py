@@ -69,6 +69,26 @@ def kfold_assign(rows: DataFrame, k: int = 5, *, user_col: str = "user",
     return ranked.withColumn("fold", _fold(user_col, k)).drop("_rn", "_cnt")
 
 
+def global_index(rows: DataFrame, *, key_col: str = "row_key", tie_cols: tuple[str, ...] = ("user", "item", "rating"),
+                 out: str = "index", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Consecutive numbers from 0 over all rows, in the order of ``key_col``
+    (a hash of the whole row) and ``tie_cols``.
+
+    All rows are one group of :func:`~.ranking.rank_within_groups`: ranges of
+    the hash are counted and numbered by themselves, offsets are a running sum
+    over the ranges.  One lazy plan; a hot user or item makes no range larger.
+    """
+    one = rows.withColumn("_all", F.lit(0))
+    ranked = rank_within_groups(one, ["_all"], [key_col, *tie_cols], hash_col=key_col,
+                                rank_col="_rn", size_col="_cnt", hot_rows=hot_rows)
+    return ranked.withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn", "_cnt", "_all")
+
+
+def global_kfold(rows: DataFrame, k: int = 5, **order) -> DataFrame:
+    """W2 as a global index modulo ``k``: folds differ by one row at most."""
+    return global_index(rows, **order).withColumn("fold", (F.col("index") % k).cast("int"))
+
+
 def kfold_partitions(assigned: DataFrame, k: int = 5) -> DataFrame:
     """Every row once per fold ``fold_id``, ``role = 'val'`` in its own fold
     and ``'train'`` in the others (a generator, no join)."""

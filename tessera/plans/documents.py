@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import concepts as C
+from ..operators import sentences as S
 from ..operators import textmining as T
 from ..operators.sampling import hash_sample
 from ..sources import delimited, files, staging, tables
@@ -99,6 +100,18 @@ def tokens(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     return T.tokenize(docs(spark, d, p))
 
 
+def sentence_parameters(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """F8: ``(kind, w, w2)``: abbreviations, sentence starters and collocations
+    of the documents, written once per application."""
+    return store.stored(spark, "sentence_parameters", (d, p.sample_fraction),
+                        lambda: S.parameters(S.pieces(docs(spark, d, p))))
+
+
+def doc_sentences(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
+    """F8: ``(doc_id, sentence, first_pos, n_pieces, text)`` of every document."""
+    return S.sentences(docs(spark, d, p), sentence_parameters(spark, d, p))
+
+
 def stopwords(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:
     """The stop-word file: the given one, or for a data folder one derived
     from its English documents and read back."""
@@ -218,7 +231,8 @@ def decomposition(spark: SparkSession, d: Source, p: Params = Params()) -> C.Dec
     def make() -> C.Decomposition:
         n_terms = vocabulary(spark, d, p).count()
         return C.truncated_svd(spark, tfidf(spark, d, p), n_terms, p.k, p.rcond)
-    return store.once(_DECOMPOSITIONS, ("svd", spark.sparkContext.applicationId, d, p), make)
+    return store.once(_DECOMPOSITIONS, ("svd", spark.sparkContext.applicationId, d, p,
+                                       store.fingerprint(spark, d)), make)
 
 
 def svd_singular_values(spark: SparkSession, d: Source, p: Params = Params()) -> DataFrame:

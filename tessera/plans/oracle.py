@@ -9,6 +9,7 @@ integers BIGINT) and computed doubles are rounded the same way.
 from __future__ import annotations
 
 from ..functions.text import NOUN_SUFFIX_RULES
+from ..operators import sentences as S
 from . import documents as D
 from . import recommendations as R
 from . import tables as TB
@@ -95,6 +96,81 @@ qv AS (
   GROUP BY q.query_id, i.term_id)"""
 
 
+def _ln(x: str) -> str:
+    return f"ln(greatest({x}, 1e-12))"
+
+
+def _pair_score(a: str, b: str, ab: str, n: str) -> str:
+    p, p1, p2 = f"({b} / {n})", f"({ab} / {a})", f"(({b} - {ab}) / greatest({n} - {a}, 1))"
+    return (f"(-2 * ({ab} * {_ln(p)} + ({a} - {ab}) * {_ln('1 - ' + p)}"
+            f" + ({b} - {ab}) * {_ln(p)} + ({n} - {a} - {b} + {ab}) * {_ln('1 - ' + p)}"
+            f" - (CASE WHEN {a} = {ab} THEN 0.0 ELSE {ab} * {_ln(p1)} + ({a} - {ab}) * {_ln('1 - ' + p1)} END)"
+            f" - (CASE WHEN {b} = {ab} THEN 0.0 ELSE {_rest(a, b, ab, n, p2)} END)))")
+
+
+def _rest(a: str, b: str, ab: str, n: str, p2: str) -> str:
+    return f"({b} - {ab}) * {_ln(p2)} + ({n} - {a} - {b} + {ab}) * {_ln('1 - ' + p2)}"
+
+
+def sentence_ctes() -> str:
+    """Pieces, counts, abbreviations, starters, collocations and boundaries."""
+    closers, upper = S.CLOSERS.replace("'", "''"), S.UPPER
+    bare = r"(regexp_matches({0}, '^[0-9]+$') OR regexp_matches({0}, '^\p{{L}}$'))"
+    letters = "CAST(length(replace(word, '.', '')) AS DOUBLE)"
+    share = "(t.stops / t.pieces)"
+    score = (f"-2 * (k * {_ln(share)} + (n - k) * {_ln('1 - ' + share)} - k * ln(0.99) - (n - k) * ln(0.01))"
+             f" * exp(-{letters}) * (length(word) - {letters} + 1) * pow({letters}, -(n - k))")
+    return rf"""
+docs AS (
+  SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND source IS NOT NULL AND text IS NOT NULL),
+cut AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '') AS p FROM docs),
+flat AS (
+  SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INTEGER) AS pos, unnest(p) AS x FROM cut WHERE len(p) > 0),
+core AS (SELECT *, regexp_replace(x, '{closers}', '') AS c FROM flat),
+described AS (
+  SELECT doc_id, pos, CASE WHEN regexp_matches(c, '[!?]$') THEN 2 WHEN suffix(c, '.') THEN 1 ELSE 0 END AS kind,
+         regexp_replace(lower(c), '{OUTER}', '', 'g') AS word, regexp_matches(x, '{upper}') AS upper
+  FROM core),
+pieces AS (
+  SELECT *, lead(word) OVER w AS next_word, lead(upper) OVER w AS next_upper, lead(pos) OVER w IS NULL AS last
+  FROM described WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+counts AS (
+  SELECT word, CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(CASE WHEN kind = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS k
+  FROM pieces WHERE word <> '' GROUP BY word),
+t AS (SELECT SUM(n) AS pieces, SUM(k) AS stops FROM counts),
+abbr AS (
+  SELECT word FROM counts, t WHERE k > 0 AND regexp_matches(word, '\p{{L}}') AND NOT {bare.format("word")}
+  AND {score} >= {S.ABBREVIATION}),
+known AS (
+  SELECT p.*, kind = 1 AND (a.word IS NOT NULL OR {bare.format("p.word")}) AS weak
+  FROM pieces p LEFT JOIN abbr a ON a.word = p.word WHERE kind > 0 AND NOT last),
+e AS (SELECT CAST(COUNT(*) AS DOUBLE) AS ends FROM known WHERE NOT weak),
+starter AS (
+  SELECT s.word FROM (
+    SELECT next_word AS word, CAST(COUNT(*) AS DOUBLE) AS ab FROM known
+    WHERE NOT weak AND regexp_matches(next_word, '\p{{L}}') GROUP BY next_word) s
+  JOIN counts c ON c.word = s.word, t, e
+  WHERE ab * t.pieces > c.n * e.ends AND {_pair_score("e.ends", "c.n", "ab", "t.pieces")} >= {S.STARTER}),
+pair AS (
+  SELECT s.word, s.next_word FROM (
+    SELECT word, next_word, CAST(COUNT(*) AS DOUBLE) AS ab FROM known
+    WHERE weak AND regexp_matches(next_word, '\p{{L}}') GROUP BY word, next_word HAVING COUNT(*) >= {S.LEAST_PAIRS}) s
+  JOIN counts a ON a.word = s.word JOIN counts b ON b.word = s.next_word, t
+  WHERE ab * t.pieces > a.n * b.n AND {_pair_score("a.n", "b.n", "ab", "t.pieces")} >= {S.COLLOCATION}),
+ends AS (
+  SELECT k.doc_id, k.pos FROM known k LEFT JOIN abbr a ON a.word = k.word
+  LEFT JOIN starter s ON s.word = k.next_word LEFT JOIN pair p ON p.word = k.word AND p.next_word = k.next_word
+  WHERE CASE WHEN kind = 2 THEN TRUE WHEN k.word = '' THEN next_upper
+             WHEN (a.word IS NOT NULL OR {bare.format("k.word")}) AND p.word IS NOT NULL THEN FALSE
+             WHEN a.word IS NOT NULL OR {bare.format("k.word")} THEN s.word IS NOT NULL AND next_upper
+             ELSE TRUE END),
+numbered AS (
+  SELECT f.doc_id, f.pos, f.x,
+         CAST(COUNT(e.pos) OVER (PARTITION BY f.doc_id ORDER BY f.pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              AS INTEGER) AS sentence
+  FROM flat f LEFT JOIN ends e ON e.doc_id = f.doc_id AND e.pos = f.pos)"""
+
+
 def rating_ctes(p: R.Params = R.Params()) -> str:
     return f"""
 plays AS (
@@ -145,6 +221,13 @@ def with_ctes(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select.strip()}"
 
 
+# Bits of the test users' items: ranges of 32,768 ids, lowest bit first.
+BITS = """,
+bits AS (
+  SELECT DISTINCT "user", bucket, at_bit // 8 AS place, CAST(at_bit % 8 AS INTEGER) AS bit FROM (
+    SELECT "user", CASE WHEN item > 0 THEN (item - 1) // 32768 + 1 ELSE item // 32768 END AS bucket,
+           CASE WHEN item > 0 THEN (item - 1) % 32768 ELSE -item % 32768 END AS at_bit FROM test))"""
+
 AUC_SELECT = """
 SELECT CASE WHEN SUM(pos) > 0 AND SUM(neg) > 0
             THEN ROUND(SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) END AS auc
@@ -283,7 +366,30 @@ def oracle_sql() -> dict[str, str]:
                                  {R.NEW_USER_COUNT}))
             FROM (SELECT CAST(unnest(range({len(R.NEW_USER_ITEMS)})) AS BIGINT) AS item) i
             LEFT JOIN alias a ON i.item = a.bad_id"""),
+        "global_kfold": with_ctes(rc, f"""
+            SELECT *, CAST(index % {R.FOLDS} AS INTEGER) AS fold FROM (
+              SELECT "user", item, rating, row_key,
+                     ROW_NUMBER() OVER (ORDER BY row_key, "user", item, rating) - 1 AS index FROM train)"""),
+        "ground_truth_bitmaps": with_ctes(rc + BITS, """
+            SELECT "user", bucket, CAST(SUM(bit_count(byte)) AS BIGINT) AS n_items,
+                   sha256(unhex(string_agg(printf('%02x', byte), '' ORDER BY place))) AS bits
+            FROM (
+              SELECT u."user", u.bucket, r.place, CAST(SUM(coalesce(1 << bit, 0)) AS INTEGER) AS byte
+              FROM (SELECT DISTINCT "user", bucket FROM bits) u
+              CROSS JOIN (SELECT unnest(range(4096)) AS place) r
+              LEFT JOIN bits s ON s."user" = u."user" AND s.bucket = u.bucket AND s.place = r.place
+              GROUP BY u."user", u.bucket, r.place)
+            GROUP BY "user", bucket"""),
+        "popularity_labels_by_bitmap": with_ctes(rc, 'SELECT "user", item, score, label FROM pal'),
         # ---- text
+        "sentence_parameters": with_ctes(sentence_ctes(), """
+            SELECT 'abbr' AS kind, word AS w, CAST(NULL AS VARCHAR) AS w2 FROM abbr
+            UNION ALL SELECT 'starter', word, NULL FROM starter
+            UNION ALL SELECT 'pair', word, next_word FROM pair"""),
+        "doc_sentences": with_ctes(sentence_ctes(), """
+            SELECT doc_id, sentence, MIN(pos) AS first_pos, CAST(COUNT(*) AS INTEGER) AS n_pieces,
+                   string_agg(x, ' ' ORDER BY pos) AS text
+            FROM numbered GROUP BY doc_id, sentence"""),
         "doc_tokens": with_ctes(tc, "SELECT doc_id, pos, token FROM tokens"),
         "lemma_tokens": with_ctes(tc, "SELECT doc_id, pos, token, lemma FROM ltok"),
         "tokens_without_stopwords": with_ctes(tc, "SELECT doc_id, pos, term FROM kept"),

@@ -7,6 +7,7 @@ Parameters default to the reference's, except ``MIN_ITEMS`` (see below).
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,6 +19,7 @@ from ..operators.metrics import confusion, exact_auc, mean_over_folds
 from ..operators.ranking import top_n_per_group
 from ..operators.relational import (distinct_pairs, distinct_per_key, lookup_with_default,
                                     resolve_aliases, semi_join, union_rows)
+from ..operators.sampling import global_kfold as global_fold
 from ..operators.sampling import kfold_partitions, per_user_split
 from ..operators.report import append_rows
 from ..session import shared_path
@@ -130,6 +132,13 @@ def qualified_ratings(ratings: DataFrame, min_items: int = MIN_ITEMS) -> DataFra
     return semi_join(ratings, qualified_users(ratings, min_items).select("user"), "user")
 
 
+def stored_qualified_users(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """The qualified users ``(user)``, written once per application."""
+    least = min_items(data_dir, p)
+    return store.stored(spark, "qualified_users", (data_dir, least), lambda: qualified_users(
+        ratings_canonical(spark, data_dir), least).select("user"))
+
+
 def split_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """W1 + W2: qualified ratings tagged ``split``, training rows with their
     ``fold``, written once per application (train and test sides and the folds
@@ -138,13 +147,9 @@ def split_table(spark: SparkSession, data_dir: Source, p: Params = Params()) ->
     The qualified-user set (one row per user) is stored first, so the split
     pass reads it instead of re-aggregating all ratings.
     """
-    least = min_items(data_dir, p)
-
     def build() -> DataFrame:
-        ratings = ratings_canonical(spark, data_dir)
-        users = store.stored(spark, "qualified_users", (data_dir, least),
-                             lambda: qualified_users(ratings, least).select("user"))
-        return per_user_split(semi_join(ratings, users, "user"), p.train_fraction, folds=p.folds)
+        users = stored_qualified_users(spark, data_dir, p)
+        return per_user_split(semi_join(ratings_canonical(spark, data_dir), users, "user"), p.train_fraction, folds=p.folds)
     return store.stored(spark, "split", (data_dir, p), build)
 
 
@@ -192,6 +197,27 @@ def kfold_assignment(spark: SparkSession, data_dir: Source, p: Params = Params()
     return split_table(spark, data_dir, p).where(F.col("split") == "train").drop("split")
 
 
+def global_kfold(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """W2 + W4: the training rows with a consecutive ``index`` in the order of
+    their row key, and ``fold = index mod k``."""
+    train, _ = train_test(spark, data_dir, p)
+    return global_fold(train, p.folds)
+
+
+def ground_truth_bitmaps(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """The test rows' items per user as bitmaps ``(user, bucket, n_items, bits)``."""
+    _, test = train_test(spark, data_dir, p)
+    return rec.item_bitmaps(test)
+
+
+def popularity_labels_by_bitmap(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
+    """J3 + J4: :func:`popularity_predictions_labels` with labels from bit tests."""
+    train, test = train_test(spark, data_dir, p)
+    top = rec.top_items(rec.item_popularity(train), p.top_n)
+    scored = rec.score_list_for_users(test.select("user").distinct(), top)
+    return rec.label_by_bitmap(scored, rec.item_bitmaps(test))
+
+
 def kfold_table(spark: SparkSession, data_dir: Source, p: Params = Params()) -> DataFrame:
     """``(user, item, rating, row_key, fold, fold_id, role)``."""
     return kfold_partitions(kfold_assignment(spark, data_dir, p), p.folds)
@@ -290,24 +316,47 @@ def evaluation_log(spark: SparkSession) -> str:
     return shared_path(spark, "cv-results", unique=False)
 
 
+def run_key(spark: SparkSession, data_dir: Source, p: Params = Params()) -> str:
+    """What a fold's evaluation depends on besides its own parameters."""
+    text = f"{data_dir}|{store.fingerprint(spark, data_dir)}|{min_items(data_dir, p)}|{p}|{ITERATIONS}"
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def logged_evaluations(spark: SparkSession, log: str, run: str) -> dict[tuple, float | None]:
+    """``(rank, reg, alpha, fold)`` to AUC of the evaluations a log holds for a run."""
+    if not store.exists(spark, log):
+        return {}
+    rows = spark.read.parquet(log)
+    if "run" not in rows.columns:
+        return {}
+    return {(r["rank"], r["reg"], r["alpha"], r["fold"]): r["auc"] for r in rows.where(F.col("run") == run).collect()}
+
+
 def grid_search_cv(spark: SparkSession, data_dir: Source, p: Params = Params(),
                    ranks=RANKS, regs=REGS, alphas=ALPHAS, parallelism: int = 8,
                    log_path: str | None = None) -> DataFrame:
     """R4 + K9: ``(rank, reg, alpha, fold, auc)`` for the whole grid, run once
     per application and parameters.  Each evaluation is appended with its
-    source and time to the log table at ``log_path`` (default:
+    source, run key and time to the log table at ``log_path`` (default:
     :func:`evaluation_log`) as it finishes; the rows are stored.
 
+    A grid that was cut off goes on where it stopped, in this application or
+    another: evaluations of the same source (its files and their times), split
+    and solver parameters that the log holds already are taken from it.
+
     ``parallelism`` fits run as concurrent jobs: small fits leave cores idle
     between their many short stages (sf0.01: 56 s with 4, 35 s with 8); when
     one fit fills the cluster, concurrency gains nothing and 1-2 is enough."""
     def build() -> DataFrame:
         log = log_path or evaluation_log(spark)
+        run = run_key(spark, data_dir, p)
+        done = logged_evaluations(spark, log, run)
         return rec.grid_search(kfold_assignment(spark, data_dir, p), ranks, regs, alphas,
                                p.folds, p.top_n, ITERATIONS, parallelism, p.als_blocks,
                                on_result=lambda row: append_rows(
                                    row.withColumn("source", F.lit(str(data_dir)))
-                                   .withColumn("logged_at", F.current_timestamp()), log))
+                                   .withColumn("run", F.lit(run))
+                                   .withColumn("logged_at", F.current_timestamp()), log), done=done)
     return store.stored(spark, "grid",
                         (data_dir, p, tuple(ranks), tuple(regs), tuple(alphas)), build)
 
@@ -336,7 +385,7 @@ def als_model(spark: SparkSession, data_dir: Source, rank: int | None = None,
         train, _ = train_test(spark, data_dir, p)
         return rec.train_als(train, rank, reg, alpha, ITERATIONS, blocks=p.als_blocks)
     return store.once(_MODELS, ("als", spark.sparkContext.applicationId, data_dir, rank, reg,
-                                alpha, p), make)
+                                alpha, p, store.fingerprint(spark, data_dir)), make)
 
 
 def als_top_n(spark: SparkSession, data_dir: Source, p: Params = Params(), **kw) -> DataFrame:

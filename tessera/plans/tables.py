@@ -117,12 +117,14 @@ def dataset_counts(spark: SparkSession, d: str) -> DataFrame:
         count_of("ratings", ratings),
         count_of("alias_rows", R.aliases(spark, d)),
         count_of("distinct_user_items", ratings.select("user", "item").distinct()),
-        count_of("qualified_users", R.qualified_users(ratings)),
+        count_of("qualified_users", R.stored_qualified_users(spark, d)),
         count_of("train_rows", split.where(F.col("split") == "train")),
         count_of("test_rows", split.where(F.col("split") == "test")),
         count_of("documents", docs),
         count_of("stopwords", D.stopwords(spark, d)),
-        count_of("tokens", D.tokens(spark, d)),
+        # the stored bag of words has every token's count
+        D.raw_counts(spark, d).agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("value")).select(
+            F.lit("tokens").alias("metric"), "value"),
     ]
     out = parts[0]
     for p in parts[1:]:

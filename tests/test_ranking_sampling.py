@@ -122,3 +122,19 @@ def test_folds_of_the_split_are_those_of_its_training_rows(spark, hot_rows):
     alone = kfold_assign(both.drop("fold"), 5)
     assert sorted(both.collect()) == sorted(alone.collect())
     assert split.where("split = 'test' AND fold IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [7, 2_000_000])
+def test_global_index_is_consecutive_over_a_hot_user(spark, hot_rows):
+    import hashlib
+
+    from tessera.operators.sampling import global_kfold
+
+    rows = [(1 if i % 3 else i, i % 11, float(i % 4), hashlib.md5(str(i // 2).encode()).hexdigest()) for i in range(300)]
+    table = spark.createDataFrame(rows, "user long, item long, rating double, row_key string").repartition(7)
+    got = global_kfold(table, 5, hot_rows=hot_rows).collect()
+    want = sorted(rows, key=lambda r: (r[3], r[0], r[1], r[2]))
+    assert [(r.user, r["item"], r.rating, r.row_key) for r in sorted(got, key=lambda r: r["index"])] == want
+    assert [r["index"] for r in sorted(got, key=lambda r: r["index"])] == list(range(300))
+    assert all(r.fold == r["index"] % 5 for r in got)
+    assert global_kfold(table.limit(0), 5).count() == 0

@@ -153,3 +153,47 @@ def test_new_user_folded_in_named_list(spark):
     own = {r["item"] for r in R.new_user_rows(spark, SF0001).collect()}
     retrained = {r["item"] for r in R.new_user_top_n(spark, SF0001, rank=5, reg=0.1, alpha=1.0).collect()}
     assert len({r["item"] for r in top} & (retrained | own)) >= 5
+
+
+def test_a_grid_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    from tessera.plans import store
+
+    log, fitted, fit = str(tmp_path / "log"), [], rec.train_als
+
+    def stopping(train, rank, reg, alpha, *more, **kw):
+        if len(fitted) == 2 and stop:
+            raise RuntimeError("stopped")
+        fitted.append((rank, reg))
+        return fit(train, rank, reg, alpha, *more, **kw)
+
+    monkeypatch.setattr(rec, "train_als", stopping)
+    p, args = R.Params(folds=2, top_n=10), ((2,), (0.1, 1.0))
+    stop = True
+    try:
+        R.grid_search_cv(spark, SF0001, p, *args, parallelism=1, log_path=log)
+        raise AssertionError("did not stop")
+    except RuntimeError:
+        pass
+    assert spark.read.parquet(log).count() == 2
+    stop = False
+    rows = R.grid_search_cv(spark, SF0001, p, *args, parallelism=1, log_path=log).collect()
+    assert len(fitted) == 4 and len(rows) == 4 and spark.read.parquet(log).count() == 4
+    assert {(r.reg, r.fold) for r in rows} == {(0.1, 0), (0.1, 1), (1.0, 0), (1.0, 1)}
+    # other parameters of the run are another run
+    assert R.logged_evaluations(spark, log, R.run_key(spark, SF0001, p))
+    assert not R.logged_evaluations(spark, log, R.run_key(spark, SF0001, R.Params(folds=2, top_n=11)))
+    store.release(spark, "grid")
+    assert R.grid_search_cv(spark, SF0001, p, *args, log_path=log).count() == 4 and len(fitted) == 4
+
+
+def test_bitmaps_label_like_the_join(spark):
+    truth = spark.createDataFrame([(1, i) for i in (-70000, -1, 0, 1, 8, 9, 32768, 32769, 10**9)] * 2 + [(2, 5), (2, None), (3, None)],
+                                  "user long, item long")
+    scored = spark.createDataFrame(
+        [(u, i + d, 0.5) for u in (1, 2, 4) for i in (-70000, -1, 0, 1, 5, 8, 32768, 10**9) for d in (-1, 0, 1)],
+        "user long, item long, score double").distinct()
+    bits = rec.item_bitmaps(truth)
+    assert {(r.user, r.n_items) for r in bits.groupBy("user").agg(F.sum("n_items").alias("n_items")).collect()} == {(1, 9), (2, 1)}
+    want = {(r.user, r["item"]): r.label for r in rec.label_by_membership(scored, truth).collect()}
+    got = {(r.user, r["item"]): r.label for r in rec.label_by_bitmap(scored, bits).collect()}
+    assert got == want and 0 < sum(want.values()) < len(want)

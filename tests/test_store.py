@@ -39,3 +39,45 @@ def test_concurrent_callers_build_once(spark):
         counts = list(pool.map(lambda _: store.stored(spark, "unit-threads", ("k",), build).count(),
                                range(4)))
     assert counts == [3, 3, 3, 3] and len(calls) == 1
+
+
+def _files(spark):
+    from tessera.session import shared_root
+
+    at, fs = store._path(spark, f"{shared_root(spark)}/tessera/tables")
+    return {f.getPath().getName() for f in fs.listStatus(at)} if fs.exists(at) else set()
+
+
+def test_a_rewritten_folder_gives_fresh_results(spark, tmp_path):
+    folder = str(tmp_path / "data")
+
+    def doubled():
+        return store.stored(spark, "unit-fresh", (folder,), lambda: spark.read.parquet(f"{folder}/t").selectExpr("x * 2 AS x"))
+
+    spark.createDataFrame([(1,), (2,)], "x int").write.parquet(f"{folder}/t")
+    assert sorted(r.x for r in doubled().collect()) == [2, 4]
+    first = {f for f in _files(spark) if f.startswith("unit-fresh")}
+    spark.createDataFrame([(5,)], "x int").write.mode("overwrite").parquet(f"{folder}/t")
+    assert [r.x for r in doubled().collect()] == [10]
+    now = {f for f in _files(spark) if f.startswith("unit-fresh")}
+    assert len(first) == len(now) == 1 and first != now  # the old table is gone
+
+
+def test_scopes_remove_what_was_made_in_them(spark):
+    def table(name):
+        return store.stored(spark, name, ("k",), lambda: spark.range(3).selectExpr("id AS x"))
+
+    table("unit-outside")
+    with store.scope(spark):
+        table("unit-outside")
+        table("unit-outer")
+        with store.scope(spark):
+            table("unit-outer")
+            assert table("unit-inner").count() == 3
+        names = {f.rsplit("-", 1)[0] for f in _files(spark)}
+        assert "unit-outer" in names and "unit-inner" not in names
+    names = {f.rsplit("-", 1)[0] for f in _files(spark)}
+    assert "unit-outside" in names and not names & {"unit-outer", "unit-inner"}
+    assert table("unit-inner").count() == 3  # built again
+    assert store.release(spark, "unit-inner") == 1 and store.release(spark, "unit-inner") == 0
+    assert "unit-inner" not in {f.rsplit("-", 1)[0] for f in _files(spark)}
