@@ -45,6 +45,7 @@ from pyspark.sql.types import (
 )
 
 from ..session import shared_path
+from . import textbatch as tb
 from .shipping import ship
 
 PARTS = 8
@@ -121,18 +122,23 @@ class Nearest:
 
     def _possible(self, cells: np.ndarray) -> list[int]:
         """Bit masks of the entries that no other dominates in each cell."""
-        low = (cells * self.cell)[:, None, :]
-        high = low + (self.cell - 1)
-        e = self.entries[None, :, :]
-        near = np.maximum(np.maximum(low - e, e - high), 0)
-        far = np.maximum(np.maximum(e - low, high - e), 0)
-        least, most = (near * near).sum(2), (far * far).sum(2)
-        open_ = least <= most.min(1)[:, None]
-        return [sum(1 << k for k in np.flatnonzero(row).tolist()) for row in open_]
+        least = np.zeros((len(self.entries), len(cells)), self.kind)
+        most = least.copy()
+        for d in range(cells.shape[1]):
+            low = (cells[:, d] * self.cell)[None, :]
+            high = low + (self.cell - 1)
+            e = self.entries[:, d:d + 1]
+            near = np.maximum(np.maximum(low - e, e - high), 0)
+            far = np.maximum(e - low, high - e)
+            least += near * near
+            most += far * far
+        open_ = (least <= most.min(0)).astype(np.int64)
+        return (open_ << np.arange(len(open_))[:, None]).sum(0).tolist()
 
     def masks(self, x: np.ndarray) -> np.ndarray:
         """Which entries to evaluate for each row, as bits."""
         cells = x // self.cell
+        other = np.zeros(len(x), bool)
         if self.kind is object:
             keys = [tuple(c) for c in cells.tolist()]
             first = dict(zip(reversed(keys), range(len(keys) - 1, -1, -1), strict=True))
@@ -140,16 +146,21 @@ class Nearest:
             number = {k: i for i, k in enumerate(names)}
             member = np.array([number[k] for k in keys], np.int64)
         else:
-            whole = np.ascontiguousarray(cells).view(np.dtype((np.void, 8 * cells.shape[1]))).ravel()
-            kinds, one, member = np.unique(whole, return_index=True, return_inverse=True)
-            names = [k.tobytes() for k in kinds]
+            mixed = np.zeros(len(cells), np.uint64)
+            for d in range(cells.shape[1]):
+                mixed = tb.mix(mixed + cells[:, d].astype(np.uint64))
+            _, one, member = np.unique(mixed, return_index=True, return_inverse=True)
+            other = (cells != cells[one][member]).any(1)  # a cell with another's hash: all its entries are evaluated
+            names = [c.tobytes() for c in cells[one]]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = [i for i, k in enumerate(names) if k not in self.known]
         for part in np.array_split(new, len(new) // 1024 + 1):
             if len(part):
                 self.known.update(zip([names[i] for i in part.tolist()], self._possible(cells[one[part]]), strict=True))
-        return np.array([self.known[k] for k in names], np.int64)[member]
+        mask = np.array([self.known[k] for k in names], np.int64)[member]
+        mask[other] = (1 << len(self.entries)) - 1
+        return mask
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each row's entry (ties to the lower one) and squared distance."""
@@ -159,11 +170,14 @@ class Nearest:
             return code, np.zeros(n, self.kind)
         mask = self.masks(x)
         best = np.full(n, -1, self.kind)
+        columns = np.ascontiguousarray(x.T)
         for k, entry in enumerate(self.entries):
             rows = np.flatnonzero(mask >> k & 1)
             self.evaluated += len(rows)
-            away = x[rows] - entry
-            d = (away * away).sum(1)
+            d = np.zeros(len(rows), self.kind)
+            for column, value in zip(columns, entry, strict=True):
+                away = column[rows] - value
+                d += away * away
             better = (best[rows] < 0) | (d < best[rows])
             best[rows[better]] = d[better]
             code[rows[better]] = k
