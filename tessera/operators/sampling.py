@@ -1,11 +1,12 @@
-"""Sampling, per-user train/test split and k-fold assignment."""
+"""Sampling, per-user train/test split, k-fold assignment, global row index (P14,
+W1-W4, P9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_sample_predicate
+from ..functions.keys import hash_sample_predicate, hex_prefix_fraction
 from .ranking import HOT_GROUP_ROWS, rank_within_groups
 
 
@@ -74,14 +75,18 @@ def global_index(rows: DataFrame, *, key_col: str = "row_key", tie_cols: tuple[s
     """Consecutive numbers from 0 over all rows, in the order of ``key_col``
     (a hash of the whole row) and ``tie_cols``.
 
-    All rows are one group of :func:`~.ranking.rank_within_groups`: ranges of
-    the hash are counted and numbered by themselves, offsets are a running sum
-    over the ranges.  One lazy plan; a hot user or item makes no range larger.
+    Ranges of the hash of about ``hot_rows`` rows are counted and numbered by
+    themselves, offsets are a running sum over the ranges' counts.  One lazy
+    plan; a hot user or item makes no range larger.
     """
-    one = rows.withColumn("_all", F.lit(0))
-    ranked = rank_within_groups(one, ["_all"], [key_col, *tie_cols], hash_col=key_col,
-                                rank_col="_rn", size_col="_cnt", hot_rows=hot_rows)
-    return ranked.withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn", "_cnt", "_all")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    ranges = F.greatest(F.lit(1), F.ceil(total / F.lit(hot_rows)))
+    x = rows.withColumn("_range", F.floor(hex_prefix_fraction(key_col) * ranges).cast("bigint"))
+    counts = x.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key_col, *tie_cols))
+    return x.join(offsets, "_range").withColumn(out, (F.col("_off") + inside - 1).cast("bigint")).drop("_range", "_off")
 
 
 def global_kfold(rows: DataFrame, k: int = 5, **order) -> DataFrame:
