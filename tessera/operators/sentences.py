@@ -34,11 +34,48 @@ COLLOCATION = 7.88
 STARTER = 30.0
 # Closing quotes and brackets after the mark that ends a sentence.
 CLOSERS = r"[\"')\]}»”’]+$"
+#: A piece that may end a sentence; all of ``kind`` 1 and 2 are among them.
+MAY_END = r"[.!?][\"')\]}»”’]*$"
 UPPER = r"^[^\p{L}]*\p{Lu}"
 LEAST_PAIRS = 2
 _TINY = 1e-12
 
 
+def _cut(text_col: str) -> Column:
+    """The white-space-delimited pieces of a text."""
+    return F.array_remove(F.split(F.col(text_col), f"{WHITESPACE}+"), "")
+
+
+def _with_next(p: Column) -> Column:
+    """``array<struct<x, nx>>``: every piece and the one after it."""
+    return F.arrays_zip(p.alias("x"), F.slice(p, F.lit(2), F.size(p)).alias("nx"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, pos, x, nx)``: every piece as it stands and the one after it."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), _cut(text_col).alias("p"))
+    return rows.select("doc_id", F.posexplode(_with_next(F.col("p"))).alias("pos", "s")).select("doc_id", "pos", "s.x", "s.nx")
+
+
+def _core(x: Column) -> Column:
+    return F.regexp_replace(x, CLOSERS, "")
+
+
+def _kind(x: Column) -> Column:
+    core = _core(x)
+    return F.when(core.rlike(r"[!?]$"), 2).when(core.endswith("."), 1).otherwise(0)
+
+
+def _word(x: Column) -> Column:
+    return strip_outer_punct(F.lower(_core(x)))
+
+
+def _described(rows: DataFrame) -> DataFrame:
+    x, nx = F.col("x"), F.col("nx")
+    return rows.select("doc_id", "pos", _kind(x).alias("kind"), _word(x).alias("word"), x.rlike(UPPER).alias("upper"),
+                       _word(nx).alias("next_word"), nx.rlike(UPPER).alias("next_upper"), nx.isNull().alias("last"))
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, pos, kind, word, upper, next_word, next_upper, last)``: every
     white-space-delimited piece and what follows it.
@@ -46,20 +83,31 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ``kind`` is 2 if it ends in ``!`` or ``?``, 1 in a full stop, else 0, closing
     quotes aside; ``word`` is lower-case, without outer punctuation.
     """
-    cut = F.filter(F.split(F.col(text_col), f"{WHITESPACE}+"), lambda x: x != "")
+    return _described(_placed(docs, id_col, text_col))
+
+
+def tally(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(kind, word, next_word, stopped, n)``: how often each word stands in the
+    texts with each mark, and before which word if it has one (``stopped``).
+
+    Occurrences are counted as they stand, map-side combined; only distinct
+    pieces, and distinct pairs around a mark, are described.
+    """
+    rows = docs.select(_cut(text_col).alias("p")).select(F.inline(_with_next(F.col("p"))).alias("x", "nx"))
+    nx = F.when(F.col("x").rlike(MAY_END), F.col("nx"))
+    counted = rows.select("x", nx.alias("nx")).groupBy("x", "nx").agg(F.count(F.lit(1)).alias("n"))
+    x, nx = F.col("x"), F.col("nx")
+    known = counted.select(_kind(x).alias("kind"), _word(x).alias("word"), "nx", "n")
+    stopped = (F.col("kind") > 0) & nx.isNotNull()
+    known = known.select("kind", "word", F.when(stopped, _word(nx)).alias("next_word"), stopped.alias("stopped"), "n")
+    return known.groupBy("kind", "word", "next_word", "stopped").agg(F.sum("n").alias("n"))
 
-    def described(x: Column) -> Column:
-        core = F.regexp_replace(x, CLOSERS, "")
-        kind = F.when(core.rlike(r"[!?]$"), 2).when(core.endswith("."), 1).otherwise(0)
-        return F.struct(kind.alias("kind"), strip_outer_punct(F.lower(core)).alias("word"), x.rlike(UPPER).alias("upper"))
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.transform(cut, described).alias("p"))
-    after = F.concat(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))), F.array(F.lit(None).cast(
-        "struct<kind:int,word:string,upper:boolean>")))
-    both = F.zip_with("p", after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return rows.where(F.size("p") > 0).select("doc_id", F.posexplode(both).alias("pos", "x")).select(
-        "doc_id", "pos", "x.a.kind", "x.a.word", "x.a.upper", F.col("x.b.word").alias("next_word"),
-        F.col("x.b.upper").alias("next_upper"), F.col("x.b").isNull().alias("last"))
+def tally_of_pieces(rows: DataFrame) -> DataFrame:
+    """:func:`tally` of :func:`pieces`."""
+    stopped = (F.col("kind") > 0) & ~F.col("last")
+    return rows.select("kind", "word", F.when(stopped, F.col("next_word")).alias("next_word"), stopped.alias("stopped")) \
+        .groupBy("kind", "word", "next_word", "stopped").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _log(x: Column) -> Column:
@@ -96,29 +144,35 @@ def is_bare(w: Column) -> Column:
 
 
 def parameters(rows: DataFrame) -> DataFrame:
-    """``(kind, w, w2)`` from the pieces: ``abbr`` and ``starter`` words, ``pair`` collocations."""
-    counts = rows.where("word <> ''").groupBy("word").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum((F.col("kind") == 1).cast("double")).alias("k"))
-    total = rows.where("word <> ''").agg(F.count(F.lit(1)).cast("double").alias("pieces"),
-                                         F.sum((F.col("kind") == 1).cast("double")).alias("stops"))
+    """:func:`found` from the pieces."""
+    return found(tally_of_pieces(rows))
+
+
+def found(seen: DataFrame) -> DataFrame:
+    """``(kind, w, w2)`` from a :func:`tally`: ``abbr`` and ``starter`` words, ``pair``
+    collocations.  The tally is read several times: a written table."""
+    words = seen.where("word <> ''")
+    occurrences, stops_ = F.sum("n").cast("double"), F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0)).cast("double")
+    counts = words.groupBy("word").agg(occurrences.alias("n"), stops_.alias("k"))
+    total = words.agg(occurrences.alias("pieces"), stops_.alias("stops"))
     n = total.agg(F.max("pieces")).scalar()
     stops = total.agg(F.max("stops")).scalar()
     abbr = counts.where((F.col("k") > 0) & has_letter(F.col("word")) & ~is_bare(F.col("word"))).where(
         abbreviation_score(F.col("n"), F.col("k"), F.col("word"), n, stops) >= ABBREVIATION).select("word")
 
-    stopped = rows.where("kind > 0 AND NOT last")
+    stopped = seen.where("stopped")
     known = stopped.join(abbr.withColumn("abbr", F.lit(True)), "word", "left").withColumn(
         "weak", (F.col("kind") == 1) & (F.coalesce("abbr", F.lit(False)) | is_bare(F.col("word"))))
     # words after a sure end
     sure = known.where("NOT weak")
-    ends = sure.agg(F.count(F.lit(1)).cast("double")).scalar()
+    ends = sure.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double")).scalar()
     after = sure.where(has_letter(F.col("next_word"))).groupBy(F.col("next_word").alias("word")).agg(
-        F.count(F.lit(1)).cast("double").alias("ab")).join(counts, "word")
+        F.sum("n").cast("double").alias("ab")).join(counts, "word")
     starter = after.where((F.col("ab") * n > F.col("n") * ends)
                           & (pair_score(ends, F.col("n"), F.col("ab"), n) >= STARTER)).select("word")
     # words after the stop of an abbreviation, a number or an initial
     pairs = known.where(F.col("weak") & has_letter(F.col("next_word"))).groupBy("word", "next_word").agg(
-        F.count(F.lit(1)).cast("double").alias("ab")).where(F.col("ab") >= LEAST_PAIRS)
+        F.sum("n").cast("double").alias("ab")).where(F.col("ab") >= LEAST_PAIRS)
     pairs = (pairs.join(counts.select("word", F.col("n").alias("a")), "word")
              .join(counts.select(F.col("word").alias("next_word"), F.col("n").alias("b")), "next_word"))
     pair = pairs.where((F.col("ab") * n > F.col("a") * F.col("b"))
@@ -150,14 +204,14 @@ def boundaries(rows: DataFrame, params: DataFrame) -> DataFrame:
 def sentences(docs: DataFrame, params: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, sentence, first_pos, n_pieces, text)``, numbered from 0;
     ``text`` has single blanks between the pieces."""
-    found = boundaries(pieces(docs, id_col, text_col), params).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list("pos")).alias("ends"))
-    cut = F.filter(F.split(F.col(text_col), f"{WHITESPACE}+"), lambda x: x != "")
-    whole = docs.select(F.col(id_col).alias("doc_id"), cut.alias("p")).where(F.size("p") > 0).join(found, "doc_id", "left")
-    none = F.array().cast("array<int>")
-    stops = F.concat(F.coalesce("ends", none), F.array(F.size("p") - 1))
-    starts = F.concat(F.array(F.lit(0)), F.transform(F.coalesce("ends", none), lambda e: e + 1))
+    ends = _placed(docs, id_col, text_col).where(F.col("x").rlike(MAY_END) & F.col("nx").isNotNull())
+    at = boundaries(_described(ends), params).groupBy("doc_id").agg(F.array_sort(F.collect_list("pos")).alias("ends"))
+    # texts are cut after the join: it takes them, not their pieces
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).join(at, "doc_id", "left").select(
+        "doc_id", _cut("_text").alias("p"), F.coalesce("ends", F.array().cast("array<int>")).alias("ends"))
+    stops = F.concat("ends", F.array(F.size("p") - 1))
+    starts = F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e + 1))
     spans = F.arrays_zip(starts.alias("first"), stops.alias("stop"))
-    rows = whole.select("doc_id", "p", F.posexplode(spans).alias("sentence", "s"))
+    rows = whole.select("doc_id", "p", F.posexplode(spans).alias("sentence", "s")).where(F.col("s.stop") >= 0)
     return rows.select("doc_id", "sentence", F.col("s.first").alias("first_pos"), (F.col("s.stop") - F.col("s.first") + 1).alias("n_pieces"),
                        F.array_join(F.slice("p", F.col("s.first") + 1, F.col("s.stop") - F.col("s.first") + 1), " ").alias("text"))

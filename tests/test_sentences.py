@@ -71,3 +71,25 @@ def test_odd_texts(spark):
     assert sum(len(g[2].split()) for g in got if g[0] == 8) == 20_002
     assert S.sentences(table.limit(0), params).count() == 0
     assert S.parameters(S.pieces(table.limit(0))).count() == 0
+
+
+def test_tally_cuts_texts_once(spark):
+    """The statistics come from one pass over the texts, and equal those of the pieces."""
+    texts = [t for _, t in planted(3, 60)[0]] + ['He said "no!" Then (e.g.) b. End.', "a.\u2028 b!\u2028 c", "x", "", None, "... A. ?"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = S.tally(table)
+    of_pieces = S.tally_of_pieces(S.pieces(table)).collect()
+    assert sorted(map(str, seen.collect())) == sorted(map(str, of_pieces)) and len(of_pieces) > 100
+    assert seen._jdf.queryExecution().executedPlan().toString().count("Generate ") <= 2  # initial and current plan
+    kept = spark.createDataFrame(seen.collect(), seen.schema)
+    assert sorted(map(str, S.found(kept).collect())) == sorted(map(str, S.parameters(S.pieces(table)).collect()))
+
+
+def test_parameters_read_a_written_tally(spark, tmp_path):
+    from tessera.plans import documents as D, store
+
+    spark.createDataFrame([(i, t, "en", "s") for i, t in planted(4, 80)[0]], "doc_id long, text string, lang string, source string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    got = D.sentence_parameters(spark, str(tmp_path))
+    assert any(k[2] == "sentence_tally" and str(tmp_path) in k for k in store._TABLES)
+    assert ("abbr", "dr") in {(r.kind, r.w) for r in got.collect()}
