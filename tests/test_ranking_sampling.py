@@ -138,3 +138,22 @@ def test_global_index_is_consecutive_over_a_hot_user(spark, hot_rows):
     assert [r["index"] for r in sorted(got, key=lambda r: r["index"])] == list(range(300))
     assert all(r.fold == r["index"] % 5 for r in got)
     assert global_kfold(table.limit(0), 5).count() == 0
+
+
+def test_rank_shuffles_rows_once(spark):
+    """Hot groups and their offsets are sent whole (they are few): no sort-merge join."""
+    from tessera.operators.ranking import rank_within_groups
+
+    rows = spark.range(400).selectExpr("id % 7 AS g", "md5(string(id)) AS h", "id AS v")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = rank_within_groups(rows, ["g"], ["h", "v"], hash_col="h", hot_rows=40)
+        assert "SortMergeJoin" not in ranked._jdf.queryExecution().executedPlan().toString()
+        got = {(r.g, r.v): (r.rn, r.n) for r in ranked.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    by_group = {}
+    for r in rows.collect():
+        by_group.setdefault(r.g, []).append((r.h, r.v))
+    assert got == {(g, v): (i, len(own)) for g, own in by_group.items() for i, (_, v) in enumerate(sorted(own), 1)}
