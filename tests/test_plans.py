@@ -33,3 +33,9 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
     plan = TB.hash_sample_plays(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double>" in plan
+
+
+def test_lemma_tokens_are_not_shuffled_by_term(spark):
+    """The changed lemmas are a written table of known size, joined where the tokens lie."""
+    plan = queries()["lemma_tokens"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
