@@ -197,3 +197,34 @@ def test_bitmaps_label_like_the_join(spark):
     want = {(r.user, r["item"]): r.label for r in rec.label_by_membership(scored, truth).collect()}
     got = {(r.user, r["item"]): r.label for r in rec.label_by_bitmap(scored, bits).collect()}
     assert got == want and 0 < sum(want.values()) < len(want)
+
+
+def test_a_written_model_keeps_its_items_together(spark):
+    from pyspark.ml.recommendation import ALS
+
+    rows = spark.createDataFrame([(u, i, float(1 + (u * i) % 7)) for u in range(40) for i in range(60) if (u + i) % 3],
+                                 "user long, item long, rating double")
+    plain = ALS(rank=4, maxIter=3, regParam=0.1, alpha=1.0, implicitPrefs=True, userCol="user", itemCol="item",
+                ratingCol="rating", seed=rec.ALS_SEED, coldStartStrategy="drop").fit(rec.als_input(rows))
+    model = rec.train_als(rows, 4, 0.1, 1.0, 3)
+    # one block of items: a user's n best are shuffled once, not once for each of the solver's blocks
+    assert plain.itemFactors.rdd.getNumPartitions() == rec.ALS_BLOCKS and model.itemFactors.rdd.getNumPartitions() == 1
+    for a, b in ((plain.itemFactors, model.itemFactors), (plain.userFactors, model.userFactors)):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    users = rows.select("user").distinct()
+    want = {(r.user, tuple(x.rating for x in r.recommendations)) for r in plain.recommendForUserSubset(users, 8).collect()}
+    got = {}
+    for r in sorted(rec.recommend_top_n(model, users, 8).collect(), key=lambda r: (r.user, r["rank"])):
+        got.setdefault(r.user, []).append(r.score)
+    assert {(u, tuple(s)) for u, s in got.items()} == want
+
+
+def test_a_grid_leaves_no_model_behind(spark, monkeypatch):
+    from tessera.plans import store
+
+    made, write = [], rec.written_model
+    monkeypatch.setattr(rec, "written_model", lambda model: made.append(write(model)) or made[-1])
+    rows = spark.createDataFrame([(u, i, 1.0, (u + i) % 2) for u in range(30) for i in range(20) if (u * i) % 3],
+                                 "user long, item long, rating double, fold int")
+    assert rec.grid_search(rows, (2,), (0.1,), k=2, n=5, parallelism=2).count() == 2
+    assert len(made) == 2 and not any(store.exists(spark, m.written_to) for m in made)
