@@ -89,3 +89,47 @@ def test_one_pass_token_rule_equals_strip_then_check(spark):
     two_step = F.when(is_word(strip_outer_punct("piece")), strip_outer_punct("piece")).otherwise(F.lit(""))
     rows = df.select("piece", word_of("piece").alias("one"), two_step.alias("two")).collect()
     assert all(r.one == r.two for r in rows), [(r.piece, r.one, r.two) for r in rows if r.one != r.two]
+
+
+def _bag_folder(spark, tmp_path):
+    rows = [(1, "Dogs dog DOGS cat", "en", "web"), (1, "dogs bird", "de", "web"), (2, "bird", "de", "web"),
+            (2, None, "en", "web"), (3, "", "en", "web"), (4, "boxes box", None, "web"), (5, "men man", "en", None),
+            (6, "dogs", "de", "web"), (6, "dogs", "de", "web"), (7, "cats cat dogs boxes", "en", "web"), (None, "cat", "en", "web")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_rows_are_counted_where_they_lie(spark):
+    docs = spark.createDataFrame([(1, "aaa bbb aaa's ccc aaa"), (2, ""), (3, None), (4, "... 12 no"), (5, "ddd")],
+                                 "doc_id long, text string").coalesce(1)
+    counts = T.counts_by_row(docs.repartition(64))
+    assert {tuple(r) for r in counts.collect()} == {(1, "aaa", 3), (1, "bbb", 1), (1, "ccc", 1), (5, "ddd", 1)}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Aggregate" not in plan
+
+
+def test_bag_of_words_merges_repeated_ids(spark, tmp_path):
+    from tessera.plans import documents as D
+
+    d = _bag_folder(spark, tmp_path)
+    docs = D.docs(spark, d)
+    want = {tuple(r) for r in T.token_counts(T.tokenize(docs)).collect()}
+    got = [tuple(r) for r in D.raw_counts(spark, d).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(r) for r in D.repeated_ids(spark, d).collect()} == {(1,), (2,), (6,)}
+    # an id is English when any of its rows is, with or without a text
+    english = {r.doc_id for r in D.bag_of_words(spark, d).where("english").select("doc_id").distinct().collect()}
+    assert english == {1, 2, 7}
+
+
+def test_only_terms_that_rules_can_change_meet_their_lemmas(spark):
+    rows = spark.createDataFrame([(1, "dogs", 1), (1, "dog", 2), (2, "women", 1), (2, "glass", 3), (3, "stadt", 1), (3, None, 1)],
+                                 "doc_id long, term string, cnt long")
+    changes = spark.createDataFrame([("dogs", "dog"), ("women", "woman")], "term string, lemma string")
+    want = sorted(map(str, T.with_lemma(rows, changes, "term").collect()))
+    joined = T.with_lemma(rows, changes, "term", by_rule=True)
+    assert sorted(map(str, joined.select("doc_id", "term", "cnt", "lemma").collect())) == want
+    stop = spark.createDataFrame([("woman",)], "word string")
+    tf = T.term_frequencies_from_counts(rows, changes, stop, with_lengths=True, by_rule=True)
+    assert {tuple(r) for r in tf.collect()} == {(1, "dog", 3, 3), (2, "glass", 3, 3), (3, "stadt", 1, 1)}
