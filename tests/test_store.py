@@ -81,3 +81,18 @@ def test_scopes_remove_what_was_made_in_them(spark):
     assert table("unit-inner").count() == 3  # built again
     assert store.release(spark, "unit-inner") == 1 and store.release(spark, "unit-inner") == 0
     assert "unit-inner" not in {f.rsplit("-", 1)[0] for f in _files(spark)}
+
+
+def test_stored_hashes_take_about_half_their_digits(spark):
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+    from tessera.plans import store
+
+    keys = spark.range(20000, numPartitions=1).select(F.md5(F.col("id").cast("string")).alias("row_key"))
+    made = store.stored(spark, "hashes", ("x",), lambda: keys)
+    path = made.inputFiles()[0].removeprefix("file://")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{os.path.dirname(path)}/*.parquet"))
+    assert made.count() == 20000 and size < 20000 * 36 * 0.65
+    store.release(spark, "hashes")
