@@ -228,3 +228,67 @@ def test_a_grid_leaves_no_model_behind(spark, monkeypatch):
                                  "user long, item long, rating double, fold int")
     assert rec.grid_search(rows, (2,), (0.1,), k=2, n=5, parallelism=2).count() == 2
     assert len(made) == 2 and not any(store.exists(spark, m.written_to) for m in made)
+
+
+def _play_rows(spark):
+    return spark.createDataFrame([(u, i * 3, float(1 + (u * i) % 7)) for u in range(50) for i in range(61) if (u * 5 + i) % 4],
+                                 "user long, item long, rating double")
+
+
+def test_lists_are_labelled_where_they_are_made(spark, monkeypatch):
+    rows = _play_rows(spark)
+    # a pair twice, an item and a user that the model hasn't, nulls, and a user with all items
+    held = spark.createDataFrame([(u, (u * 11 + d) % 70 * 3) for u in range(40) for d in range(9)] + [(7, i * 3) for i in range(61)]
+                                 + [(48, 6), (48, 6), (49, 10**10), (60, 3), (47, None), (None, 3)], "user long, item long")
+    for block in (rec.PRODUCT_BLOCK, 9):  # all items in one block, or in seven
+        monkeypatch.setattr(rec, "PRODUCT_BLOCK", block)
+        model = rec.train_als(rows, 4, 0.1, 1.0, 3)
+        assert (model.item_blocks == 1) == (block > 61)
+        monkeypatch.setattr(rec, "USER_BLOCK", 16)
+        for n in (8, 100):
+            got = rec.als_predictions_labels(model, held, n)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            # listed pairs meet the held-out ones in their block, not in a join of pairs; one block needs no merging
+            assert "LeftOuter" not in plan and "collect_top_k" not in plan
+            assert ("Window" in plan) == (block == 9)
+            assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
+                ("user", "bigint"), ("item", "bigint"), ("rank", "int"), ("score", "double"), ("label", "double")]
+            got = {(r.user, r["item"]): (r["rank"], r.score, r.label) for r in got.collect()}
+            want = rec.label_by_membership(rec.recommend_top_n(model, held.select("user"), n), held).collect()
+            assert len(want) == len(got) == 43 * min(n, 61) and {r.user for r in want} == {*range(40), 47, 48, 49}
+            by_rank = {(u, rank): score for (u, _), (rank, score, _) in got.items()}
+            assert len(by_rank) == len(got)
+            for r in want:
+                assert abs(by_rank[r.user, r["rank"]] - r.score) < 1e-5
+                if (r.user, r["item"]) in got:
+                    assert got[r.user, r["item"]][2] == r.label
+                else:  # another of the same score
+                    assert abs(by_rank[r.user, n] - r.score) < 1e-5
+            lists = {(r.user, r["item"]): (r["rank"], r.score) for r in rec.recommend_top_n(model, held, n, method="lists").collect()}
+            assert lists == {k: v[:2] for k, v in got.items()}
+
+
+def test_equal_scores_are_listed_by_item(spark):
+    import numpy as np
+
+    items = np.array([5, 2, 9, 4, 7])
+    y = np.array([[1, 0], [2, 0], [1, 0], [1, 0], [3, 0]], np.float32)
+    x = np.array([[1, 0], [-1, 0]], np.float32)
+    for n, want in ((3, [[7, 2, 4], [4, 5, 9]]), (9, [[7, 2, 4, 5, 9], [4, 5, 9, 2, 7]])):
+        i, rank, j, score = rec._best_items(x, items, y, n)
+        assert [items[j[i == u]].tolist() for u in (0, 1)] == want and rank.tolist() == [*range(1, len(want[0]) + 1)] * 2
+        assert all(s == x[u] @ y[c] for u, c, s in zip(i, j, score, strict=True))
+
+
+def test_the_grid_s_auc_is_that_of_the_labelled_product(spark, monkeypatch):
+    from tessera.operators.metrics import auc_value
+
+    rows = _play_rows(spark).withColumn("fold", F.pmod(F.xxhash64("user", "item"), F.lit(2)).cast("int"))
+    kept = []
+    monkeypatch.setattr(rec, "release_model", kept.append)
+    got = [r.auc for r in rec.grid_search(rows, (3,), (0.1,), k=2, n=6).collect()]
+    for fold, (model, auc) in enumerate(zip(kept, got, strict=True)):
+        held = rows.where(F.col("fold") == fold)
+        want = auc_value(rec.label_by_membership(rec.recommend_top_n(model, held.select("user"), 6), held))
+        assert abs(auc - want) < 1e-4
+        assert abs(auc - auc_value(rec.als_predictions_labels(model, held, 6))) < 1e-12
