@@ -246,7 +246,7 @@ def test_lists_are_labelled_where_they_are_made(spark, monkeypatch):
         assert (model.item_blocks == 1) == (block > 61)
         monkeypatch.setattr(rec, "USER_BLOCK", 16)
         for n in (8, 100):
-            got = rec.als_predictions_labels(model, held, n)
+            got = rec.labelled_lists(model, held, n)
             plan = got._jdf.queryExecution().executedPlan().toString()
             # listed pairs meet the held-out ones in their block, not in a join of pairs; one block needs no merging
             assert "LeftOuter" not in plan and "collect_top_k" not in plan
@@ -254,7 +254,7 @@ def test_lists_are_labelled_where_they_are_made(spark, monkeypatch):
             assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
                 ("user", "bigint"), ("item", "bigint"), ("rank", "int"), ("score", "double"), ("label", "double")]
             got = {(r.user, r["item"]): (r["rank"], r.score, r.label) for r in got.collect()}
-            want = rec.label_by_membership(rec.recommend_top_n(model, held.select("user"), n), held).collect()
+            want = rec.als_predictions_labels(model, held, n).collect()
             assert len(want) == len(got) == 43 * min(n, 61) and {r.user for r in want} == {*range(40), 47, 48, 49}
             by_rank = {(u, rank): score for (u, _), (rank, score, _) in got.items()}
             assert len(by_rank) == len(got)
@@ -264,8 +264,6 @@ def test_lists_are_labelled_where_they_are_made(spark, monkeypatch):
                     assert got[r.user, r["item"]][2] == r.label
                 else:  # another of the same score
                     assert abs(by_rank[r.user, n] - r.score) < 1e-5
-            lists = {(r.user, r["item"]): (r["rank"], r.score) for r in rec.recommend_top_n(model, held, n, method="lists").collect()}
-            assert lists == {k: v[:2] for k, v in got.items()}
 
 
 def test_equal_scores_are_listed_by_item(spark):
@@ -289,6 +287,5 @@ def test_the_grid_s_auc_is_that_of_the_labelled_product(spark, monkeypatch):
     got = [r.auc for r in rec.grid_search(rows, (3,), (0.1,), k=2, n=6).collect()]
     for fold, (model, auc) in enumerate(zip(kept, got, strict=True)):
         held = rows.where(F.col("fold") == fold)
-        want = auc_value(rec.label_by_membership(rec.recommend_top_n(model, held.select("user"), 6), held))
-        assert abs(auc - want) < 1e-4
-        assert abs(auc - auc_value(rec.als_predictions_labels(model, held, 6))) < 1e-12
+        assert abs(auc - auc_value(rec.als_predictions_labels(model, held, 6))) < 1e-4
+        assert abs(auc - auc_value(rec.labelled_lists(model, held, 6))) < 1e-12
