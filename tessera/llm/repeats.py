@@ -70,9 +70,10 @@ class Anchors:
         if n < length:
             return
         sums = tb.prefix_hash(data)
-        at = np.arange(n - GRAM + 1)
-        gram = tb.span_hash(sums, at, at + GRAM)
-        key = (gram >> np.uint64(_PLACE + 1) << np.uint64(_PLACE)) | at.astype(np.uint64)
+        gram = tb.gram_hash(sums, GRAM)
+        key = gram >> np.uint64(_PLACE + 1)
+        key <<= np.uint64(_PLACE)
+        key |= np.arange(len(gram), dtype=np.uint64)
         if len(heavy):
             some = np.flatnonzero(table[gram & np.uint64(len(table) - 1)])
             i = np.minimum(np.searchsorted(heavy, gram[some]), len(heavy) - 1)

@@ -14,24 +14,37 @@ import numpy as np
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix order of an array of small non-negative integers, by prefix doubling."""
+    """Suffix order of an array of small non-negative integers, by prefix doubling.
+
+    A suffix whose rank is its own has its place; only the others are sorted
+    again, within the places of their group (the rank is a group's first place).
+    """
     n = len(text)
     bits = max(1, int(text.max(initial=0) + 1).bit_length())
     h = max(1, 62 // bits)
     key = np.zeros(n, np.int64)
     for k in range(h):
         key <<= bits
-        key[:n - k] |= text[k:] + 1
-    while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
-        key = rank * (n + 1)
-        key[:max(n - h, 0)] += rank[h:] + 1
+        key[:max(n - k, 0)] |= text[k:] + 1
+    order, place = np.argsort(key), np.arange(n)
+    rank = np.empty(n, np.int64)
+    moved, key = order, key[order]  # the suffixes at the places that are open
+    while n:
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[moved] = np.maximum.accumulate(np.where(new, place, 0))
+        alone = new & np.append(new[1:], True)
+        if alone.all():
+            break
+        place, moved = place[~alone], moved[~alone]
+        key = rank[moved] * (n + 1)
+        ahead = moved + h
+        inside = ahead < n
+        key[inside] += rank[ahead[inside]] + 1
+        sort = np.argsort(key)
+        moved, key = moved[sort], key[sort]
+        order[place] = moved
         h *= 2
+    return order
 
 
 def common_prefix(text: np.ndarray, i: np.ndarray, j: np.ndarray, step: int = 16) -> np.ndarray:
